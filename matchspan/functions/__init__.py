@@ -1,0 +1 @@
+"""Column-level functions: arrays, maps, structs, scalars, nulls."""
