@@ -35,6 +35,7 @@ from ..config import (
     MatchConfig,
     Status,
 )
+from ..session import ensure_checkpoint_dir
 from .prepare import initialize
 from .timeline import (
     asc_nulls_last_key,
@@ -267,13 +268,17 @@ def _merge(r: DataFrame, cfg: MatchConfig, tdt: T.DataType) -> DataFrame:
 # The whole analysis
 # ---------------------------------------------------------------------------
 
-def match_ranges(df: DataFrame, cfg: MatchConfig) -> DataFrame:
+def match_ranges(df: DataFrame, cfg: MatchConfig, checkpoint: bool = True) -> DataFrame:
     """Prepare -> validate starts -> end candidates -> choose -> merge.
 
     Output: the declared input columns (status as ordinal 1, time = start),
     the validity flag, ``start_time``, ``final_end_time`` and
     ``final_end_reason``.  Open ranges (no end found) are not output.  Row
     order is not defined; callers sort.
+
+    With ``checkpoint`` (default) the chosen ranges are written to the
+    session's checkpoint folder (``spark.checkpoint.dir``) before the merge,
+    which runs a job at call time.
     """
     x = initialize(df, cfg)
     out_cols = _output_columns(x.columns, cfg)
@@ -296,6 +301,12 @@ def match_ranges(df: DataFrame, cfg: MatchConfig) -> DataFrame:
         chosen.getField(END_REASON_NAME).alias(FINAL_END_REASON),
     ).where(F.col(FINAL_END_TIME).isNotNull())
     tdt = x.schema[cfg.time_col].dataType
+    if checkpoint:
+        # The merge reads the ranges twice (rows and per-bucket summary); cut
+        # the lineage here so the upstream stages run once, and so a lost
+        # executor does not send the job back to the event scan.
+        ensure_checkpoint_dir(ranges.sparkSession)
+        ranges = ranges.checkpoint(eager=True)
     return _merge(ranges, cfg, tdt)
 
 
