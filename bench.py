@@ -41,7 +41,14 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = os.environ.get("BENCH_QUERIES")
     names = names.split(",") if names else HEADLINE
-    spark = local_session(cpus, shuffle_partitions=max(cpus * 2, 8), app="matchspan-bench")
+    # Local sizing: the sf0.1 tables are a few MB, so let AQE keep enough
+    # post-shuffle partitions to use every core (cluster runs keep 64 MB).
+    extra = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
+    }
+    extra.update(kv.split("=", 1) for kv in os.environ.get("BENCH_CONF", "").split(",") if kv)
+    spark = local_session(cpus, shuffle_partitions=max(cpus * 2, 8), app="matchspan-bench", extra=extra)
     timings: dict[str, float] = {}
     for name in names:
         df = QUERIES[name](spark, sf_dir)

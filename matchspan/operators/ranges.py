@@ -268,39 +268,46 @@ def _merge(r: DataFrame, cfg: MatchConfig, tdt: T.DataType) -> DataFrame:
 # The whole analysis
 # ---------------------------------------------------------------------------
 
-def match_ranges(df: DataFrame, cfg: MatchConfig, checkpoint: bool = True) -> DataFrame:
-    """Prepare -> validate starts -> end candidates -> choose -> merge.
-
-    Output: the declared input columns (status as ordinal 1, time = start),
-    the validity flag, ``start_time``, ``final_end_time`` and
-    ``final_end_reason``.  Open ranges (no end found) are not output.  Row
-    order is not defined; callers sort.
-
-    With ``checkpoint`` (default) the chosen ranges are written to the
-    session's checkpoint folder (``spark.checkpoint.dir``) before the merge,
-    which runs a job at call time.
-    """
+def chosen_ranges(df: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """T2-T8 fused: one row per valid start that has an end, with
+    ``start_time``, ``final_end_time`` and ``final_end_reason`` (not yet
+    merged), plus the time bucket ``_tb``.  Three full-data exchanges."""
     x = initialize(df, cfg)
     out_cols = _output_columns(x.columns, cfg)
-    x = x.withColumn(cfg.valid_col, start_flag(cfg))
-    x1 = _with_helpers(x, cfg).repartition(cfg.a_col, TB)
+    x = _with_helpers(x.withColumn(cfg.valid_col, start_flag(cfg)), cfg)
 
-    # Per-bucket first rows read the first exchange again (reused, not recomputed).
-    firsts_a = _bucket_firsts(x1, cfg, [cfg.a_col], cfg.b_col)
-    firsts_b = _bucket_firsts(x1.where(F.col(cfg.b_col).isNotNull()), cfg, [cfg.b_col, NB], cfg.a_col)
+    # Per-bucket first rows, aggregated map-side from the prepared rows: only
+    # one row per (key, bucket) and task crosses the network.
+    firsts_a = _bucket_firsts(x, cfg, [cfg.a_col], cfg.b_col)
+    firsts_b = _bucket_firsts(x.where(F.col(cfg.b_col).isNotNull()), cfg, [cfg.b_col, NB], cfg.a_col)
 
-    x2 = _validate_both(x1, cfg)
+    x2 = _validate_both(x.repartition(cfg.a_col, TB), cfg)
     x2 = _direction_b(x2, cfg, firsts_b)
     x3 = _direction_a(x2.repartition(cfg.a_col, TB), cfg, firsts_a)
 
     chosen = F.least(F.col("_cand_a"), F.col("_cand_b"))
-    ranges = x3.select(
+    return x3.select(
         *out_cols, TB,
         F.col(cfg.time_col).alias(START_TIME),
         chosen.getField(END_TIME).alias(FINAL_END_TIME),
         chosen.getField(END_REASON_NAME).alias(FINAL_END_REASON),
     ).where(F.col(FINAL_END_TIME).isNotNull())
-    tdt = x.schema[cfg.time_col].dataType
+
+
+def match_ranges(df: DataFrame, cfg: MatchConfig, checkpoint: bool = True) -> DataFrame:
+    """Prepare -> validate starts -> end candidates -> choose -> merge.
+
+    Output: the declared input columns (status as ordinal 1, time = start),
+    the validity flag, ``start_time``, ``final_end_time`` and
+    ``final_end_reason``.  Open ranges (no end found) are not output.  Row
+    order is not defined; callers sort.
+
+    With ``checkpoint`` (default) the chosen ranges are written to the
+    session's checkpoint folder (``spark.checkpoint.dir``) before the merge,
+    which runs a job at call time.
+    """
+    ranges = chosen_ranges(df, cfg)
+    tdt = df.schema[cfg.time_col].dataType
     if checkpoint:
         # The merge reads the ranges twice (rows and per-bucket summary); cut
         # the lineage here so the upstream stages run once, and so a lost
