@@ -271,9 +271,14 @@ def _merge(r: DataFrame, cfg: MatchConfig, tdt: T.DataType) -> DataFrame:
 def chosen_ranges(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     """T2-T8 fused: one row per valid start that has an end, with
     ``start_time``, ``final_end_time`` and ``final_end_reason`` (not yet
-    merged), plus the time bucket ``_tb``.  Three full-data exchanges."""
+    merged), plus the time bucket ``_tb``.  Full-data exchanges: the early
+    distinct, then (a, bucket), (b, bucket, spread), (a, bucket)."""
     x = initialize(df, cfg)
     out_cols = _output_columns(x.columns, cfg)
+    # Copies of an event change nothing (value sets ignore multiplicity and
+    # every stage drops duplicates), so collapse them first: the partial
+    # aggregate runs map-side, and a group of copies never reaches a window.
+    x = x.distinct()
     x = _with_helpers(x.withColumn(cfg.valid_col, start_flag(cfg)), cfg)
 
     # Per-bucket first rows, aggregated map-side from the prepared rows: only
