@@ -155,8 +155,11 @@ def _validate_both(x1: DataFrame, cfg: MatchConfig) -> DataFrame:
     return reduce_and_validate(x2, cfg, [cfg.b_col, cfg.time_col], [*cfg.other_matches, cfg.a_col], split_cols=[TB, NB])
 
 
+_HELPERS = {TB, NB}
+
+
 def _output_columns(df_columns: list[str], cfg: MatchConfig) -> list[str]:
-    cols = [c for c in df_columns if not c.startswith("_")]
+    cols = [c for c in df_columns if c not in _HELPERS]
     if cfg.valid_col not in cols:
         cols.append(cfg.valid_col)
     return cols

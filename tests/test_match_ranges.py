@@ -169,3 +169,12 @@ def test_plan_has_three_full_exchanges_before_merge(spark):
     mplan = merged._jdf.queryExecution().executedPlan().toString()
     # Ranges only, by (a, b, bucket): rows and the pruned per-bucket summary.
     assert mplan.count("REPARTITION_BY_COL") == 2
+
+
+def test_underscore_column_names_pass_through(spark):
+    rows = [(0, 0, "start", 1, 5), (0, 0, "end", 3, 5)]
+    df = make_df(spark, rows, "a int, b int, status string, t int, _o int")
+    cfg = MatchConfig("a", "b", "t", "status", NAMES, ["_o"], "v")
+    out = match_ranges(df, cfg)
+    assert out.columns == ["a", "b", "status", "t", "_o", "v", "start_time", "final_end_time", "final_end_reason"]
+    assert_same_rows(out, [(0, 0, 1, 1, 5, True, 1, 3, "NEXT_END_FOR_SAME_MATCH")])
