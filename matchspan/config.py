@@ -73,7 +73,9 @@ class MatchConfig:
     a hot key is spread over many tasks; results do not depend on it.  It is
     in time units for numeric time, in days for dates and in hours for
     timestamps.  ``None`` picks 24 hours for timestamps, 30 days for dates
-    and one bucket for numeric time.
+    and one bucket for numeric time.  On top of that, the ``max_hot_keys``
+    keys with more than ``rows_per_bucket`` rows get their own, finer width
+    (``rows_per_bucket=None`` switches this off).
     """
 
     a_col: str
@@ -87,6 +89,8 @@ class MatchConfig:
     update_policy: UpdatePolicy = UpdatePolicy.IGNORE
     optional_filters: tuple[OptionalFilter, ...] = field(default=())
     split_width: float | None = None
+    rows_per_bucket: int | None = 1_000_000
+    max_hot_keys: int = 4096
 
     def __post_init__(self) -> None:
         roles = [self.valid_col, self.a_col, self.b_col, self.time_col, self.status_col, *self.other_matches]
@@ -105,6 +109,10 @@ class MatchConfig:
             object.__setattr__(self, "end_reasons", reasons)
         if self.split_width is not None and self.split_width <= 0:
             raise ValueError("split_width must be positive")
+        if self.rows_per_bucket is not None and self.rows_per_bucket < 1:
+            raise ValueError("rows_per_bucket must be at least 1")
+        if self.max_hot_keys < 1:
+            raise ValueError("max_hot_keys must be at least 1")
 
     # -- fluent, immutable builders -------------------------------------
     def with_filter(self, flt: OptionalFilter) -> "MatchConfig":
@@ -125,6 +133,9 @@ class MatchConfig:
     def with_split_width(self, width: float | None) -> "MatchConfig":
         return dataclasses.replace(self, split_width=width)
 
+    def with_hot_keys(self, rows_per_bucket: int | None, max_hot_keys: int = 4096) -> "MatchConfig":
+        return dataclasses.replace(self, rows_per_bucket=rows_per_bucket, max_hot_keys=max_hot_keys)
+
     # -- derived ----------------------------------------------------------
     @property
     def allowed_reasons(self) -> tuple[EndReason, ...]:

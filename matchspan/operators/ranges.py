@@ -12,9 +12,9 @@ Physical shape of :func:`match_ranges` (full-data exchanges in brackets):
 4. ranges only: [hash a, b, bucket] -> islands of adjacent ranges
    -> partial/final aggregate per island
 
-``bucket`` is a monotone function of time (see ``timeline.time_bucket``), so
-a hot key spreads over many tasks; rows on bucket edges are fixed from small
-per-bucket summaries.  The per-bucket first rows of both directions are
+``bucket`` is a monotone function of time per key (see ``timeline``): a
+fixed width, and a finer one for the hottest keys, so a hot key spreads over
+many tasks; rows on bucket edges are fixed from small per-bucket summaries.  The per-bucket first rows of both directions are
 aggregated from the first exchange, which Spark reuses.
 """
 
@@ -39,16 +39,22 @@ from ..session import ensure_checkpoint_dir
 from .prepare import initialize
 from .timeline import (
     asc_nulls_last_key,
+    bucket_of,
+    default_width,
     desc_nulls_last_key,
+    hot_key_widths,
     lead_across_buckets,
     next_bucket_first,
-    time_bucket,
+    time_units,
 )
 from .validate import reduce_and_validate, start_flag
 
 START, END = Status.START.value, Status.END.value
-TB = "_tb"  # time bucket of the row
+U = "_u"  # time on a numeric scale (hours, days or the value)
+TB_A, LO_A, W_A = "_tba", "_loa", "_wa"  # time bucket for a-keyed windows; hot-key origin and width
+TB_B, LO_B, W_B = "_tbb", "_lob", "_wb"  # the same for b-keyed windows
 NB = "_nb"  # spreads null-b rows (never valid, never keyed) over tasks
+_HELPERS = {U, TB_A, LO_A, W_A, TB_B, LO_B, W_B, NB}
 
 
 def _reason_name(ordinal: Column) -> Column:
@@ -56,12 +62,32 @@ def _reason_name(ordinal: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), ordinal)
 
 
+def _with_widths(x: DataFrame, cfg: MatchConfig, keys: list[tuple[str, str, str]]) -> DataFrame:
+    """Join each key's hot-key origin and width (null for keys that are not
+    hot).  The width tables hold at most ``max_hot_keys`` rows each, so they
+    are broadcast; the join is map-side and keeps the frame's partitioning."""
+    hot = cfg.rows_per_bucket is not None
+    for key, lo, w in keys:
+        if hot:
+            widths = hot_key_widths(x, key, U, cfg.rows_per_bucket, cfg.max_hot_keys, lo, w)
+            x = x.join(F.broadcast(widths), on=key, how="left")
+        else:
+            x = x.select("*", F.lit(None).cast("double").alias(lo), F.lit(None).cast("double").alias(w))
+    return x
+
+
 def _with_helpers(df: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """Time units, per-side time buckets (hot keys cut finer) and the null-b spread."""
     tdt = df.schema[cfg.time_col].dataType
     a, b, t = F.col(cfg.a_col), F.col(cfg.b_col), F.col(cfg.time_col)
-    return df.select(
+    u = time_units(t, tdt)
+    x = df.select("*", (u if u is not None else F.lit(None).cast("double")).alias(U))
+    x = _with_widths(x, cfg, [(cfg.a_col, LO_A, W_A), (cfg.b_col, LO_B, W_B)])
+    dw = default_width(tdt, cfg.split_width)
+    return x.select(
         "*",
-        time_bucket(t, tdt, cfg.split_width).alias(TB),
+        bucket_of(F.col(U), F.col(LO_A), F.col(W_A), dw).alias(TB_A),
+        bucket_of(F.col(U), F.col(LO_B), F.col(W_B), dw).alias(TB_B),
         F.when(b.isNull(), F.xxhash64(a, t)).otherwise(F.lit(0).cast("long")).alias(NB),
     )
 
@@ -76,7 +102,7 @@ def _order(cfg: MatchConfig, counterpart: str) -> list[Column]:
     ]
 
 
-def _bucket_firsts(df: DataFrame, cfg: MatchConfig, keys: list[str], counterpart: str) -> DataFrame:
+def _bucket_firsts(df: DataFrame, cfg: MatchConfig, keys: list[str], counterpart: str, bucket: str) -> DataFrame:
     """First row of each (keys, bucket) in next-row order, as a struct of
     (time, status, counterpart).  A min over a struct whose leading fields
     encode the order; others only break ties between rows that agree on all
@@ -86,13 +112,13 @@ def _bucket_firsts(df: DataFrame, cfg: MatchConfig, keys: list[str], counterpart
         t.alias("k0"),
         *[x.alias(f"k{i + 1}") for i, x in enumerate(desc_nulls_last_key(s) + asc_nulls_last_key(c))],
     )
-    mins = df.groupBy(*keys, TB).agg(F.min(order_key).alias("_k"))
+    mins = df.groupBy(*keys, bucket).agg(F.min(order_key).alias("_k"))
     first = F.struct(
         F.col("_k.k0").alias(cfg.time_col),
         (-F.col("_k.k2")).alias(cfg.status_col),
         F.col("_k.k4").alias(counterpart),
     )
-    return next_bucket_first(mins.select(*keys, TB, first.alias("_first")), keys, TB, "_first")
+    return next_bucket_first(mins.select(*keys, bucket, first.alias("_first")), keys, bucket, "_first")
 
 
 def _candidate(cfg: MatchConfig, key: str, counterpart: str, prefix: str) -> Column:
@@ -130,7 +156,7 @@ def _candidate(cfg: MatchConfig, key: str, counterpart: str, prefix: str) -> Col
 
 def _direction_b(x: DataFrame, cfg: MatchConfig, firsts_b: DataFrame) -> DataFrame:
     with_next = lead_across_buckets(
-        x, [cfg.b_col, NB], TB, _order(cfg, cfg.a_col),
+        x, [cfg.b_col, NB], TB_B, _order(cfg, cfg.a_col),
         [cfg.time_col, cfg.status_col, cfg.a_col], firsts_b, "_nxb_",
     )
     return with_next.select(
@@ -140,7 +166,7 @@ def _direction_b(x: DataFrame, cfg: MatchConfig, firsts_b: DataFrame) -> DataFra
 
 def _direction_a(x: DataFrame, cfg: MatchConfig, firsts_a: DataFrame) -> DataFrame:
     with_next = lead_across_buckets(
-        x, [cfg.a_col], TB, _order(cfg, cfg.b_col),
+        x, [cfg.a_col], TB_A, _order(cfg, cfg.b_col),
         [cfg.time_col, cfg.status_col, cfg.b_col], firsts_a, "_nxa_",
     )
     return with_next.select(
@@ -149,13 +175,11 @@ def _direction_a(x: DataFrame, cfg: MatchConfig, firsts_a: DataFrame) -> DataFra
 
 
 def _validate_both(x1: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """T3 passes on a frame already hash-partitioned by (a, bucket)."""
-    p1 = reduce_and_validate(x1, cfg, [cfg.a_col, cfg.time_col], [*cfg.other_matches, cfg.b_col], split_cols=[TB])
-    x2 = p1.repartition(cfg.b_col, TB, NB)
-    return reduce_and_validate(x2, cfg, [cfg.b_col, cfg.time_col], [*cfg.other_matches, cfg.a_col], split_cols=[TB, NB])
-
-
-_HELPERS = {TB, NB}
+    """T3 passes on a frame already hash-partitioned by (a, a-bucket)."""
+    p1 = reduce_and_validate(x1, cfg, [cfg.a_col, cfg.time_col], [*cfg.other_matches, cfg.b_col], split_cols=[TB_A])
+    x2 = p1.repartition(cfg.b_col, TB_B, NB)
+    return reduce_and_validate(x2, cfg, [cfg.b_col, cfg.time_col], [*cfg.other_matches, cfg.a_col],
+                               split_cols=[TB_B, NB])
 
 
 def _output_columns(df_columns: list[str], cfg: MatchConfig) -> list[str]:
@@ -173,7 +197,7 @@ def mark_valid_starts(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     """Set the validity flag, then validate per (a, time) and per (b, time)."""
     cols = _output_columns(df.columns, cfg)
     x = df.withColumn(cfg.valid_col, start_flag(cfg))
-    x = _with_helpers(x, cfg).repartition(cfg.a_col, TB)
+    x = _with_helpers(x, cfg).repartition(cfg.a_col, TB_A)
     return _validate_both(x, cfg).select(*cols)
 
 
@@ -183,10 +207,10 @@ def end_candidates(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     whose status is START, END or null."""
     cols = list(df.columns)
     x = _with_helpers(df, cfg)
-    firsts_b = _bucket_firsts(x.where(F.col(cfg.b_col).isNotNull()), cfg, [cfg.b_col, NB], cfg.a_col)
-    firsts_a = _bucket_firsts(x, cfg, [cfg.a_col], cfg.b_col)
-    x = _direction_b(x.repartition(cfg.b_col, TB, NB), cfg, firsts_b)
-    x = _direction_a(x.repartition(cfg.a_col, TB), cfg, firsts_a)
+    firsts_b = _bucket_firsts(x.where(F.col(cfg.b_col).isNotNull()), cfg, [cfg.b_col, NB], cfg.a_col, TB_B)
+    firsts_a = _bucket_firsts(x, cfg, [cfg.a_col], cfg.b_col, TB_A)
+    x = _direction_b(x.repartition(cfg.b_col, TB_B, NB), cfg, firsts_b)
+    x = _direction_a(x.repartition(cfg.a_col, TB_A), cfg, firsts_a)
     cands = F.array_distinct(F.filter(F.array("_cand_a", "_cand_b"), lambda c: c.isNotNull()))
     start_time = F.when(F.col(cfg.status_col) == F.lit(START), F.col(cfg.time_col))
     out = x.select(*cols, start_time.alias(START_TIME), F.explode_outer(cands).alias("_cand"))
@@ -220,7 +244,10 @@ def connect_ranges(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     cols = list(df.columns)
     x = df.where(F.col(FINAL_END_TIME).isNotNull())
     tdt = x.schema[START_TIME].dataType
-    x = x.select("*", time_bucket(F.col(START_TIME), tdt, cfg.split_width).alias(TB))
+    u = time_units(F.col(START_TIME), tdt)
+    x = x.select("*", (u if u is not None else F.lit(None).cast("double")).alias(U))
+    x = _with_widths(x, cfg, [(cfg.a_col, LO_A, W_A)])
+    x = x.select("*", bucket_of(F.col(U), F.col(LO_A), F.col(W_A), default_width(tdt, cfg.split_width)).alias(TB_A))
     return _merge(x, cfg, tdt).select(*cols)
 
 
@@ -234,14 +261,16 @@ def _merge(r: DataFrame, cfg: MatchConfig, tdt: T.DataType) -> DataFrame:
     aggregates partially per bucket before its shuffle.
     """
     a, b = cfg.a_col, cfg.b_col
-    cols = [c for c in r.columns if c != TB]
+    cols = [c for c in r.columns if c not in _HELPERS]
     head_cols = [c for c in cols if c not in (a, b, START_TIME, FINAL_END_TIME, FINAL_END_REASON)]
-    end_bucket = time_bucket(F.col(FINAL_END_TIME), tdt, cfg.split_width)
+    end_units = time_units(F.col(FINAL_END_TIME), tdt)
+    end_units = end_units if end_units is not None else F.lit(None).cast("double")
+    end_bucket = bucket_of(end_units, F.col(LO_A), F.col(W_A), default_width(tdt, cfg.split_width))
     ghost = F.explode(
-        F.when(end_bucket != F.col(TB), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+        F.when(end_bucket != F.col(TB_A), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     )
-    x = r.select(*cols, TB, end_bucket.alias("_eb"), ghost.alias("_ghost"))
-    x = x.select(*cols, F.when(F.col("_ghost"), F.col("_eb")).otherwise(F.col(TB)).alias("_mb"), "_ghost")
+    x = r.select(*cols, TB_A, end_bucket.alias("_eb"), ghost.alias("_ghost"))
+    x = x.select(*cols, F.when(F.col("_ghost"), F.col("_eb")).otherwise(F.col(TB_A)).alias("_mb"), "_ghost")
     x = x.repartition(a, b, "_mb")
 
     w = Window.partitionBy(a, b, "_mb").orderBy(F.col(START_TIME).asc())
@@ -274,7 +303,7 @@ def _merge(r: DataFrame, cfg: MatchConfig, tdt: T.DataType) -> DataFrame:
 def chosen_ranges(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     """T2-T8 fused: one row per valid start that has an end, with
     ``start_time``, ``final_end_time`` and ``final_end_reason`` (not yet
-    merged), plus the time bucket ``_tb``.  Full-data exchanges: the early
+    merged), plus the a-side time bucket and width.  Full-data exchanges: the early
     distinct, then (a, bucket), (b, bucket, spread), (a, bucket)."""
     x = initialize(df, cfg)
     out_cols = _output_columns(x.columns, cfg)
@@ -286,16 +315,16 @@ def chosen_ranges(df: DataFrame, cfg: MatchConfig) -> DataFrame:
 
     # Per-bucket first rows, aggregated map-side from the prepared rows: only
     # one row per (key, bucket) and task crosses the network.
-    firsts_a = _bucket_firsts(x, cfg, [cfg.a_col], cfg.b_col)
-    firsts_b = _bucket_firsts(x.where(F.col(cfg.b_col).isNotNull()), cfg, [cfg.b_col, NB], cfg.a_col)
+    firsts_a = _bucket_firsts(x, cfg, [cfg.a_col], cfg.b_col, TB_A)
+    firsts_b = _bucket_firsts(x.where(F.col(cfg.b_col).isNotNull()), cfg, [cfg.b_col, NB], cfg.a_col, TB_B)
 
-    x2 = _validate_both(x.repartition(cfg.a_col, TB), cfg)
+    x2 = _validate_both(x.repartition(cfg.a_col, TB_A), cfg)
     x2 = _direction_b(x2, cfg, firsts_b)
-    x3 = _direction_a(x2.repartition(cfg.a_col, TB), cfg, firsts_a)
+    x3 = _direction_a(x2.repartition(cfg.a_col, TB_A), cfg, firsts_a)
 
     chosen = F.least(F.col("_cand_a"), F.col("_cand_b"))
     return x3.select(
-        *out_cols, TB,
+        *out_cols, TB_A, LO_A, W_A,
         F.col(cfg.time_col).alias(START_TIME),
         chosen.getField(END_TIME).alias(FINAL_END_TIME),
         chosen.getField(END_REASON_NAME).alias(FINAL_END_REASON),
@@ -330,10 +359,10 @@ def next_event(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     before START, b and others nulls last) as next_t, next_status, next_b --
     exact across time buckets."""
     cols = list(df.columns)
-    x = _with_helpers(df, cfg).repartition(cfg.a_col, TB)
-    firsts = _bucket_firsts(x, cfg, [cfg.a_col], cfg.b_col)
+    x = _with_helpers(df, cfg)
+    firsts = _bucket_firsts(x, cfg, [cfg.a_col], cfg.b_col, TB_A)
     out = lead_across_buckets(
-        x, [cfg.a_col], TB, _order(cfg, cfg.b_col),
+        x.repartition(cfg.a_col, TB_A), [cfg.a_col], TB_A, _order(cfg, cfg.b_col),
         [cfg.time_col, cfg.status_col, cfg.b_col], firsts, "next_",
     )
     return out.select(*cols, F.col("next_" + cfg.time_col).alias("next_t"),

@@ -16,25 +16,66 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-def _epoch() -> Column:
-    return F.lit("1970-01-01").cast("date")
-
+def time_units(col: Column, dtype: T.DataType) -> Column | None:
+    """Time on a natural numeric scale: hours for timestamps, days for dates,
+    the value itself for numbers; ``None`` for other types (never cut)."""
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(col) / F.lit(3.6e9)
+    if isinstance(dtype, T.TimestampNTZType):
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", epoch, col) / F.lit(3.6e9)
+    if isinstance(dtype, T.DateType):
+        return F.datediff(col, F.lit("1970-01-01").cast("date")).cast("double")
+    if isinstance(dtype, T.NumericType):
+        return col.cast("double")
+    return None
 
-def time_bucket(col: Column, dtype: T.DataType, width: float | None) -> Column:
-    """Monotone (non-decreasing) bucket number of a time value.
 
-    Timestamps are cut every ``width`` hours (default 24), dates every
-    ``width`` days (default 30), numbers every ``width`` units (default: no
-    cut).  Other orderable types get a single bucket.
-    """
+def default_width(dtype: T.DataType, width: float | None) -> float | None:
+    """Bucket width for keys that are not hot: ``width`` if given, else 24
+    hours for timestamps, 30 days for dates and no cut for numbers."""
+    if width is not None:
+        return float(width)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        hours = F.datediff(F.to_date(col), _epoch()).cast("long") * 24 + F.hour(col)
-        return F.floor(hours / F.lit(float(width or 24))).cast("long")
+        return 24.0
     if isinstance(dtype, T.DateType):
-        return F.floor(F.datediff(col, _epoch()) / F.lit(float(width or 30))).cast("long")
-    if isinstance(dtype, T.NumericType) and width is not None:
-        return F.floor(col / F.lit(width)).cast("long")
-    return F.lit(0).cast("long")
+        return 30.0
+    return None
+
+
+def bucket_of(units: Column, lo: Column, width: Column, default: float | None) -> Column:
+    """Bucket number: hot keys are cut at their own width from their own
+    first time; the others at the default width (or not at all).  Monotone
+    in time for every key, which is all exactness needs."""
+    cold = F.floor(units / F.lit(default)) if default else F.lit(0)
+    return F.when(width.isNotNull(), F.floor((units - lo) / width)).otherwise(cold).cast("long")
+
+
+def hot_key_widths(x: DataFrame, key: str, units: str, rows_per_bucket: int, max_keys: int,
+                   lo_name: str, width_name: str) -> DataFrame:
+    """Per-key widths for the keys that hold more than ``rows_per_bucket``
+    rows: their time span is cut into about ``rows / rows_per_bucket`` equal
+    buckets.  Counting is a partial aggregate; only the ``max_keys`` hottest
+    keys are kept, so the result -- which is broadcast -- has at most
+    ``max_keys`` rows.  Keys left out keep the default width; results do not
+    depend on the choice."""
+    counts = (x.where(F.col(key).isNotNull() & F.col(units).isNotNull())
+              .groupBy(key)
+              .agg(F.count(F.lit(1)).alias("_n"), F.min(units).alias("_lo"), F.max(units).alias("_hi")))
+    hot = (counts.where((F.col("_n") > F.lit(rows_per_bucket)) & (F.col("_hi") > F.col("_lo")))
+           .orderBy(F.col("_n").desc(), F.col(key).asc())
+           .limit(max_keys))
+    parts = F.ceil(F.col("_n") / F.lit(rows_per_bucket))
+    return hot.select(key, F.col("_lo").alias(lo_name), ((F.col("_hi") - F.col("_lo")) / parts).alias(width_name))
+
+
+def time_bucket(col: Column, dtype: T.DataType, width: float | None) -> Column:
+    """Fixed-width bucket number of a time value (no per-key widths)."""
+    u = time_units(col, dtype)
+    d = default_width(dtype, width)
+    if u is None or not d:
+        return F.lit(0).cast("long")
+    return F.floor(u / F.lit(d)).cast("long")
 
 
 def asc_nulls_last_key(c: Column) -> list[Column]:

@@ -22,6 +22,9 @@ def run(spark, rows, cfg, width=None):
     return match_ranges(make_df(spark, rows, SCHEMA), cfg.with_split_width(width))
 
 
+HOT = {"fixed": (None, 4096), "hot-2": (2, 4096), "hot-3-cap-4": (3, 4)}
+
+
 E2E = [
     ([(0, 0, "start", 1, 1, 1), (0, 0, "update", 2, 1, 1), (0, 0, "end", 3, 1, 1)],
      [(0, 0, 1, 1, 1, 1, True, 1, 3, "NEXT_END_FOR_SAME_MATCH")]),
@@ -125,16 +128,20 @@ CONFIGS = {
 }
 
 
+@pytest.mark.parametrize("hot", list(HOT))
 @pytest.mark.parametrize("width", [None, 1, 3])
 @pytest.mark.parametrize("cfg_name", list(CONFIGS))
-def test_random_logs_against_model(spark, cfg_name, width):
+def test_random_logs_against_model(spark, cfg_name, width, hot):
     """Many independent small logs per Spark run: each case uses its own key
-    range, so cases never interact."""
-    rng = random.Random(hash((cfg_name, width)) % 10_000 + 17)
+    range, so cases never interact.  ``hot`` makes keys with more than a few
+    rows hot, so they get their own bucket widths (capped to a few keys)."""
+    if hot != "fixed" and width == 3:
+        pytest.skip("covered by the other widths")
+    rng = random.Random(sum(map(ord, cfg_name + hot)) * 31 + (width or 0))
     rows = []
     for case in range(60):
         rows += _random_log(rng, case, rng.randint(3, 14))
-    cfg = CONFIGS[cfg_name]
+    cfg = CONFIGS[cfg_name].with_hot_keys(*HOT[hot])
     expected = model([dict(zip(["a", "b", "status", "t", "o1", "o2"], r)) for r in rows], cfg)
     got = run(spark, rows, cfg, width)
     got_rows = {tuple(r[c] for c in OUT) for r in got.collect()}
@@ -142,7 +149,8 @@ def test_random_logs_against_model(spark, cfg_name, width):
     assert got_rows == expected
 
 
-def test_timestamp_time_across_buckets(spark):
+@pytest.mark.parametrize("hot", list(HOT))
+def test_timestamp_time_across_buckets(spark, hot):
     """Time as TIMESTAMP_NTZ, cut every hour: ranges and merges cross buckets."""
     base = datetime.datetime(2024, 1, 1)
     rng = random.Random(5)
@@ -151,7 +159,7 @@ def test_timestamp_time_across_buckets(spark):
         for a, b, s, t, o1, o2 in _random_log(rng, case, 10):
             rows.append((a, b, s, None if t is None else base + datetime.timedelta(minutes=37 * t), o1, o2))
     schema = "a int, b int, status string, t timestamp_ntz, o1 int, o2 int"
-    cfg = ASSUME.with_split_width(1)
+    cfg = ASSUME.with_split_width(1).with_hot_keys(*HOT[hot])
     got = match_ranges(make_df(spark, rows, schema), cfg)
     expected = model([dict(zip(["a", "b", "status", "t", "o1", "o2"], r)) for r in rows], cfg)
     assert {tuple(r[c] for c in OUT) for r in got.collect()} == expected
@@ -178,3 +186,17 @@ def test_underscore_column_names_pass_through(spark):
     out = match_ranges(df, cfg)
     assert out.columns == ["a", "b", "status", "t", "_o", "v", "start_time", "final_end_time", "final_end_reason"]
     assert_same_rows(out, [(0, 0, 1, 1, 5, True, 1, 3, "NEXT_END_FOR_SAME_MATCH")])
+
+
+def test_one_hot_pair_split_finely(spark):
+    """One pair with a long alternating log (the hot key), next to small ones:
+    with hot-key widths its timeline is cut into many buckets."""
+    rows = []
+    for i in range(400):
+        rows.append((1, 1 if i % 7 else 2, ["start", "end", "update"][i % 3], i, 1, None))
+    for case in range(2, 30):
+        rows += [(case * 10, case * 10, "start", 5, None, None), (case * 10, case * 10, "end", 9, None, None)]
+    for cfg in (ASSUME.with_hot_keys(25), IGNORE.with_hot_keys(10, 2), ASSUME.with_hot_keys(None)):
+        expected = model([dict(zip(["a", "b", "status", "t", "o1", "o2"], r)) for r in rows], cfg)
+        got = run(spark, rows, cfg)
+        assert {tuple(r[c] for c in OUT) for r in got.collect()} == expected
