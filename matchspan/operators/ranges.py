@@ -66,13 +66,22 @@ def _with_widths(x: DataFrame, cfg: MatchConfig, keys: list[tuple[str, str, str]
     """Join each key's hot-key origin and width (null for keys that are not
     hot).  The width tables hold at most ``max_hot_keys`` rows each, so they
     are broadcast; the join is map-side and keeps the frame's partitioning."""
-    hot = cfg.rows_per_bucket is not None
-    for key, lo, w in keys:
-        if hot:
-            widths = hot_key_widths(x, key, U, cfg.rows_per_bucket, cfg.max_hot_keys, lo, w)
-            x = x.join(F.broadcast(widths), on=key, how="left")
-        else:
-            x = x.select("*", F.lit(None).cast("double").alias(lo), F.lit(None).cast("double").alias(w))
+    if cfg.rows_per_bucket is None:
+        nulls = [F.lit(None).cast("double").alias(c) for _, lo, w in keys for c in (lo, w)]
+        return x.select("*", *nulls)
+    # One small job finds the hot keys of every side (a partial aggregate per
+    # side; at most ``max_hot_keys`` rows each come back).  The tables are then
+    # local relations: every branch of the plan broadcasts them without
+    # recomputing them.
+    tables = [hot_key_widths(x, key, U, cfg.rows_per_bucket, cfg.max_hot_keys, lo, w) for key, lo, w in keys]
+    both = tables[0]
+    for t in tables[1:]:
+        both = both.unionByName(t, allowMissingColumns=True)
+    rows = both.collect()
+    spark = x.sparkSession
+    for (key, lo, w), t in zip(keys, tables):
+        mine = [(r[key], r[lo], r[w]) for r in rows if r[lo] is not None]
+        x = x.join(F.broadcast(spark.createDataFrame(mine, t.schema)), on=key, how="left")
     return x
 
 
@@ -121,6 +130,15 @@ def _bucket_firsts(df: DataFrame, cfg: MatchConfig, keys: list[str], counterpart
     return next_bucket_first(mins.select(*keys, bucket, first.alias("_first")), keys, bucket, "_first")
 
 
+def _firsts_b(x: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """Per-bucket first rows keyed by ``b``.  Rows with null ``b`` all fall in
+    one group per bucket here (their spread value is not a key); they never
+    join back, because null ``b`` never equals anything.  No filter is used,
+    so this branch shares the prepared rows' exchange with the main plan."""
+    firsts = _bucket_firsts(x, cfg, [cfg.b_col], cfg.a_col, TB_B)
+    return firsts.select(cfg.b_col, F.lit(0).cast("long").alias(NB), TB_B, "_bucket_next")
+
+
 def _candidate(cfg: MatchConfig, key: str, counterpart: str, prefix: str) -> Column:
     """End candidate of one direction from the next row's (time, status,
     counterpart): a struct (end_time, ordinal, name) or null.  The six cells
@@ -207,7 +225,7 @@ def end_candidates(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     whose status is START, END or null."""
     cols = list(df.columns)
     x = _with_helpers(df, cfg)
-    firsts_b = _bucket_firsts(x.where(F.col(cfg.b_col).isNotNull()), cfg, [cfg.b_col, NB], cfg.a_col, TB_B)
+    firsts_b = _firsts_b(x, cfg)
     firsts_a = _bucket_firsts(x, cfg, [cfg.a_col], cfg.b_col, TB_A)
     x = _direction_b(x.repartition(cfg.b_col, TB_B, NB), cfg, firsts_b)
     x = _direction_a(x.repartition(cfg.a_col, TB_A), cfg, firsts_a)
@@ -307,17 +325,19 @@ def chosen_ranges(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     distinct, then (a, bucket), (b, bucket, spread), (a, bucket)."""
     x = initialize(df, cfg)
     out_cols = _output_columns(x.columns, cfg)
-    # Copies of an event change nothing (value sets ignore multiplicity and
-    # every stage drops duplicates), so collapse them first: the partial
-    # aggregate runs map-side, and a group of copies never reaches a window.
-    x = x.distinct()
     x = _with_helpers(x.withColumn(cfg.valid_col, start_flag(cfg)), cfg)
 
     # Per-bucket first rows, aggregated map-side from the prepared rows: only
-    # one row per (key, bucket) and task crosses the network.
+    # one row per (key, bucket) and task crosses the network.  They (and the
+    # hot-key widths) read the prepared rows before the distinct below, so no
+    # branch of the plan hangs off a shuffle that would have to run twice.
     firsts_a = _bucket_firsts(x, cfg, [cfg.a_col], cfg.b_col, TB_A)
-    firsts_b = _bucket_firsts(x.where(F.col(cfg.b_col).isNotNull()), cfg, [cfg.b_col, NB], cfg.a_col, TB_B)
+    firsts_b = _firsts_b(x, cfg)
 
+    # Copies of an event change nothing (value sets ignore multiplicity and
+    # every stage drops duplicates), so collapse them first: the partial
+    # aggregate runs map-side, and a group of copies never reaches a window.
+    x = x.distinct()
     x2 = _validate_both(x.repartition(cfg.a_col, TB_A), cfg)
     x2 = _direction_b(x2, cfg, firsts_b)
     x3 = _direction_a(x2.repartition(cfg.a_col, TB_A), cfg, firsts_a)

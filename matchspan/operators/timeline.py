@@ -56,11 +56,12 @@ def hot_key_widths(x: DataFrame, key: str, units: str, rows_per_bucket: int, max
     """Per-key widths for the keys that hold more than ``rows_per_bucket``
     rows: their time span is cut into about ``rows / rows_per_bucket`` equal
     buckets.  Counting is a partial aggregate; only the ``max_keys`` hottest
-    keys are kept, so the result -- which is broadcast -- has at most
-    ``max_keys`` rows.  Keys left out keep the default width; results do not
+    keys are kept, so the result -- which is collected and broadcast -- has
+    at most ``max_keys`` rows.  Keys left out keep the default width; results do not
     depend on the choice."""
-    counts = (x.where(F.col(key).isNotNull() & F.col(units).isNotNull())
-              .groupBy(key)
+    # No filter before the grouping (it would be pushed into the shared input
+    # and stop Spark from reusing its exchange); a null key never joins back.
+    counts = (x.groupBy(key)
               .agg(F.count(F.lit(1)).alias("_n"), F.min(units).alias("_lo"), F.max(units).alias("_hi")))
     hot = (counts.where((F.col("_n") > F.lit(rows_per_bucket)) & (F.col("_hi") > F.col("_lo")))
            .orderBy(F.col("_n").desc(), F.col(key).asc())
