@@ -222,7 +222,8 @@ def mark_valid_starts(df: DataFrame, cfg: MatchConfig) -> DataFrame:
 def end_candidates(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     """T5: one row per end candidate (null candidate kept), with start_time,
     end_reason_ordinal, end_reason_name and end_time.  Expects validated rows
-    whose status is START, END or null."""
+    whose status is START, END or null.  The input is read by three branches
+    (rows, bucket-edge summaries, hot keys): checkpoint an expensive input."""
     cols = list(df.columns)
     x = _with_helpers(df, cfg)
     firsts_b = _firsts_b(x, cfg)
@@ -258,7 +259,8 @@ def choose_final_end(df: DataFrame, cfg: MatchConfig) -> DataFrame:
 def connect_ranges(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     """Merge ranges of a pair that follow on exactly (end = next start).
     The first range of a chain keeps its own columns and takes the end time
-    and reason of the last one."""
+    and reason of the last one.  The input is read more than once:
+    checkpoint an expensive input."""
     cols = list(df.columns)
     x = df.where(F.col(FINAL_END_TIME).isNotNull())
     tdt = x.schema[START_TIME].dataType

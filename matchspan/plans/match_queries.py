@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import EndReason, MatchConfig, UpdatePolicy
 from ..operators import prepare, ranges
 from ..operators.validate import reduce_and_validate, start_flag
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import match_events
 from .match_sql import MATCH_EVENTS_SQL, match_sql
 
@@ -52,8 +53,15 @@ def q_match_valid_starts(spark: SparkSession, sf: str) -> DataFrame:
     return ranges.mark_valid_starts(prepare.initialize(match_events(spark, sf), ASSUME_CFG), ASSUME_CFG)
 
 
+def _stage(df: DataFrame) -> DataFrame:
+    """Stage outputs are read by several branches of the next stage; write
+    them to the checkpoint folder so the work before them runs once."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def q_match_end_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return ranges.end_candidates(q_match_valid_starts(spark, sf), ASSUME_CFG)
+    return ranges.end_candidates(_stage(q_match_valid_starts(spark, sf)), ASSUME_CFG)
 
 
 def q_match_final_end(spark: SparkSession, sf: str) -> DataFrame:
@@ -61,7 +69,7 @@ def q_match_final_end(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_match_connected(spark: SparkSession, sf: str) -> DataFrame:
-    return ranges.connect_ranges(q_match_final_end(spark, sf), ASSUME_CFG)
+    return ranges.connect_ranges(_stage(q_match_final_end(spark, sf)), ASSUME_CFG)
 
 
 def q_status_enumerated(spark: SparkSession, sf: str) -> DataFrame:
