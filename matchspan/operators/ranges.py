@@ -193,11 +193,17 @@ def _direction_a(x: DataFrame, cfg: MatchConfig, firsts_a: DataFrame) -> DataFra
 
 
 def _validate_both(x1: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """T3 passes on a frame already hash-partitioned by (a, a-bucket)."""
+    """T3 passes on a frame already hash-partitioned by (a, a-bucket), whose
+    rows are distinct.
+
+    After the first pass all valid STARTs of one (a, time) are filled to the
+    same values and collapse to one row; the second pass can then only
+    invalidate or fill that single row, so it cannot create duplicates and
+    needs no distinct of its own."""
     p1 = reduce_and_validate(x1, cfg, [cfg.a_col, cfg.time_col], [*cfg.other_matches, cfg.b_col], split_cols=[TB_A])
     x2 = p1.repartition(cfg.b_col, TB_B, NB)
     return reduce_and_validate(x2, cfg, [cfg.b_col, cfg.time_col], [*cfg.other_matches, cfg.a_col],
-                               split_cols=[TB_B, NB])
+                               split_cols=[TB_B, NB], dedupe=False)
 
 
 def _output_columns(df_columns: list[str], cfg: MatchConfig) -> list[str]:
@@ -215,7 +221,7 @@ def mark_valid_starts(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     """Set the validity flag, then validate per (a, time) and per (b, time)."""
     cols = _output_columns(df.columns, cfg)
     x = df.withColumn(cfg.valid_col, start_flag(cfg))
-    x = _with_helpers(x, cfg).repartition(cfg.a_col, TB_A)
+    x = _with_helpers(x, cfg).distinct().repartition(cfg.a_col, TB_A)
     return _validate_both(x, cfg).select(*cols)
 
 

@@ -34,6 +34,7 @@ def reduce_and_validate(
     key_cols: Sequence[str],
     match_cols: Sequence[str],
     split_cols: Sequence[str] = (),
+    dedupe: bool = True,
 ) -> DataFrame:
     """T4: per key, invalidate START rows whose match columns disagree, fill
     the single agreed value into the others, then drop duplicate rows.
@@ -43,6 +44,8 @@ def reduce_and_validate(
     rows of the key, whatever their status or validity.  ``split_cols`` are
     extra partition columns that are functions of the key (e.g. a time
     bucket); they refine the partitioning without changing the groups.
+    ``dedupe=False`` skips the final distinct where the caller knows it
+    cannot find duplicates.
     """
     overlap = set(key_cols) & set(match_cols) | ({cfg.valid_col} & (set(key_cols) | set(match_cols)))
     if overlap:
@@ -75,4 +78,4 @@ def reduce_and_validate(
         F.when(valid_start & ~prefix_ok, F.lit(False)).otherwise(F.col(cfg.valid_col)).alias(cfg.valid_col)
     )
     out = staged.select(*[new_cols.get(c, F.col(c)) for c in base])
-    return out.distinct()
+    return out.distinct() if dedupe else out
