@@ -53,8 +53,9 @@ def q_timestamp_difference(spark, sf):
     e = _t(spark, sf, "events")
     return e.select(
         "event_id",
-        S.timestamp_diff_micros(F.col("ts"), F.date_trunc("day", "ts")).alias("micros_into_day"),
-        S.timestamp_diff_micros(F.date_trunc("month", "ts"), F.col("ts")).alias("micros_from_month_start"),
+        S.timestamp_diff_micros(F.col("ts"), F.date_trunc("day", "ts").cast("timestamp_ntz")).alias("micros_into_day"),
+        S.timestamp_diff_micros(F.date_trunc("month", "ts").cast("timestamp_ntz"), F.col("ts"))
+        .alias("micros_from_month_start"),
     )
 
 

@@ -45,7 +45,8 @@ def match_events(spark: SparkSession, sf_dir: str, truncate: str = "hour") -> Da
         uid.alias("a"),
         b.alias("b"),
         status.alias("status"),
-        F.date_trunc(truncate, F.col("ts")).alias("t"),
+        # date_trunc yields a session-zone TIMESTAMP; keep the wall clock.
+        F.date_trunc(truncate, F.col("ts")).cast("timestamp_ntz").alias("t"),
         F.when(k % 7 == 0, F.lit(None).cast("long")).otherwise(uid % 3).alias("o1"),
         F.when(k % 11 == 0, k).alias("o2"),
     )

@@ -56,3 +56,13 @@ def test_query_matches_oracle(spark, duck, name):
     idx = {c: i for i, c in enumerate(ocols)}
     exp = sorted((tuple(_norm(r[idx[c]]) for c in sorted(cols)) for r in res.fetchall()), key=repr)
     assert got == exp
+
+
+@pytest.mark.parametrize("name", ["filter_null_a", "timestamp_difference", "match_ranges_assume_start"])
+def test_results_do_not_depend_on_session_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_query_matches_oracle(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
