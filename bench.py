@@ -23,7 +23,6 @@ HEADLINE = [
     "match_ranges_ignore",
     "match_ranges_assume_start",
     "match_ranges_end_only",
-    "match_connected",
     "next_event",
     "windowed_value_set",
     "range_frame_sum",
