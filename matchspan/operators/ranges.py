@@ -4,18 +4,20 @@ range ended, adjacent ranges of a pair merged.
 
 Physical shape of :func:`match_ranges` (full-data exchanges in brackets):
 
-1. prepare (narrow) -> [hash a, bucket] -> validate on (a, t) -> distinct
-2. [hash b, bucket, null-b spread] -> validate on (b, t) -> distinct
+0. prepare (narrow); one small job finds the hot keys of a and of b
+1. [hash of all columns] early distinct (partial aggregate map-side)
+2. [hash a, a-bucket] -> validate on (a, t) -> distinct
+3. [hash b, b-bucket, null-b spread] -> validate on (b, t)
    -> next row by ``b`` -> end candidate B
-3. [hash a, bucket] -> next row by ``a`` -> end candidate A
-   -> least(A, B) = chosen end (row-local, no window)
-4. ranges only: [hash a, b, bucket] -> islands of adjacent ranges
+4. [hash a, a-bucket] -> next row by ``a`` -> end candidate A
+   -> least(A, B) = chosen end (row-local, no window) -> checkpoint
+5. ranges only: [hash a, b, bucket] -> islands of adjacent ranges
    -> partial/final aggregate per island
 
-``bucket`` is a monotone function of time per key (see ``timeline``): a
-fixed width, and a finer one for the hottest keys, so a hot key spreads over
-many tasks; rows on bucket edges are fixed from small per-bucket summaries.  The per-bucket first rows of both directions are
-aggregated from the first exchange, which Spark reuses.
+A bucket is a monotone function of time per key (see ``timeline``): a fixed
+width, and a finer one for the hottest keys, so a hot key spreads over many
+tasks.  Rows on bucket edges take the next bucket's first row from small
+per-bucket summaries, which are partial aggregates of the prepared rows.
 """
 
 from __future__ import annotations
@@ -87,6 +89,9 @@ def _with_widths(x: DataFrame, cfg: MatchConfig, keys: list[tuple[str, str, str]
 
 def _with_helpers(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     """Time units, per-side time buckets (hot keys cut finer) and the null-b spread."""
+    clash = sorted(_HELPERS & set(df.columns))
+    if clash:
+        raise ValueError(f"column names {clash} are reserved for the analysis")
     tdt = df.schema[cfg.time_col].dataType
     a, b, t = F.col(cfg.a_col), F.col(cfg.b_col), F.col(cfg.time_col)
     u = time_units(t, tdt)
@@ -133,8 +138,8 @@ def _bucket_firsts(df: DataFrame, cfg: MatchConfig, keys: list[str], counterpart
 def _firsts_b(x: DataFrame, cfg: MatchConfig) -> DataFrame:
     """Per-bucket first rows keyed by ``b``.  Rows with null ``b`` all fall in
     one group per bucket here (their spread value is not a key); they never
-    join back, because null ``b`` never equals anything.  No filter is used,
-    so this branch shares the prepared rows' exchange with the main plan."""
+    join back, because null ``b`` never equals anything, so no filter is
+    needed."""
     firsts = _bucket_firsts(x, cfg, [cfg.b_col], cfg.a_col, TB_B)
     return firsts.select(cfg.b_col, F.lit(0).cast("long").alias(NB), TB_B, "_bucket_next")
 
