@@ -364,7 +364,14 @@ def chosen_ranges(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     ).where(F.col(FINAL_END_TIME).isNotNull())
 
 
-def match_ranges(df: DataFrame, cfg: MatchConfig, checkpoint: bool = True) -> DataFrame:
+def unexpected_statuses(df: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """Prepared rows whose status is neither START nor END (null passes, as
+    in the original's precondition).  Empty for a well-formed input."""
+    x = initialize(df, cfg)
+    return x.where(~F.col(cfg.status_col).isin(START, END))
+
+
+def match_ranges(df: DataFrame, cfg: MatchConfig, checkpoint: bool = True, validate: bool = False) -> DataFrame:
     """Prepare -> validate starts -> end candidates -> choose -> merge.
 
     Output: the declared input columns (status as ordinal 1, time = start),
@@ -374,8 +381,15 @@ def match_ranges(df: DataFrame, cfg: MatchConfig, checkpoint: bool = True) -> Da
 
     With ``checkpoint`` (default) the chosen ranges are written to the
     session's checkpoint folder (``spark.checkpoint.dir``) before the merge,
-    which runs a job at call time.
+    which runs a job at call time.  ``validate`` first checks that no row has
+    a status other than START or END after preparation (it cannot happen with
+    the two update policies; it guards hand-made status maps).
     """
+    if validate:
+        # Opt-in eager check (one job); the original always ran it.
+        bad = unexpected_statuses(df, cfg).limit(1).count()
+        if bad:
+            raise ValueError("rows with a status other than START or END after preparation")
     ranges = chosen_ranges(df, cfg)
     tdt = df.schema[cfg.time_col].dataType
     if checkpoint:

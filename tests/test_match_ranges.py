@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import assert_same_rows, make_df
 from matchspan.config import EndReason, MatchConfig, UpdatePolicy
-from matchspan.operators.ranges import chosen_ranges, match_ranges
+from matchspan.operators.ranges import chosen_ranges, match_ranges, unexpected_statuses
 from model import model
 
 SCHEMA = "a int, b int, status string, t int, o1 int, o2 int"
@@ -200,3 +200,11 @@ def test_one_hot_pair_split_finely(spark):
         expected = model([dict(zip(["a", "b", "status", "t", "o1", "o2"], r)) for r in rows], cfg)
         got = run(spark, rows, cfg)
         assert {tuple(r[c] for c in OUT) for r in got.collect()} == expected
+
+
+def test_validate_option(spark):
+    rows = [(0, 0, "start", 1, None, None), (0, 0, "update", 2, None, None), (0, 0, "end", 3, None, None),
+            (0, 0, "other", 4, None, None)]
+    for cfg in (IGNORE, ASSUME):
+        assert unexpected_statuses(make_df(spark, rows, SCHEMA), cfg).count() == 0
+        assert match_ranges(make_df(spark, rows, SCHEMA), cfg, validate=True).count() == 1
