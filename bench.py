@@ -23,6 +23,7 @@ HEADLINE = [
     "match_ranges_ignore",
     "match_ranges_assume_start",
     "match_ranges_end_only",
+    "match_ranges_hot_key",
     "next_event",
     "windowed_value_set",
     "range_frame_sum",

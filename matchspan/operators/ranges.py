@@ -64,6 +64,10 @@ def _reason_name(ordinal: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), ordinal)
 
 
+def _default_width_of(x: DataFrame, cfg: MatchConfig) -> float | None:
+    return default_width(x.schema[cfg.time_col].dataType, cfg.split_width) if cfg.time_col in x.columns else None
+
+
 def _with_widths(x: DataFrame, cfg: MatchConfig, keys: list[tuple[str, str, str]]) -> DataFrame:
     """Join each key's hot-key origin and width (null for keys that are not
     hot).  The width tables hold at most ``max_hot_keys`` rows each, so they
@@ -75,7 +79,8 @@ def _with_widths(x: DataFrame, cfg: MatchConfig, keys: list[tuple[str, str, str]
     # side; at most ``max_hot_keys`` rows each come back).  The tables are then
     # local relations: every branch of the plan broadcasts them without
     # recomputing them.
-    tables = [hot_key_widths(x, key, U, cfg.rows_per_bucket, cfg.max_hot_keys, lo, w) for key, lo, w in keys]
+    dw = _default_width_of(x, cfg)
+    tables = [hot_key_widths(x, key, U, cfg.rows_per_bucket, cfg.max_hot_keys, lo, w, dw) for key, lo, w in keys]
     both = tables[0]
     for t in tables[1:]:
         both = both.unionByName(t, allowMissingColumns=True)

@@ -52,10 +52,10 @@ def bucket_of(units: Column, lo: Column, width: Column, default: float | None) -
 
 
 def hot_key_widths(x: DataFrame, key: str, units: str, rows_per_bucket: int, max_keys: int,
-                   lo_name: str, width_name: str) -> DataFrame:
+                   lo_name: str, width_name: str, max_width: float | None = None) -> DataFrame:
     """Per-key widths for the keys that hold more than ``rows_per_bucket``
     rows: their time span is cut into about ``rows / rows_per_bucket`` equal
-    buckets.  Counting is a partial aggregate; only the ``max_keys`` hottest
+    buckets, and never coarser than ``max_width``.  Counting is a partial aggregate; only the ``max_keys`` hottest
     keys are kept, so the result -- which is collected and broadcast -- has
     at most ``max_keys`` rows.  Keys left out keep the default width; results do not
     depend on the choice."""
@@ -67,7 +67,10 @@ def hot_key_widths(x: DataFrame, key: str, units: str, rows_per_bucket: int, max
            .orderBy(F.col("_n").desc(), F.col(key).asc())
            .limit(max_keys))
     parts = F.ceil(F.col("_n") / F.lit(rows_per_bucket))
-    return hot.select(key, F.col("_lo").alias(lo_name), ((F.col("_hi") - F.col("_lo")) / parts).alias(width_name))
+    width = (F.col("_hi") - F.col("_lo")) / parts
+    if max_width:  # never cut a hot key coarser than the ordinary keys
+        width = F.least(width, F.lit(float(max_width)))
+    return hot.select(key, F.col("_lo").alias(lo_name), width.alias(width_name))
 
 
 def time_bucket(col: Column, dtype: T.DataType, width: float | None) -> Column:

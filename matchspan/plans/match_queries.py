@@ -9,8 +9,8 @@ from ..config import EndReason, MatchConfig, UpdatePolicy
 from ..operators import prepare, ranges
 from ..operators.validate import reduce_and_validate, start_flag
 from ..session import ensure_checkpoint_dir
-from ..sources.tables import match_events
-from .match_sql import MATCH_EVENTS_SQL, match_sql
+from ..sources.tables import hot_user, match_events
+from .match_sql import HOT_MATCH_EVENTS_SQL, MATCH_EVENTS_SQL, match_sql
 
 # The two configurations exercised by the original tests: the module-level
 # one (IGNORE policy plus both optional filters) and the end-to-end one
@@ -36,6 +36,12 @@ def q_match_ranges_end_only(spark: SparkSession, sf: str) -> DataFrame:
     return ranges.match_ranges(match_events(spark, sf), END_ONLY_CFG)
 
 
+def q_match_ranges_hot_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Skew scenario: a third of all events under one key, which gets its own
+    finer bucket width (any key above 1,000 rows counts as hot here)."""
+    return ranges.match_ranges(match_events(spark, sf, user=hot_user()), ASSUME_CFG.with_hot_keys(1000))
+
+
 def q_match_initialized(spark: SparkSession, sf: str) -> DataFrame:
     return prepare.initialize(match_events(spark, sf), IGNORE_CFG)
 
@@ -108,6 +114,7 @@ QUERIES = {
     "match_ranges_ignore": q_match_ranges_ignore,
     "match_ranges_assume_start": q_match_ranges_assume_start,
     "match_ranges_end_only": q_match_ranges_end_only,
+    "match_ranges_hot_key": q_match_ranges_hot_key,
     "match_initialized": q_match_initialized,
     "match_reduce_by_a": q_match_reduce_by_a,
     "match_valid_starts": q_match_valid_starts,
@@ -127,6 +134,7 @@ ORACLE = {
     "match_ranges_ignore": match_sql("ignore", _FILTERS),
     "match_ranges_assume_start": match_sql("assume_start", []),
     "match_ranges_end_only": match_sql("ignore", [], reasons=[1]),
+    "match_ranges_hot_key": match_sql("assume_start", [], events_sql=HOT_MATCH_EVENTS_SQL),
     "match_initialized": match_sql("ignore", _FILTERS, upto="init"),
     "match_reduce_by_a": match_sql("assume_start", [], upto="p1"),
     "match_valid_starts": match_sql("assume_start", [], upto="valid"),

@@ -21,6 +21,11 @@ SELECT user_id AS a,
 FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) e
 """
 
+# The same log with every third user folded into key 0 (one hot key).
+HOT_MATCH_EVENTS_SQL = MATCH_EVENTS_SQL.replace(
+    "FROM events) e",
+    "FROM (SELECT * REPLACE (CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id) FROM events)) e")
+
 _REASON_CASE = "CASE {o} " + " ".join(f"WHEN {r.value} THEN '{r.name}'" for r in EndReason) + " END "
 
 
@@ -87,13 +92,14 @@ def _direction(src: str, name: str, k: str, c: str, reasons: list[int]) -> str:
   FROM {name}_l)"""
 
 
-def match_sql(policy: str, filters: list[str], reasons: list[int] | None = None, upto: str = "merged") -> str:
+def match_sql(policy: str, filters: list[str], reasons: list[int] | None = None, upto: str = "merged",
+              events_sql: str = MATCH_EVENTS_SQL) -> str:
     """SQL for one configuration of the analysis over ``match_events``.
 
     ``upto`` selects the stage returned: init, p1, valid, cands, final, merged.
     """
     reasons = reasons or [r.value for r in EndReason]
-    parts = [f"me AS ({MATCH_EVENTS_SQL})", _recode(policy, filters).strip()]
+    parts = [f"me AS ({events_sql})", _recode(policy, filters).strip()]
     parts.append("v0 AS (SELECT *, COALESCE(status = 1 AND a IS NOT NULL AND b IS NOT NULL, false) AS v FROM init)")
     parts.append(_pass("v0", "p1", ["a", "t"], ["o1", "o2", "b"]))
     parts.append(_pass("p1", "p2", ["b", "t"], ["o1", "o2", "a"]))

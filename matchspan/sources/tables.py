@@ -23,7 +23,14 @@ def props_k() -> F.Column:
     return F.get_json_object(F.col("props"), "$.k").cast("int")
 
 
-def match_events(spark: SparkSession, sf_dir: str, truncate: str = "hour") -> DataFrame:
+def hot_user() -> F.Column:
+    """``user_id`` with every third user folded into key 0: one key then holds
+    about a third of all events (every row is kept)."""
+    uid = F.col("user_id")
+    return F.when(uid % 3 == 0, F.lit(0).cast("long")).otherwise(uid)
+
+
+def match_events(spark: SparkSession, sf_dir: str, truncate: str = "hour", user: F.Column | None = None) -> DataFrame:
     """Event log shaped for the match-range operator (roles a, b, t, status;
     other matches o1, o2), derived from ``events``:
 
@@ -31,10 +38,12 @@ def match_events(spark: SparkSession, sf_dir: str, truncate: str = "hour") -> Da
     * t = ts truncated to the hour (raw ts never ties)
     * status: signup, purchase -> start; view, click -> update; error -> end
     * o1 = null when k % 7 = 0, else user_id % 3; o2 = k when k % 11 = 0, else null
+
+    ``user`` replaces ``user_id`` in all of the above (see :func:`hot_user`).
     """
     ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "props")
     k = props_k()
-    uid = F.col("user_id")
+    uid = F.col("user_id") if user is None else user
     b = (F.when(k % 10 == 0, F.lit(None).cast("long"))
          .when((k % 10).isin(1, 2), uid + 1)
          .otherwise(uid))

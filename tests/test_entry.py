@@ -29,6 +29,7 @@ def test_keys_consistent():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"random_table"}
+    assert len(o) == 54
 
 
 def test_entry_runs(spark):
