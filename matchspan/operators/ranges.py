@@ -92,8 +92,10 @@ def _with_widths(x: DataFrame, cfg: MatchConfig, keys: list[tuple[str, str, str]
     return x
 
 
-def _with_helpers(df: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """Time units, per-side time buckets (hot keys cut finer) and the null-b spread."""
+def _with_helpers(df: DataFrame, cfg: MatchConfig, b_side: bool = True) -> DataFrame:
+    """Time units, per-side time buckets (hot keys cut finer) and the null-b
+    spread.  ``b_side=False`` skips the hot-key search for ``b`` (its buckets
+    then use the default width) when only ``a``-keyed windows follow."""
     clash = sorted(_HELPERS & set(df.columns))
     if clash:
         raise ValueError(f"column names {clash} are reserved for the analysis")
@@ -101,7 +103,10 @@ def _with_helpers(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     a, b, t = F.col(cfg.a_col), F.col(cfg.b_col), F.col(cfg.time_col)
     u = time_units(t, tdt)
     x = df.select("*", (u if u is not None else F.lit(None).cast("double")).alias(U))
-    x = _with_widths(x, cfg, [(cfg.a_col, LO_A, W_A), (cfg.b_col, LO_B, W_B)])
+    x = _with_widths(x, cfg, [(cfg.a_col, LO_A, W_A), (cfg.b_col, LO_B, W_B)] if b_side else
+                     [(cfg.a_col, LO_A, W_A)])
+    if not b_side:
+        x = x.select("*", F.lit(None).cast("double").alias(LO_B), F.lit(None).cast("double").alias(W_B))
     dw = default_width(tdt, cfg.split_width)
     return x.select(
         "*",
@@ -411,7 +416,7 @@ def next_event(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     before START, b and others nulls last) as next_t, next_status, next_b --
     exact across time buckets."""
     cols = list(df.columns)
-    x = _with_helpers(df, cfg)
+    x = _with_helpers(df, cfg, b_side=False)
     firsts = _bucket_firsts(x, cfg, [cfg.a_col], cfg.b_col, TB_A)
     out = lead_across_buckets(
         x.repartition(cfg.a_col, TB_A), [cfg.a_col], TB_A, _order(cfg, cfg.b_col),
