@@ -208,3 +208,29 @@ def test_validate_option(spark):
     for cfg in (IGNORE, ASSUME):
         assert unexpected_statuses(make_df(spark, rows, SCHEMA), cfg).count() == 0
         assert match_ranges(make_df(spark, rows, SCHEMA), cfg, validate=True).count() == 1
+
+
+@pytest.mark.parametrize("hot", list(HOT))
+def test_next_event_against_brute_force(spark, hot):
+    from matchspan.operators.prepare import initialize
+    from matchspan.operators.ranges import next_event
+    from model import _desc_nl, _nl
+    rng = random.Random(11)
+    rows = []
+    for case in range(30):
+        rows += _random_log(rng, case, rng.randint(3, 14))
+    cfg = IGNORE.with_split_width(1).with_hot_keys(*HOT[hot])
+    got = next_event(initialize(make_df(spark, rows, SCHEMA), cfg), cfg).collect()
+    prepared = [r.asDict() for r in initialize(make_df(spark, rows, SCHEMA), cfg).collect()]
+    by_a = {}
+    for r in prepared:
+        by_a.setdefault(r["a"], []).append(r)
+    expected = []
+    for rs in by_a.values():
+        rs.sort(key=lambda r: (r["t"], _desc_nl(r["status"]), _nl(r["b"]), _nl(r["o1"]), _nl(r["o2"])))
+        for i, r in enumerate(rs):
+            n = rs[i + 1] if i + 1 < len(rs) else None
+            expected.append((r["a"], r["b"], r["status"], r["t"], r["o1"], r["o2"],
+                             n and n["t"], n and n["status"], n and n["b"]))
+    cols = ["a", "b", "status", "t", "o1", "o2", "next_t", "next_status", "next_b"]
+    assert sorted((tuple(r[c] for c in cols) for r in got), key=repr) == sorted(expected, key=repr)
