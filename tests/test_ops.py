@@ -214,3 +214,15 @@ def test_rate_stream_has_watermark(spark):
     assert s.isStreaming
     assert "EventTimeWatermark" in s._jdf.queryExecution().analyzed().toString()
     assert s.columns == ["value", "time"]
+
+
+def test_partition_pruning_on_read_back(spark):
+    from matchspan.plans.explain import _collect_scans
+    df = spark.range(200).select((F.col("id") % 4).alias("part"), F.col("id"))
+    p = scratch_path(spark, "t-prune")
+    sinks.write_partitioned(df, p, ["part"])
+    q = sinks.read_parquet(spark, p).where("part = 2")
+    assert q.count() == 50
+    scans = _collect_scans(q._jdf.queryExecution().executedPlan())
+    meta = scans[0].metadata()
+    assert "part" in meta.get("PartitionFilters").get() and "2" in meta.get("PartitionFilters").get()
