@@ -21,10 +21,14 @@ UPPER_AZ, LOWER_AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # the workers' Python finds this package also where the driver runs in another folder
+def known_to_workers(spark: SparkSession) -> SparkSession:
+    """Lets the workers' Python find this package also where the driver runs in another folder."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return known_to_workers(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:

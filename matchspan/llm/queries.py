@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchspan.llm import bpe, chat_format, decontaminate, exact_dedup, license_scan, token_count, warc
-from matchspan.llm.common import read
+from matchspan.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, quality, token_count, toxicity, warc
+from matchspan.llm.common import held_out, read
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,16 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = read(spark, sf_dir, "documents"), held_out(4, 2)
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels"), "toxic", held), held)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = read(spark, sf_dir, "documents"), held_out(5, 0)
+    return quality.score(docs, quality.fit(docs, read(spark, sf_dir, "labels"), "quality", held), held)
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
@@ -37,6 +47,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(read(spark, sf_dir, "documents"), width=5, least=0.8)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"), min_bytes=0)
 
@@ -50,9 +64,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
+    "op3_toxicity": op3_toxicity,
+    "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
     "op6_bpe_codec": op6_bpe_codec,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_warc": op9_warc,
     "op10_chat_format": op10_chat_format,
 }
