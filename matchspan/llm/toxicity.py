@@ -6,8 +6,8 @@ compressed with the ordinary dictionary and with the toxic one; the difference
 of the lengths is how much toxic text explains it better.  Both dictionaries
 hold the same body, trained on windows of ordinary documents.  The toxic one has
 a tail trained on the words of toxic documents that toxic documents use
-significantly more often (a two-sample test of document shares, at least
-``LEAST_Z`` deviations), the ordinary one a tail of the words that ordinary
+significantly more often (a two-sample test of document shares: at least
+``LEAST_Z`` deviations, and ``TOP_Z`` of the most telling word's), the ordinary one a tail of the words that ordinary
 documents use more often.  A logistic model of a document's window differences
 (largest, mean, mean of the five largest, shares above two lengths) is
 calibrated on documents that the dictionaries have not seen.
@@ -37,8 +37,8 @@ from matchspan.llm.common import WORDS, slices, text_or_empty, written
 from matchspan.llm.quality import logistic_fit, sampled, training_labels
 
 WINDOW, STEP = 8, 4
-SAMPLE, SAMPLE_WINDOWS, WORDS_KEPT = 4000, 20_000, 4000
-BODY_BYTES, TAIL_BYTES, LEAST_Z = 16_384, 2048, 5.0
+SAMPLE, SAMPLE_WINDOWS, WORDS_KEPT = 4000, 60_000, 4000
+BODY_BYTES, TAIL_BYTES, LEAST_Z, TOP_Z = 65_536, 1024, 5.0, 0.4
 #: Bytes of a training window, and training lines of a class, at most.
 LINE_BYTES, LINES = 512, 40_000
 
@@ -51,7 +51,7 @@ def windows(text: str) -> list[bytes]:
 def _compressor(dictionary: bytes):
     level = zstandard.ZstdCompressionParameters(
         format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0, compression_level=1,
-        strategy=zstandard.STRATEGY_DFAST, min_match=6, window_log=17, hash_log=14, chain_log=14)
+        strategy=zstandard.STRATEGY_DFAST, min_match=5, window_log=19, hash_log=17, chain_log=17)
     content = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     content.precompute_compress(compression_params=level)
     return zstandard.ZstdCompressor(dict_data=content, compression_params=level)
@@ -151,7 +151,8 @@ def _tail(made: DataFrame, totals: dict[int, int], y: int) -> bytes:
     p = (F.col("a") + F.col("b") + 1) / (n + m + 2)
     z = (F.col("a") / n - F.col("b") / m) / F.sqrt(p * (1 - p) * (1 / n + 1 / m))
     top = counts.withColumn("z", z).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "w").limit(WORDS_KEPT)
-    chosen = {bytes(r["w"]) for r in top.collect()}
+    top = top.collect()
+    chosen = {bytes(r["w"]) for r in top if r["z"] >= TOP_Z * top[0]["z"]}
     if not chosen:
         return b""
 
