@@ -55,9 +55,9 @@ COUNTED = 1.3
 #: Rows of a frequent pivot in one task.
 SALT_ROWS = 2000
 #: Centres a region and round; rounds at most; pairs that are met one by one, as a multiple of the regions' rows.
-CENTRES, ROUNDS, PAIRS = 3, 8, 30
-#: Bits of the screen through which texts are picked for comparison (1 MB at any size of the table).
-SCREEN_BITS = 1 << 23
+CENTRES, ROUNDS, PAIRS = 2, 10, 3
+#: Values of the screen through which texts are picked for comparison.
+SCREEN_VALUES = 1 << 20
 
 _BLANK = bytes(32 if 9 <= c <= 13 else c for c in LOWER)
 _RANDOM = np.random.default_rng(20240601)
@@ -241,33 +241,32 @@ def _pairs_batch(rows: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1])], names=["pivot", "node"])
 
 
-def linked(texts: DataFrame, pairs: DataFrame, width: int, least: tuple[int, int]) -> DataFrame:
-    """The rows (a, b) of ``pairs`` whose sets link, by exact comparison of whole sets."""
-    spark = texts.sparkSession
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-    bit = F.pmod("node", F.lit(SCREEN_BITS)) + 1  # bitmaps count from 1
-    maps = nodes.groupBy(F.bitmap_bucket_number(bit).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
-    screen = np.zeros(SCREEN_BITS, bool)
-    for r in maps:  # at most SCREEN_BITS / 32768 rows of 4 KB
-        found = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
-        screen[(r["at"] - 1) * 32768 + np.flatnonzero(found)] = True
-    sent = spark.sparkContext.broadcast(np.packbits(screen))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(sent.value).astype(bool)
+def linked(docs: DataFrame, ids: DataFrame, pairs: DataFrame, width: int, least: tuple[int, int]) -> DataFrame:
+    """The rows (a, b) of ``pairs`` whose sets link, by exact comparison of whole
+    sets.  ``docs``: id, text; ``ids``: node, id of one document with that set.
+
+    Texts are picked by a screen of id hashes, at most SCREEN_VALUES numbers at
+    any size of the table, so that few texts of other documents are shuffled."""
+    value = F.pmod(F.xxhash64("id"), F.lit(SCREEN_VALUES))
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = written(ids.join(nodes, "node", "left_semi"))
+    screen = wanted.select(value.alias("value")).distinct()
+    picked = docs.withColumn("value", value).join(F.broadcast(screen), "value", "left_semi").select("text")
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for b in slices(batches):
             out = []
             for text in b.column(0).to_pylist():
                 keys = shingles(text, width)
-                if not len(keys):
-                    continue
-                node, _ = _node(keys)
-                if node not in seen and bits[node % SCREEN_BITS]:
-                    seen.add(node)
-                    out.append((node, text))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.string())], names=["node", "text"])
+                if len(keys):
+                    node, _ = _node(keys)
+                    if node not in seen:
+                        if len(seen) > 500_000:
+                            seen.clear()
+                        seen.add(node)
+                        out.append((node, text))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.string())], names=["node", "text"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, np.ndarray] = {}
@@ -283,7 +282,7 @@ def linked(texts: DataFrame, pairs: DataFrame, width: int, least: tuple[int, int
                 ok.append(least[1] * both >= least[0] * (len(p) + len(q) - both))
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    one = texts.mapInArrow(pick, "node long, text string").groupBy("node").agg(F.first("text").alias("text"))
+    one = picked.mapInArrow(name, "node long, text string").join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     met = pairs.select("a", "b").join(one.withColumnsRenamed({"node": "a", "text": "ta"}), "a").join(one.withColumnsRenamed({"node": "b", "text": "tb"}), "b")
     return met.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long")
 
@@ -313,11 +312,12 @@ def link_components(docs: DataFrame, width: int = 5, least: float = 0.8, id_col:
     """``id_col``, n_shingles, component_id of every row."""
     ratio = _ratio(least)
     texts = docs.select(text_or_empty(text_col).alias("text"))
+    named = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     signed = written(signatures(docs, width, id_col, text_col))
-    sets = signed.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.min("check").alias("lo"), F.max("check").alias("hi"))
+    sets = written(signed.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.min("id").alias("id"), F.min("check").alias("lo"), F.max("check").alias("hi")))
     if not sets.where("lo <> hi").isEmpty():
         raise ValueError("two sets share a 64-bit name")
-    sets = sets.select("node", "n")
+    ids, sets = sets.select("node", "id"), sets.select("node", "n")
     rows = written(regions(texts, width, ratio, frequent(texts, width, ratio, hot)).join(sets, "node"))
     labels = written(rows.select("node").distinct().withColumn("comp", F.col("node")))
     total = rows.count()
@@ -327,13 +327,13 @@ def link_components(docs: DataFrame, width: int = 5, least: float = 0.8, id_col:
         if not cross:
             break
         if turn and (cross <= pairs_per_row * total or turn == rounds):
-            labels = components(labels, linked(texts, written(_each_pair(live, ratio)), width, ratio))
+            labels = components(labels, linked(named, ids, written(_each_pair(live, ratio)), width, ratio))
             break
-        labels = components(labels, linked(texts, written(_centres(live, ratio, turn)), width, ratio))
+        labels = components(labels, linked(named, ids, written(_centres(live, ratio, turn)), width, ratio))
 
-    named = signed.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    smallest = named.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("component_id"))
-    whole = named.join(smallest, "comp", "left")
+    marked = signed.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    smallest = marked.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("component_id"))
+    whole = marked.join(smallest, "comp", "left")
     return whole.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("comp").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
@@ -357,8 +357,9 @@ def _near(n: str, m: str, least: tuple[int, int]):
 
 def _centres(live: DataFrame, least: tuple[int, int], turn: int) -> DataFrame:
     """Pairs (a, b) of a document and a centre of its region, of different components."""
-    picks = live.groupBy("pivot").agg(*[F.min(F.struct(F.xxhash64("node", F.lit(turn * CENTRES + i)).alias("h"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"))).alias(f"c{i}") for i in range(CENTRES)])
-    picks = picks.select("pivot", F.explode(F.array_distinct(F.array(*[F.struct(f"c{i}.b", f"c{i}.m", f"c{i}.cb") for i in range(CENTRES)]))).alias("c")).select("pivot", "c.*")
+    centres = CENTRES if turn else 1
+    picks = live.groupBy("pivot").agg(*[F.min(F.struct(F.xxhash64("node", F.lit(turn * CENTRES + i)).alias("h"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"))).alias(f"c{i}") for i in range(centres)])
+    picks = picks.select("pivot", F.explode(F.array_distinct(F.array(*[F.struct(f"c{i}.b", f"c{i}.m", f"c{i}.cb") for i in range(centres)]))).alias("c")).select("pivot", "c.*")
     met = live.join(picks, "pivot").where(F.col("comp") != F.col("cb")).where(_near("n", "m", least))
     return met.select(F.col("node").alias("a"), "b").distinct()
 
