@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from matchspan.llm.common import text_or_empty, written
 
 #: Snapshot digests that one filter holds on average.
-BUCKET_KEYS = 50_000
+BUCKET_KEYS = 4_000
 M = np.uint64(0xFF51AFD7ED558CCD)
 
 
