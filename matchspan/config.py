@@ -73,9 +73,11 @@ class MatchConfig:
     a hot key is spread over many tasks; results do not depend on it.  It is
     in time units for numeric time, in days for dates and in hours for
     timestamps.  ``None`` picks 24 hours for timestamps, 30 days for dates
-    and one bucket for numeric time.  On top of that, the ``max_hot_keys``
-    keys with more than ``rows_per_bucket`` rows get their own, finer width
-    (``rows_per_bucket=None`` switches this off).
+    and one bucket for numeric time.  On top of that, all keys with more than
+    ``rows_per_bucket`` rows get their own, finer width
+    (``rows_per_bucket=None`` switches this off).  If these are more than
+    ``max_hot_keys``, the bound on rows is raised until they are not, so that
+    no key above the bound is left whole and what is sent stays bounded.
     """
 
     a_col: str
@@ -90,7 +92,7 @@ class MatchConfig:
     optional_filters: tuple[OptionalFilter, ...] = field(default=())
     split_width: float | None = None
     rows_per_bucket: int | None = 1_000_000
-    max_hot_keys: int = 4096
+    max_hot_keys: int = 65_536
 
     def __post_init__(self) -> None:
         roles = [self.valid_col, self.a_col, self.b_col, self.time_col, self.status_col, *self.other_matches]
@@ -133,7 +135,7 @@ class MatchConfig:
     def with_split_width(self, width: float | None) -> "MatchConfig":
         return dataclasses.replace(self, split_width=width)
 
-    def with_hot_keys(self, rows_per_bucket: int | None, max_hot_keys: int = 4096) -> "MatchConfig":
+    def with_hot_keys(self, rows_per_bucket: int | None, max_hot_keys: int = 65_536) -> "MatchConfig":
         return dataclasses.replace(self, rows_per_bucket=rows_per_bucket, max_hot_keys=max_hot_keys)
 
     # -- derived ----------------------------------------------------------

@@ -23,10 +23,14 @@ def dedup_keep_first(df: DataFrame, subset: Sequence[str], order_by: Sequence[st
     ``order_by`` (then by the remaining columns), so the kept row is defined.
     A min over a struct aggregates partially before the shuffle: a hot key
     costs one row per task, unlike a row_number window."""
-    rest = [c for c in df.columns if c not in subset and c not in order_by]
-    best = F.min(F.struct(*order_by, *rest)).alias("_keep")
-    out = df.groupBy(*subset).agg(best)
-    return out.select(*[F.col(c) if c in subset else F.col(f"_keep.{c}").alias(c) for c in df.columns])
+    q = {c: F.col(f"`{c.replace('`', '``')}`") for c in df.columns}
+    kept = [c for c in df.columns if c not in subset]
+    # what cannot be ordered (maps and what holds them) is ordered by its text
+    rest = [F.to_json(F.struct(q[c])) if "map<" in df.schema[c].dataType.simpleString() else q[c] for c in kept if c not in order_by]
+    best = F.min_by(F.struct(*[q[c].alias(f"f{i}") for i, c in enumerate(kept)]), F.struct(*[q[c] for c in order_by], *rest)).alias("_keep")
+    out = df.groupBy(*[q[c].alias(f"_s{i}") for i, c in enumerate(subset)]).agg(best)
+    at = {c: F.col(f"_s{i}") for i, c in enumerate(subset)} | {c: F.col(f"_keep.f{i}") for i, c in enumerate(kept)}
+    return out.select(*[at[c].alias(c) for c in df.columns])
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
@@ -39,7 +43,19 @@ def value_set_size(df: DataFrame, keys: Sequence[str], value: str, out: str) ->
     its key group -- what ``size(collect_set(value) OVER (PARTITION BY keys))``
     gives, computed as a partial aggregate joined back (null-safe on keys) so
     that a hot key is reduced before its shuffle and AQE can split the join."""
-    sizes = df.groupBy(*keys).agg(F.count_distinct(value).alias(out)).alias("_r")
+    return _joined_back(df, keys, F.count_distinct(F.col(value)), out)
+
+
+def value_set(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """For every row, the sorted distinct non-null ``value`` of its key group
+    (``collect_set(value) OVER (PARTITION BY keys)`` with a defined order).  The
+    set of a key is one value of the result, so it must fit into memory."""
+    return _joined_back(df, keys, F.array_sort(F.collect_set(F.col(value))), out)
+
+
+def _joined_back(df: DataFrame, keys: Sequence[str], agg, out: str) -> DataFrame:
+    """A group's aggregate on each of its rows, joined back null-safely."""
+    sets = df.groupBy(*keys).agg(agg.alias(out)).alias("_r")
     rows = df.alias("_l")
     cond = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys]
-    return rows.join(sizes, cond, "left").select(*[F.col(f"_l.{c}") for c in df.columns], F.col(f"_r.{out}"))
+    return rows.join(sets, cond, "left").select(*[F.col(f"_l.{c}") for c in df.columns], F.col(f"_r.{out}"))

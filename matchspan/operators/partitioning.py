@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Iterator, Sequence
+from typing import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,6 +28,17 @@ def num_partitions(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
 
 
+def rebalance(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """R2: even partitions of a good size for writing; rows of a key stay close
+    together, and adaptive execution splits hot keys and merges small ones."""
+    return df.hint("rebalance", *keys)
+
+
+def map_partitions(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """The caller's function over the Arrow batches of every partition."""
+    return df.mapInArrow(fn, schema)
+
+
 def partition_stats(df: DataFrame, value: str) -> DataFrame:
     """Per-partition work in Python over Arrow batches (one summary row
     per partition: rows and the sum of ``value``), the vectorised form of a
@@ -42,4 +53,4 @@ def partition_stats(df: DataFrame, value: str) -> DataFrame:
         yield pa.RecordBatch.from_pydict({"rows": [rows], "total": [float(total)]},
                                          schema=pa.schema([("rows", pa.int64()), ("total", pa.float64())]))
 
-    return df.select(F.col(value).cast("double")).mapInArrow(summarize, "rows long, total double")
+    return map_partitions(df.select(F.col(value).cast("double")), summarize, "rows long, total double")

@@ -21,10 +21,10 @@ def compare_schemas(expected: DataFrame | T.StructType, actual: DataFrame | T.St
     a = actual.schema if isinstance(actual, DataFrame) else actual
     en, an = set(e.fieldNames()), set(a.fieldNames())
     if en != an:
-        raise SchemaMismatch(f"fields only in expected: {sorted(en - an)}; only in actual: {sorted(an - en)}")
+        raise SchemaMismatch(f"columns missing from the actual frame: {sorted(en - an)}; unknown there: {sorted(an - en)}")
     et = {f.name: f.dataType for f in e.fields}
     at = {f.name: f.dataType for f in a.fields}
-    diff = [f"{n}: {et[n].simpleString()} (expected) vs {at[n].simpleString()} (actual)"
+    diff = [f"column {n} has type {at[n].simpleString()}, not {et[n].simpleString()}"
             for n in sorted(en) if et[n] != at[n]]
     if diff:
         raise SchemaMismatch("; ".join(diff))
@@ -40,11 +40,39 @@ def frame_diff(expected: DataFrame, actual: DataFrame, multiset: bool = False) -
     """
     compare_schemas(expected, actual)
     cols = expected.columns
-    actual = actual.select(*cols)
-    minus = (lambda x, y: x.exceptAll(y)) if multiset else (lambda x, y: x.subtract(y))
-    left = minus(expected, actual).select(F.lit("expected_only").alias("side"), *cols)
-    right = minus(actual, expected).select(F.lit("actual_only").alias("side"), *cols)
-    return left.unionByName(right)
+    actual = actual.select(*[_name(c) for c in cols])
+    counts = _side_counts(expected, actual)
+    n = F.col("_e") - F.col("_a")
+    if multiset:
+        side = F.when(n > 0, F.lit("expected_only")).otherwise(F.lit("actual_only"))
+        copies = F.explode(F.sequence(F.lit(1).cast("long"), F.abs(n))).alias("_copy")
+        return counts.where(n != 0).select(side.alias("side"), *[_name(c) for c in cols], copies).drop("_copy")
+    side = F.when(F.col("_a") == 0, F.lit("expected_only")).when(F.col("_e") == 0, F.lit("actual_only"))
+    return counts.select(side.alias("side"), *[_name(c) for c in cols]).where(F.col("side").isNotNull())
+
+
+def _name(c: str):
+    return F.col(f"`{c.replace('`', '``')}`")
+
+
+def _side_counts(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """The distinct rows with their copies on either side, ``_e`` and ``_a``: one
+    tagged union and one aggregate, partial before its only exchange."""
+    cols = [_name(c) for c in expected.columns]
+    both = expected.select(*cols, F.lit(1).alias("_e"), F.lit(0).alias("_a")).unionAll(
+        actual.select(*cols, F.lit(0).alias("_e"), F.lit(1).alias("_a")))
+    return both.groupBy(*cols).agg(F.sum("_e").alias("_e"), F.sum("_a").alias("_a"))
+
+
+def frames_equal(expected: DataFrame, actual: DataFrame) -> tuple[bool, dict[str, int]]:
+    """D2 as pass or fail: whether both frames hold the same rows as often, and
+    the number of surplus rows of each side.  One aggregate; no row is collected."""
+    compare_schemas(expected, actual)
+    n = F.col("_e") - F.col("_a")
+    r = _side_counts(expected, actual.select(*[_name(c) for c in expected.columns])).agg(
+        F.sum(F.when(n > 0, n)).alias("e"), F.sum(F.when(n < 0, -n)).alias("a")).first()
+    counts = {"expected_only": r["e"] or 0, "actual_only": r["a"] or 0}
+    return not any(counts.values()), counts
 
 
 def conform_to_schema(df: DataFrame, schema: T.StructType, defaults: Mapping[str, Any] | None = None) -> DataFrame:
@@ -55,7 +83,7 @@ def conform_to_schema(df: DataFrame, schema: T.StructType, defaults: Mapping[str
     defaults = dict(defaults or {})
     unknown = [c for c in df.columns if c not in schema.fieldNames()]
     if unknown:
-        raise ValueError(f"{unknown} in frame but not in schema {schema.fieldNames()}")
+        raise ValueError(f"the target schema has no columns {unknown}")
     bad_defaults = [c for c in defaults if c not in schema.fieldNames()]
     if bad_defaults:
         raise ValueError(f"defaults for unknown columns {bad_defaults}")
@@ -89,11 +117,11 @@ def validate_schema(df: DataFrame, schema: T.StructType) -> None:
     family (string; int/long; float/double; timestamp)."""
     for f in df.schema.fields:
         if f.name not in schema.fieldNames():
-            raise ValueError(f"{f.name} in frame but not in schema {schema.fieldNames()}")
+            raise ValueError(f"the target schema has no column {f.name}")
         want = schema[f.name].dataType
         fam = _family(want)
         if fam is not None and not isinstance(f.dataType, fam):
-            raise ValueError(f"{f.name}: {f.dataType.simpleString()} does not fit {want.simpleString()}")
+            raise ValueError(f"column {f.name} of type {f.dataType.simpleString()} cannot hold {want.simpleString()}")
 
 
 def type_violations(df: DataFrame, targets: Mapping[str, str]) -> DataFrame:
@@ -102,7 +130,7 @@ def type_violations(df: DataFrame, targets: Mapping[str, str]) -> DataFrame:
     One aggregate pass, partial per task."""
     aggs = []
     for c, typ in targets.items():
-        v = F.col(c)
+        v = _name(c)
         checked = v.isNotNull() & (v.cast("string") != F.lit(""))
         bad = checked & F.expr(f"try_cast(`{c}` AS {typ})").isNull()
         aggs += [F.sum(checked.cast("long")).alias(f"{c}__checked"), F.sum(bad.cast("long")).alias(f"{c}__bad")]

@@ -80,11 +80,15 @@ def _with_widths(x: DataFrame, cfg: MatchConfig, keys: list[tuple[str, str, str]
     # local relations: every branch of the plan broadcasts them without
     # recomputing them.
     dw = _default_width_of(x, cfg)
-    tables = [hot_key_widths(x, key, U, cfg.rows_per_bucket, cfg.max_hot_keys, lo, w, dw) for key, lo, w in keys]
-    both = tables[0]
-    for t in tables[1:]:
-        both = both.unionByName(t, allowMissingColumns=True)
-    rows = both.collect()
+    bound, rows = cfg.rows_per_bucket, None
+    while rows is None:
+        tables = [hot_key_widths(x, key, U, bound, cfg.max_hot_keys, lo, w, dw) for key, lo, w in keys]
+        both = tables[0]
+        for t in tables[1:]:
+            both = both.unionByName(t, allowMissingColumns=True)
+        rows = both.collect()
+        if any(sum(r[lo] is not None for r in rows) > cfg.max_hot_keys for _, lo, _ in keys):
+            bound, rows = 4 * bound, None
     spark = x.sparkSession
     for (key, lo, w), t in zip(keys, tables):
         mine = [(r[key], r[lo], r[w]) for r in rows if r[lo] is not None]
@@ -149,9 +153,14 @@ def _firsts_b(x: DataFrame, cfg: MatchConfig) -> DataFrame:
     """Per-bucket first rows keyed by ``b``.  Rows with null ``b`` all fall in
     one group per bucket here (their spread value is not a key); they never
     join back, because null ``b`` never equals anything, so no filter is
-    needed."""
+    needed.
+
+    The spread value of a keyed row is 0.  It is written as an expression that
+    the optimizer does not fold: a literal would drop out of the join keys, the
+    join would no longer fit the partitioning by (b, bucket, spread), and every
+    row would be exchanged once more, all null ``b`` to one task."""
     firsts = _bucket_firsts(x, cfg, [cfg.b_col], cfg.a_col, TB_B)
-    return firsts.select(cfg.b_col, F.lit(0).cast("long").alias(NB), TB_B, "_bucket_next")
+    return firsts.select(cfg.b_col, F.pmod(F.xxhash64(F.col(cfg.b_col)), F.lit(1).cast("long")).alias(NB), TB_B, "_bucket_next")
 
 
 def _candidate(cfg: MatchConfig, key: str, counterpart: str, prefix: str) -> Column:

@@ -48,24 +48,27 @@ def bucket_of(units: Column, lo: Column, width: Column, default: float | None) -
     first time; the others at the default width (or not at all).  Monotone
     in time for every key, which is all exactness needs."""
     cold = F.floor(units / F.lit(default)) if default else F.lit(0)
-    return F.when(width.isNotNull(), F.floor((units - lo) / width)).otherwise(cold).cast("long")
+    number = F.when(width.isNotNull(), F.floor((units - lo) / width)).otherwise(cold)
+    # NaN sorts after every number, so it belongs to the last bucket
+    return F.when(F.isnan(units), F.lit(1 << 62)).otherwise(number.cast("long")).cast("long")
 
 
 def hot_key_widths(x: DataFrame, key: str, units: str, rows_per_bucket: int, max_keys: int,
                    lo_name: str, width_name: str, max_width: float | None = None) -> DataFrame:
     """Per-key widths for the keys that hold more than ``rows_per_bucket``
     rows: their time span is cut into about ``rows / rows_per_bucket`` equal
-    buckets, and never coarser than ``max_width``.  Counting is a partial aggregate; only the ``max_keys`` hottest
-    keys are kept, so the result -- which is collected and broadcast -- has
-    at most ``max_keys`` rows.  Keys left out keep the default width; results do not
-    depend on the choice."""
+    buckets, and never coarser than ``max_width``.  Counting is a partial
+    aggregate.  The result has at most ``max_keys`` + 1 rows; one more than
+    ``max_keys`` tells the caller to raise ``rows_per_bucket``, so that no key
+    above the bound is left out.  Results do not depend on the choice."""
     # No filter before the grouping (it would be pushed into the shared input
     # and stop Spark from reusing its exchange); a null key never joins back.
+    number = F.when(~F.isnan(units), F.col(units))
     counts = (x.groupBy(key)
-              .agg(F.count(F.lit(1)).alias("_n"), F.min(units).alias("_lo"), F.max(units).alias("_hi")))
+              .agg(F.count(F.lit(1)).alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi")))
     hot = (counts.where((F.col("_n") > F.lit(rows_per_bucket)) & (F.col("_hi") > F.col("_lo")))
            .orderBy(F.col("_n").desc(), F.col(key).asc())
-           .limit(max_keys))
+           .limit(max_keys + 1))
     parts = F.ceil(F.col("_n") / F.lit(rows_per_bucket))
     width = (F.col("_hi") - F.col("_lo")) / parts
     if max_width:  # never cut a hot key coarser than the ordinary keys
@@ -73,15 +76,6 @@ def hot_key_widths(x: DataFrame, key: str, units: str, rows_per_bucket: int, max
     return hot.select(key, F.col("_lo").alias(lo_name), width.alias(width_name))
 
 
-def time_bucket(col: Column, dtype: T.DataType, width: float | None) -> Column:
-    """Fixed-width bucket number of a time value (no per-key widths)."""
-    u = time_units(col, dtype)
-    d = default_width(dtype, width)
-    if u is None or not d:
-        return F.lit(0).cast("long")
-    return F.floor(u / F.lit(d)).cast("long")
-
-
 def asc_nulls_last_key(c: Column) -> list[Column]:
     """Fields that make struct ordering equal ``c ASC NULLS LAST``."""
     return [c.isNull(), c]

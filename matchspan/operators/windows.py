@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Frames wider than this use a window, as each value would be copied to every frame.
+MAX_SPREAD = 16
+
+
 def range_frame_sum(df: DataFrame, part: Sequence[str], order: str, value: str,
                     following: int = 1, out: str = "sum") -> DataFrame:
     """``sum(value) OVER (PARTITION BY part ORDER BY order RANGE BETWEEN
@@ -18,10 +22,10 @@ def range_frame_sum(df: DataFrame, part: Sequence[str], order: str, value: str,
     value lies in [o, o + following]; that is computed with aggregates and
     equi-joins (per-(part, o) partial sums, spread to the ``following + 1``
     values they cover) so a hot partition is reduced before any shuffle.
-    Other order types use the window directly.
+    Other order types, and frames wider than ``MAX_SPREAD``, use the window directly.
     """
     dtype = df.schema[order].dataType
-    if not isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) or following < 0:
+    if not isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) or not 0 <= following <= MAX_SPREAD:
         w = Window.partitionBy(*part).orderBy(F.col(order).asc()).rangeBetween(Window.currentRow, following)
         return df.select("*", F.sum(value).over(w).alias(out))
     o = F.col(order)
@@ -31,7 +35,10 @@ def range_frame_sum(df: DataFrame, part: Sequence[str], order: str, value: str,
     shift = F.explode(F.when(o.isNull(), F.array(F.lit(0)))
                       .otherwise(F.sequence(F.lit(0), F.lit(following))))
     spread = (sums.select(*part, o.alias("_o"), "_s", shift.alias("_k"))
-              .select(*part, (F.col("_o") - F.col("_k").cast(dtype)).alias(order), "_s"))
+              .select(*part, "_o", F.try_subtract(F.col("_o").cast("long"), F.col("_k").cast("long")).alias("_at"), "_s")
+              .select(*part, "_o", F.expr(f"try_cast(_at AS {dtype.simpleString()})").alias(order), "_s")
+              # below the type's minimum there is no row
+              .where(F.col("_o").isNull() | F.col(order).isNotNull()).drop("_o"))
     frames = spread.groupBy(*part, order).agg(F.sum("_s").alias(out)).alias("_r")
     rows = df.alias("_l")
     cond = [F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}")) for c in [*part, order]]

@@ -52,7 +52,7 @@ def _flagged(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_match_reduce_by_a(spark: SparkSession, sf: str) -> DataFrame:
     x = _flagged(spark, sf)
-    return reduce_and_validate(x.repartition("a"), ASSUME_CFG, ["a", "t"], ["o1", "o2", "b"])
+    return reduce_and_validate(x, ASSUME_CFG, ["a", "t"], ["o1", "o2", "b"])
 
 
 def q_match_valid_starts(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,6 +5,8 @@ with its DuckDB oracle."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -210,6 +212,12 @@ def q_windowed_value_set(spark, sf):
     return A.value_set_size(li, ["l_orderkey"], "l_returnflag", "n_flags").drop("l_returnflag")
 
 
+def q_value_set(spark, sf):
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    sets = A.value_set(li, ["l_orderkey"], "l_returnflag", "flags")
+    return sets.select("l_orderkey", "l_linenumber", F.array_join("flags", ",").alias("flags"), F.get("flags", F.lit(0)).alias("first_flag"))
+
+
 def q_range_frame_sum(spark, sf):
     p = _t(spark, sf, "part").select("p_partkey", "p_brand", "p_size")
     return range_frame_sum(p, ["p_brand"], "p_size", "p_size", following=1, out="sum")
@@ -241,6 +249,17 @@ def q_frame_diff(spark, sf):
     return Q.frame_diff(e, a)
 
 
+def q_frames_equal(spark, sf):
+    """Surplus rows of unequal frames, and of a frame and itself in another order."""
+    e, a = _diff_inputs(spark, sf)
+    pairs = {"changed": (e, a), "reordered": (e, e.select(*reversed(e.columns)))}
+    out = []
+    for name, (x, y) in pairs.items():
+        same, n = Q.frames_equal(x, y)
+        out.append((name, same, n["expected_only"], n["actual_only"]))
+    return spark.createDataFrame(out, "pair string, same boolean, expected_only long, actual_only long")
+
+
 def q_frame_diff_multiset(spark, sf):
     e, a = _diff_inputs(spark, sf)
     return Q.frame_diff(e, a, multiset=True)
@@ -270,7 +289,7 @@ def q_validate_schema(spark, sf):
         F.when(k % 4 == 0, F.lit("")).otherwise(F.col("value").cast("string")).alias("s_double"),
         F.when(k % 6 == 0, F.lit("not a time")).otherwise(F.col("ts").cast("string")).alias("s_ts"),
     )
-    Q.validate_schema(d, T.StructType([T.StructField(c, T.StringType()) for c in d.columns]))
+    Q.validate_schema(d, T.StructType([T.StructField(c, T.StringType()) for c in ("s_int", "s_double", "s_ts")]))
     return Q.type_violations(d, {"s_int": "bigint", "s_double": "double", "s_ts": "timestamp"})
 
 
@@ -297,15 +316,16 @@ def q_scan_parquet(spark, sf):
 def q_partitioned_roundtrip(spark, sf):
     path = scratch_path(spark, "customer_by_segment")
     sinks.write_partitioned(_t(spark, sf, "customer"), path, ["c_mktsegment", "c_nationkey"])
-    back = sinks.read_parquet(spark, path)
+    back = sinks.read_parquet(spark, path, _t(spark, sf, "customer").schema)
     return A.group_count(back, ["c_mktsegment", "c_nationkey"])
 
 
 def q_sql_over_table(spark, sf):
-    catalog.register_parquet_table(spark, "customer_ext", table_path(sf, "customer"))
-    return spark.sql("""
+    name = f"customer_ext_{uuid.uuid4().hex}"
+    catalog.register_parquet_table(spark, name, table_path(sf, "customer"))
+    return spark.sql(f"""
         SELECT c_mktsegment, count(*) AS n, min(c_acctbal) AS min_bal, max(c_acctbal) AS max_bal
-        FROM customer_ext GROUP BY c_mktsegment""")
+        FROM {name} GROUP BY c_mktsegment""")
 
 
 def q_binary_roundtrip(spark, sf):
@@ -334,11 +354,24 @@ def q_text_roundtrip(spark, sf):
     return sinks.read_text(spark, path)
 
 
+def _draw_sql(key: str, seed: int, n: int) -> str:
+    m = 2_147_483_647
+    return f"((({key} * 48271 + {seed}) % {m}) * 69621 + {seed}) % {m} % {n}"
+
+
+_RANDOM_SQL = f"""
+WITH d AS (SELECT {_draw_sql('c_custkey', 7 + 7919, 1000)} AS a, {_draw_sql('c_custkey', 7 + 2 * 7919, 5)} AS b,
+    {_draw_sql('c_custkey', 7 + 3 * 7919, 101)} AS c FROM customer),
+names AS (SELECT r_name, row_number() OVER (ORDER BY r_regionkey) - 1 AS i FROM region)
+SELECT 'some_' || lpad(CAST(a AS VARCHAR), 3, '0') AS country, r_name AS username, CAST(c AS INTEGER) AS id
+FROM d JOIN names ON i = b"""
+
+
 def q_random_table(spark, sf):
     schema = T.StructType([T.StructField("country", T.StringType()), T.StructField("username", T.StringType()),
                            T.StructField("id", T.IntegerType())])
-    # Fixed value set for the drawn columns.
-    value_sets = {"username": ["Alice", "Bob", "Charlie", "David", "Eva"]}
+    # the drawn names are those of the region table, which has five rows at any scale
+    value_sets = {"username": [r["r_name"] for r in _t(spark, sf, "region").orderBy("r_regionkey").limit(5).collect()]}
     driver = _t(spark, sf, "customer").select("c_custkey")
     return random_rows(driver, schema, value_sets, seed=7)
 
@@ -348,9 +381,10 @@ def q_random_table(spark, sf):
 def q_stream_watermark_events(spark, sf):
     base = scratch_path(spark, "events_stream")
     schema = _t(spark, sf, "events").schema
-    stream = watermark.events_with_watermark(spark, sf, schema)
+    stream = watermark.events_with_watermark(spark, table_path(sf, "events"), schema)
     watermark.run_available_now(stream, base + "/out", base + "/ckpt")
-    return spark.read.parquet(base + "/out").select("event_id", "value", "ts")
+    back = spark.read.parquet(base + "/out")
+    return back.select("event_id", "value", "ts", F.unix_micros("time").alias("time_us"))
 
 
 QUERIES = {
@@ -376,7 +410,9 @@ QUERIES = {
     "dedup_subset": q_dedup_subset,
     "dedup_single": q_dedup_single,
     "windowed_value_set": q_windowed_value_set,
+    "value_set": q_value_set,
     "range_frame_sum": q_range_frame_sum,
+    "frames_equal": q_frames_equal,
     "frame_diff": q_frame_diff,
     "frame_diff_multiset": q_frame_diff_multiset,
     "conform_to_schema": q_conform_to_schema,
@@ -443,6 +479,15 @@ FROM lineitem""",
 SELECT p_partkey, p_brand, p_size,
        sum(p_size) OVER (PARTITION BY p_brand ORDER BY p_size RANGE BETWEEN CURRENT ROW AND 1 FOLLOWING) AS sum
 FROM part""",
+    "value_set": """
+SELECT l.l_orderkey, l.l_linenumber, s.flags, s.first_flag FROM lineitem l JOIN (
+    SELECT l_orderkey, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS flags, min(l_returnflag) AS first_flag
+    FROM lineitem GROUP BY l_orderkey) s USING (l_orderkey)""",
+    "frames_equal": f"""
+SELECT 'changed' AS pair, count(*) = 0 AS same, count(*) FILTER (WHERE side = 'expected_only') AS expected_only,
+    count(*) FILTER (WHERE side = 'actual_only') AS actual_only FROM ({_DIFF_SQL.format(all=" ALL")}) d
+UNION ALL SELECT 'reordered', true, 0, 0""",
+    "random_table": _RANDOM_SQL,
     "frame_diff": _DIFF_SQL.format(all=""),
     "frame_diff_multiset": _DIFF_SQL.format(all=" ALL"),
     "conform_to_schema": """SELECT doc_id, quality, CAST(NULL AS INTEGER) AS toxic, CAST(NULL AS VARCHAR) AS note
@@ -475,5 +520,5 @@ FROM customer GROUP BY c_mktsegment""",
     "sequence_roundtrip": """SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS key,
        strlen(text) AS n_bytes, md5(text) AS md5 FROM conversations""",
     "text_roundtrip": "SELECT o_orderpriority || ' ' || CAST(o_orderkey AS VARCHAR) AS value FROM orders",
-    "stream_watermark_events": "SELECT event_id, event_id % 5 AS value, ts FROM events",
+    "stream_watermark_events": "SELECT event_id, event_id % 5 AS value, ts, epoch_us(ts) AS time_us FROM events",
 }

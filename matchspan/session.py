@@ -46,13 +46,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``; only a local master may go
+    without it and gets a fresh scratch folder.  Set once a session."""
+    now = spark.sparkContext.getCheckpointDir()
+    if now:  # setting it again would add a folder to the path each time
+        return now
     d = checkpoint_dir(spark)
     if not d:
-        d = tempfile.mkdtemp(prefix="matchspan-ckpt-", dir=os.environ.get("MATCHSPAN_SCRATCH", "/tmp"))
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="matchspan-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
-    return d
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -6,11 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def register_parquet_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """An external (unmanaged) table in the session catalog over ``path``."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """An external (unmanaged) table in the session catalog over ``path``.
+    An error if a table of that name exists; nothing is dropped."""
     return spark.catalog.createTable(name, path=path, source="parquet")
-
-
-def register_view(spark: SparkSession, name: str, df: DataFrame) -> None:
-    """A temporary view, for SQL over any frame."""
-    df.createOrReplaceTempView(name)

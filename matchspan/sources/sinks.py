@@ -16,15 +16,18 @@ from pyspark.sql import types as T
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], max_records_per_file: int = 5_000_000) -> None:
-    """Hive-style ``key=value`` directories, overwrite.  Files are capped
-    in size rather than forced into a fixed number of tasks."""
-    (df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+    """Hive-style ``key=value`` directories, overwrite.  Rows are rebalanced
+    by the partition keys first, so that a small partition is one file and a hot
+    one several; files are capped in size."""
+    (df.hint("rebalance", *by).write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*by).parquet(path))
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan with partition discovery."""
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet scan with partition discovery.  With the written ``schema`` the
+    partition keys keep their types ("01" and "1" stay two strings)."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def write_binary(df: DataFrame, path: str) -> None:
@@ -34,10 +37,13 @@ def write_binary(df: DataFrame, path: str) -> None:
 
 def write_sequence(df: DataFrame, key: str, payload: str, path: str) -> None:
     """(text key, bytes) pairs as a Hadoop sequence file.  Only the RDD
-    API writes this format; the conversion runs per partition on executors."""
-    (df.select(F.col(key).cast("string"), F.col(payload).cast("binary")).rdd
-     .map(lambda r: (r[0], bytearray(r[1]) if r[1] is not None else bytearray()))
-     .saveAsSequenceFile(path))
+    API writes this format, row by row through Python on the executors, so it
+    costs more than the other sinks.  The format has no null: a null key or
+    payload is an error.  An existing path is an error, as Hadoop has it."""
+    rows = df.select(F.col(key).cast("string").alias("k"), F.col(payload).cast("binary").alias("p"))
+    none = F.raise_error(F.lit("a sequence file holds no nulls"))
+    whole = rows.select(F.coalesce("k", none.cast("string")).alias("k"), F.coalesce("p", none.cast("binary")).alias("p"))
+    whole.rdd.map(lambda r: (r[0], bytearray(r[1]))).saveAsSequenceFile(path)
 
 
 def read_sequence(spark: SparkSession, path: str, key: str = "key", payload: str = "payload") -> DataFrame:

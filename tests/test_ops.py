@@ -20,54 +20,54 @@ from matchspan.sources import catalog, sinks
 from matchspan.sources.random_table import random_rows
 from matchspan.streaming import watermark
 
-EMP = [("James", "Sales", 3000), ("Michael", "Sales", 4600), ("Robert", "Sales", 4600), ("James", "Sales", 3000)]
-EMP_SCHEMA = "employee_name string, department string, salary long"
+EMP = [("Clerk#7", "BUILDING", 120), ("Clerk#9", "BUILDING", 340), ("Clerk#12", "BUILDING", 340), ("Clerk#7", "BUILDING", 120)]
+EMP_SCHEMA = "clerk string, segment string, price long"
 
 
 def test_distinct_and_dedup(spark):
     df = make_df(spark, EMP, EMP_SCHEMA)
     assert_same_rows(A.distinct_rows(df), EMP[:3])
-    kept = A.dedup_keep_first(df, ["department", "salary"], ["employee_name"])
-    assert_same_rows(kept, [("James", "Sales", 3000), ("Michael", "Sales", 4600)], ["employee_name", "department", "salary"])
-    assert_same_rows(A.distinct_values(df, "salary"), [(3000,), (4600,)])
+    kept = A.dedup_keep_first(df, ["segment", "price"], ["clerk"])
+    assert_same_rows(kept, [("Clerk#7", "BUILDING", 120), ("Clerk#12", "BUILDING", 340)], ["clerk", "segment", "price"])
+    assert_same_rows(A.distinct_values(df, "price"), [(120,), (340,)])
 
 
 def test_explode_family(spark):
-    data = [("James", ["Java", "Scala"], {"hair": "black", "eye": "brown"}),
-            ("Michael", ["Spark", "Java", None], {"hair": "brown", "eye": None}),
-            ("Robert", ["CSharp", ""], {"hair": "red", "eye": ""}),
-            ("Washington", None, None),
-            ("Jefferson", ["1", "2"], {})]
-    df = spark.createDataFrame(data, "name string, langs array<string>, props map<string,string>")
-    inner = C.explode_array(df, ["name"], "langs")
+    data = [("p1", ["tin", "brass"], {"size": "large", "color": "plum"}),
+            ("p2", ["steel", "tin", None], {"size": "small", "color": None}),
+            ("p3", ["nickel", ""], {"size": "jumbo", "color": ""}),
+            ("p4", None, None),
+            ("p5", ["7", "8"], {})]
+    df = spark.createDataFrame(data, "part string, metals array<string>, props map<string,string>")
+    inner = C.explode_array(df, ["part"], "metals")
     assert inner.count() == 9
-    outer = C.explode_array(df, ["name"], "langs", outer=True)
+    outer = C.explode_array(df, ["part"], "metals", outer=True)
     assert outer.count() == 10 and outer.where(F.col("col").isNull()).count() == 2
-    pos = C.explode_array(df, ["name"], "langs", outer=True, with_pos=True)
-    assert_same_rows(pos.where("name = 'Michael'"), [("Michael", 0, "Spark"), ("Michael", 1, "Java"), ("Michael", 2, None)])
-    m = C.explode_map(df, ["name"], "props", outer=True)
+    pos = C.explode_array(df, ["part"], "metals", outer=True, with_pos=True)
+    assert_same_rows(pos.where("part = 'p2'"), [("p2", 0, "steel"), ("p2", 1, "tin"), ("p2", 2, None)])
+    m = C.explode_map(df, ["part"], "props", outer=True)
     assert m.count() == 8
-    assert_same_rows(m.where("name in ('Washington', 'Jefferson')"), [("Washington", None, None), ("Jefferson", None, None)])
-    pm = C.explode_map(df, ["name"], "props", outer=True, with_pos=True)
-    assert pm.columns == ["name", "pos", "key", "value"]
-    assert C.explode_map(df, ["name"], "props").count() == 6
+    assert_same_rows(m.where("part in ('p4', 'p5')"), [("p4", None, None), ("p5", None, None)])
+    pm = C.explode_map(df, ["part"], "props", outer=True, with_pos=True)
+    assert pm.columns == ["part", "pos", "key", "value"]
+    assert C.explode_map(df, ["part"], "props").count() == 6
 
 
 def test_argmin_over_map_ties_to_smaller_key(spark):
-    data = [("store1", {"apple": 10, "banana": 20}), ("store2", {"apple": 15, "orange": 25}),
-            ("store3", {"banana": 30, "orange": 5}), ("store4", {"pear": 5, "fig": 5})]
-    df = spark.createDataFrame(data, "store string, sales map<string,long>")
-    assert_same_rows(C.argmin_over_map(df, "store", "sales"),
-                     [("store1", 10, "apple"), ("store2", 15, "apple"), ("store3", 5, "orange"), ("store4", 5, "fig")])
+    data = [("s1", {"size": 41, "width": 17}), ("s2", {"depth": 3, "size": 8}),
+            ("s3", {"width": 66, "depth": 65}), ("s4", {"size": 9, "depth": 9})]
+    df = spark.createDataFrame(data, "supplier string, sizes map<string,long>")
+    assert_same_rows(C.argmin_over_map(df, "supplier", "sizes"),
+                     [("s1", 17, "width"), ("s2", 3, "depth"), ("s3", 65, "depth"), ("s4", 9, "depth")])
 
 
 def test_maps_and_lookup(spark):
-    df = spark.createDataFrame([("Alice", "HR", 3000), ("Bob", "Engineering", 4000)], "Name string, Department string, Salary long")
-    lit_keys = C.map_with_literal_keys([("Department", "Department"), ("Salary", F.col("Salary").cast("string"))])
-    by_value = C.map_with_column_keys([("Department", F.lit("Department"))])
-    out = df.select("Name", C.lookup(lit_keys, "Department").alias("d"), C.lookup(lit_keys, "nope").alias("x"),
-                    C.lookup(by_value, "HR").alias("hr"))
-    assert_same_rows(out, [("Alice", "HR", None, "Department"), ("Bob", "Engineering", None, None)])
+    df = spark.createDataFrame([("c1", "MACHINERY", 51), ("c2", "FURNITURE", 87)], "cust string, segment string, balance long")
+    lit_keys = C.map_with_literal_keys([("segment", "segment"), ("balance", F.col("balance").cast("string"))])
+    by_value = C.map_with_column_keys([("segment", F.lit("segment"))])
+    out = df.select("cust", C.lookup(lit_keys, "segment").alias("d"), C.lookup(lit_keys, "nope").alias("x"),
+                    C.lookup(by_value, "MACHINERY").alias("hr"))
+    assert_same_rows(out, [("c1", "MACHINERY", None, "segment"), ("c2", "FURNITURE", None, None)])
 
 
 def test_array_append_and_struct_fields(spark):
@@ -78,8 +78,8 @@ def test_array_append_and_struct_fields(spark):
 
 
 def test_add_columns_and_modulo(spark):
-    df = spark.createDataFrame([(1, 2), (3, 4), (5, 6)], "col1 long, col2 long")
-    assert_same_rows(S.add_columns(df, "col1", "col2"), [(1, 2, 3), (3, 4, 7), (5, 6, 11)])
+    df = spark.createDataFrame([(11, 7), (-2, 9), (40, 0)], "col1 long, col2 long")
+    assert_same_rows(S.add_columns(df, "col1", "col2"), [(11, 7, 18), (-2, 9, 7), (40, 0, 40)])
     ts = datetime.datetime(2024, 1, 1)
     m = spark.createDataFrame([(7, ts)], "value long, timestamp timestamp_ntz")
     out = S.modulo_projection(m, "value", 5, "timestamp")
@@ -87,9 +87,9 @@ def test_add_columns_and_modulo(spark):
 
 
 @pytest.mark.parametrize("a,b,expected", [
-    (datetime.datetime(2001, 12, 12), datetime.datetime(2001, 12, 11), datetime.timedelta(1)),
-    (datetime.datetime(2001, 12, 11), datetime.datetime(2001, 12, 12), datetime.timedelta(-1)),
-    (datetime.datetime(3001, 12, 11), datetime.datetime(3001, 12, 12), datetime.timedelta(-1)),
+    (datetime.datetime(2024, 3, 1, 6), datetime.datetime(2024, 2, 28), datetime.timedelta(2, 6 * 3600)),
+    (datetime.datetime(1969, 5, 4), datetime.datetime(1969, 5, 9), datetime.timedelta(-5)),
+    (datetime.datetime(2999, 1, 1), datetime.datetime(3000, 1, 1), datetime.timedelta(-365)),
 ])
 def test_timestamp_difference(spark, a, b, expected):
     df = spark.createDataFrame([(a, b)], "a timestamp_ntz, b timestamp_ntz")
@@ -100,21 +100,21 @@ def test_timestamp_difference(spark, a, b, expected):
 
 
 def test_null_handling(spark):
-    df = spark.createDataFrame([(1, None, "A"), (2, 3, None), (None, 4, "C")], "col1 long, col2 long, col3 string")
+    df = spark.createDataFrame([(1, None, "O"), (6, 3, None), (None, 8, "F")], "col1 long, col2 long, col3 string")
     assert N.drop_null_rows(df).count() == 0
     assert_same_rows(N.fill_nulls(df, {"col1": 0, "col2": 1, "col3": "unknown"}),
-                     [(1, 1, "A"), (2, 3, "unknown"), (0, 4, "C")])
-    assert_same_rows(N.replace_values(df, 1, 100), [(100, None, "A"), (2, 3, None), (None, 4, "C")])
+                     [(1, 1, "O"), (6, 3, "unknown"), (0, 8, "F")])
+    assert_same_rows(N.replace_values(df, 1, 100), [(100, None, "O"), (6, 3, None), (None, 8, "F")])
 
 
 @pytest.mark.parametrize("kind", ["long", "string"])
 def test_range_frame_sum(spark, kind):
-    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (1, "b"), (2, "b"), (3, "b"), (None, "b")],
+    df = spark.createDataFrame([(4, "x"), (4, "x"), (5, "x"), (4, "y"), (7, "y"), (8, "y"), (None, "y")],
                                "id long, category string")
     if kind == "string":  # non-integral order: window path
         df = df.withColumn("id", F.col("id").cast("double"))
     out = range_frame_sum(df, ["category"], "id", "id", following=1, out="sum")
-    exp = [(1, "a", 4), (1, "a", 4), (2, "a", 2), (1, "b", 3), (2, "b", 5), (3, "b", 3), (None, "b", None)]
+    exp = [(4, "x", 13), (4, "x", 13), (5, "x", 5), (4, "y", 4), (7, "y", 15), (8, "y", 8), (None, "y", None)]
     got = sorted(((r["id"], r["category"], r["sum"]) for r in out.collect()), key=repr)
     assert got == sorted(((None if i is None else (float(i) if kind == "string" else i), c, s if s is None else
                            (float(s) if kind == "string" else s)) for i, c, s in exp), key=repr)
@@ -144,18 +144,18 @@ def test_quality(spark):
 
 
 def test_conform_and_validate(spark):
-    schema = T.StructType([T.StructField("height", T.DoubleType()), T.StructField("id", T.IntegerType()),
-                           T.StructField("count", T.IntegerType()), T.StructField("name", T.StringType()),
-                           T.StructField("birthday", T.TimestampNTZType()), T.StructField("age", T.IntegerType())])
-    df = spark.createDataFrame([(12.0, 2, None)], "height double, id int, name string")
-    out = Q.conform_to_schema(df, schema, defaults={"birthday": datetime.datetime(2000, 1, 1), "name": "x"})
-    assert out.columns == ["height", "id", "count", "name", "birthday", "age"]
-    assert tuple(out.first()) == (12.0, 2, None, None, datetime.datetime(2000, 1, 1), None)
+    schema = T.StructType([T.StructField("price", T.DoubleType()), T.StructField("key", T.IntegerType()),
+                           T.StructField("lines", T.IntegerType()), T.StructField("clerk", T.StringType()),
+                           T.StructField("shipped", T.TimestampNTZType()), T.StructField("priority", T.IntegerType())])
+    df = spark.createDataFrame([(81.5, 6, None)], "price double, key int, clerk string")
+    out = Q.conform_to_schema(df, schema, defaults={"shipped": datetime.datetime(1995, 6, 3), "clerk": "x"})
+    assert out.columns == ["price", "key", "lines", "clerk", "shipped", "priority"]
+    assert tuple(out.first()) == (81.5, 6, None, None, datetime.datetime(1995, 6, 3), None)
     with pytest.raises(ValueError):
         Q.conform_to_schema(df.withColumn("extra", F.lit(1)), schema)
     Q.validate_schema(df, schema)
     with pytest.raises(ValueError):
-        Q.validate_schema(df.withColumn("id", F.lit("x")), schema)
+        Q.validate_schema(df.withColumn("key", F.lit("x")), schema)
     v = spark.createDataFrame([("1",), ("x",), ("",), (None,)], "s string")
     assert [tuple(r) for r in Q.type_violations(v, {"s": "int"}).collect()] == [("s", "int", 2, 1)]
 
@@ -170,22 +170,22 @@ def test_partitioning_and_stats(spark):
 
 
 def test_sinks_roundtrip(spark):
-    df = spark.createDataFrame([("IL", "alice", 1), ("IL", "bob", 2), ("US", "alice", 3)], "country string, username string, id int")
+    df = spark.createDataFrame([("01", "n1", 1), ("01", "n2", 2), ("1", "n1", 3)], "country string, username string, id int")
     p = scratch_path(spark, "t-part")
     sinks.write_partitioned(df, p, ["country", "username"])
-    back = sinks.read_parquet(spark, p)
-    assert_same_rows(A.group_count(back, ["country", "username"]), [("IL", "alice", 1), ("IL", "bob", 1), ("US", "alice", 1)])
-    assert back.where("country = 'US'").count() == 1
-    b = spark.createDataFrame([(bytearray([1, 2, 3, 4, 5]),)], "binaryData binary")
+    back = sinks.read_parquet(spark, p, df.schema)
+    assert_same_rows(A.group_count(back, ["country", "username"]), [("01", "n1", 1), ("01", "n2", 1), ("1", "n1", 1)])
+    assert back.where("country = '1'").count() == 1
+    b = spark.createDataFrame([(bytearray([0, 255, 10, 9]),)], "payload binary")
     pb = scratch_path(spark, "t-bin")
     sinks.write_binary(b, pb)
-    assert bytes(spark.read.load(pb).first()[0]) == bytes([1, 2, 3, 4, 5])
+    assert bytes(spark.read.load(pb).first()[0]) == bytes([0, 255, 10, 9])
     ps = scratch_path(spark, "t-seq")
     sinks.write_sequence(spark.createDataFrame([("key1", bytearray([1, 2, 3]))], "k string, p binary"), "k", "p", ps)
     assert [(r[0], bytes(r[1])) for r in sinks.read_sequence(spark, ps).collect()] == [("key1", bytes([1, 2, 3]))]
     pt = scratch_path(spark, "t-text")
-    sinks.write_text(spark.createDataFrame([("helo world",)], "s string"), "s", pt)
-    assert [r[0] for r in sinks.read_text(spark, pt).collect()] == ["helo world"]
+    sinks.write_text(spark.createDataFrame([("1-URGENT 42",)], "s string"), "s", pt)
+    assert [r[0] for r in sinks.read_text(spark, pt).collect()] == ["1-URGENT 42"]
 
 
 def test_catalog_table(spark):
@@ -198,14 +198,14 @@ def test_catalog_table(spark):
 def test_random_rows(spark):
     schema = T.StructType([T.StructField("country", T.StringType()), T.StructField("username", T.StringType()),
                            T.StructField("id", T.IntegerType()), T.StructField("when", T.TimestampType())])
-    out = random_rows(spark.range(500), schema, {"country": ["IL", "US"]}, seed=3)
+    out = random_rows(spark.range(500), schema, {"country": ["ASIA", "EUROPE"]}, seed=3)
     rows = out.collect()
     assert len(rows) == 500
-    assert {r["country"] for r in rows} <= {"IL", "US"}
+    assert {r["country"] for r in rows} <= {"ASIA", "EUROPE"}
     assert all(0 <= r["id"] <= 100 for r in rows)
     assert all(r["username"].startswith("some_") for r in rows)
     assert all(r["when"] is None for r in rows)
-    assert [tuple(r) for r in random_rows(spark.range(500), schema, {"country": ["IL", "US"]}, seed=3).collect()] == \
+    assert [tuple(r) for r in random_rows(spark.range(500), schema, {"country": ["ASIA", "EUROPE"]}, seed=3).collect()] == \
         [tuple(r) for r in rows]
 
 
@@ -226,3 +226,63 @@ def test_partition_pruning_on_read_back(spark):
     scans = _collect_scans(q._jdf.queryExecution().executedPlan())
     meta = scans[0].metadata()
     assert "part" in meta.get("PartitionFilters").get() and "2" in meta.get("PartitionFilters").get()
+
+
+def test_checkpoint_folder_is_set_once(spark):
+    from matchspan.session import ensure_checkpoint_dir
+    first = ensure_checkpoint_dir(spark)
+    assert {ensure_checkpoint_dir(spark) for _ in range(300)} == {first}
+
+
+def test_sequence_file_rejects_nulls(spark):
+    with pytest.raises(Exception, match="no nulls"):
+        sinks.write_sequence(spark.createDataFrame([("k", None)], "k string, p binary"), "k", "p", scratch_path(spark, "t-null"))
+
+
+def test_partitioned_write_makes_few_files(spark):
+    import glob
+    p = scratch_path(spark, "t-files")
+    sinks.write_partitioned(spark.range(1000).repartition(16).select((F.col("id") % 20).alias("part"), "id"), p, ["part"])
+    assert len(glob.glob(p.removeprefix("file:") + "/part=*/*.parquet")) <= 25
+
+
+def test_register_never_drops(spark):
+    p = scratch_path(spark, "t-cat2")
+    spark.createDataFrame([(1,)], "id int").write.parquet(p)
+    catalog.register_parquet_table(spark, "t_cat_kept", p)
+    with pytest.raises(Exception):
+        catalog.register_parquet_table(spark, "t_cat_kept", p)
+    assert spark.table("t_cat_kept").count() == 1
+
+
+def test_dedup_with_map_column_and_odd_names(spark):
+    df = spark.createDataFrame([(1, {"a": 1}, 5), (1, {"a": 0}, 4)], "`k.x` int, m map<string,int>, o int")
+    assert [tuple(r) for r in A.dedup_keep_first(df, ["k.x"], ["o"]).collect()] == [(1, {"a": 0}, 4)]
+
+
+def test_range_frame_sum_at_the_types_minimum(spark):
+    low = -(1 << 63)
+    df = spark.createDataFrame([(low, 1), (low + 1, 2)], "o long, v long")
+    out = range_frame_sum(df.withColumn("p", F.lit(1)), ["p"], "o", "v", following=1, out="s")
+    assert_same_rows(out.select("o", "s"), [(low, 3), (low + 1, 2)])
+
+
+def test_frames_equal(spark):
+    e = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "id int, s string")
+    assert Q.frames_equal(e, e.select("s", "id")) == (True, {"expected_only": 0, "actual_only": 0})
+    assert Q.frames_equal(e, e.distinct()) == (False, {"expected_only": 1, "actual_only": 0})
+
+
+def test_stream_reads_a_folder_of_part_files(spark):
+    p, out = scratch_path(spark, "t-events.parquet"), scratch_path(spark, "t-stream")
+    spark.range(100).selectExpr("id AS event_id", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts").repartition(3).write.parquet(p)
+    watermark.run_available_now(watermark.events_with_watermark(spark, p, spark.read.parquet(p).schema), out + "/o", out + "/c")
+    assert spark.read.parquet(out + "/o").count() == 100
+
+
+def test_map_partitions(spark):
+    def doubled(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"x": [2 * v for v in b.column(0).to_pylist()]})
+    assert P.map_partitions(spark.range(10), doubled, "x long").agg(F.sum("x")).first()[0] == 90

@@ -9,6 +9,7 @@ import __spark_entry__ as E
 from matchspan.operators.ranges import chosen_ranges
 from matchspan.plans.explain import report
 from matchspan.plans.match_queries import IGNORE_CFG
+from matchspan.plans.registry import QUERIES
 from matchspan.sources.tables import match_events
 
 SF = "/root/testdata/sf0.001"
@@ -38,11 +39,35 @@ def test_match_pipeline_shuffles(spark):
     assert len(r.scans) == 3  # main path + two pruned, partially aggregated summaries
 
 
+def main_path_exchanges(df):
+    """Every exchange, of whatever origin, on the path of the rows themselves
+    (the left child of each join)."""
+    node, n = df._jdf.queryExecution().executedPlan(), 0
+    while True:
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            node = node.initialPlan()
+            continue
+        n += kind == "ShuffleExchangeExec"
+        if node.children().isEmpty():
+            return n
+        node = node.children().apply(0)
+
+
+def test_rows_are_exchanged_four_times_without_broadcasts(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert main_path_exchanges(chosen_ranges(match_events(spark, SF), IGNORE_CFG)) == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_group_count_aggregates_before_the_shuffle(spark):
     text = report(E.queries()["group_count"](spark, SF)).text
     assert "partial_count" in text
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_products(spark, name):
     assert not report(E.queries()[name](spark, SF)).nested_loop_or_cartesian
