@@ -3,8 +3,9 @@ benchmark decontamination, byte-level BPE.
 
 Every stage takes (spark, docs, sf_dir), works on all rows that its predecessor
 kept and is written as Parquet before the next one reads it.  All but the last
-return the columns of ``documents``.  Null texts count as empty; rows with a null
-id are kept by the first stage and, as one document, by the dedup stages.
+return the columns of ``documents``.  Null texts count as empty.  Rows that
+repeat an id count as one document after the dedup stages; rows without an id
+pass them as they are.
 """
 
 from __future__ import annotations
@@ -50,9 +51,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _those(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each of the distinct ids; of rows with one id that have the smallest text."""
-    kept = docs.join(ids.distinct().select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One row of ``docs`` for each of the ids, and the rows without an id.  The
+    texts are shuffled once: the semi join and the distinct share its partitioning."""
+    kept = docs.where("doc_id IS NOT NULL").join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 STAGES = [

@@ -194,7 +194,8 @@ def _ratios(texts: DataFrame, known: DataFrame) -> np.ndarray:
         at = np.flatnonzero(sums.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(sums[0][at], n[0])), pa.array(np.append(sums[1][at], n[1]))], names=["f", "n0", "n1"])
 
-    met = texts.join(known, "id").select("text", "y").mapInArrow(count, "f int, n0 long, n1 long")
+    # the same join at every size; labels grow with the table
+    met = texts.join(known.hint("merge"), "id").select("text", "y").mapInArrow(count, "f int, n0 long, n1 long")
     # at most DIMENSIONS + 1 rows
     got = met.groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).collect()
     counts, n = np.zeros((2, DIMENSIONS)), [1.0, 1.0]
