@@ -55,7 +55,7 @@ COUNTED = 1.3
 #: Rows of a frequent pivot in one task.
 SALT_ROWS = 2000
 #: Centres a region and round; rounds at most; pairs that are met one by one, as a multiple of the regions' rows.
-CENTRES, ROUNDS, PAIRS = 2, 10, 3
+CENTRES, ROUNDS, PAIRS = 2, 10, 8
 #: Values of the screen through which texts are picked for comparison.
 SCREEN_VALUES = 1 << 20
 
@@ -322,11 +322,14 @@ def link_components(docs: DataFrame, width: int = 5, least: float = 0.8, id_col:
     labels = written(rows.select("node").distinct().withColumn("comp", F.col("node")))
     total = rows.count()
 
+    before = None
     for turn in range(rounds + 1):
         live, cross = _live(rows, labels)
         if not cross:
             break
-        if turn and (cross <= pairs_per_row * total or turn == rounds):
+        slow = before is not None and cross > 0.8 * before  # what is left hardly links
+        before = cross
+        if turn and (cross <= pairs_per_row * total or slow or turn == rounds):
             labels = components(labels, linked(named, ids, written(_each_pair(live, ratio)), width, ratio))
             break
         labels = components(labels, linked(named, ids, written(_centres(live, ratio, turn)), width, ratio))
