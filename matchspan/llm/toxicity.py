@@ -38,7 +38,7 @@ from matchspan.llm.quality import logistic_fit, sampled, training_labels
 
 WINDOW, STEP = 8, 4
 SAMPLE, SAMPLE_WINDOWS, WORDS_KEPT = 4000, 60_000, 4000
-BODY_BYTES, TAIL_BYTES, LEAST_Z, TOP_Z = 65_536, 1024, 5.0, 0.25
+BODY_BYTES, TAIL_BYTES, LEAST_Z, TOP_Z = 65_536, 1024, 4.0, 0.25
 #: Bytes of a training window, and training lines of a class, at most.
 LINE_BYTES, LINES = 512, 40_000
 
