@@ -21,10 +21,13 @@ shingles (those of many documents last, else by hash).
 3. *Recursion.*  In each region documents become pivots: distances to a few
    centres are computed exactly and links join components; regions whose
    documents are all in one component are done, the others go on with other
-   centres.  Once the pairs of different components in a region are few, they are
-   met pair by pair, within the size window that a link allows; the number of
-   shared pivots bounds their overlap from above and discards most, and
-   the rest are compared exactly.  No pair within a component is made.
+   centres.  Once the pairs of different components in a region are few, or centres
+   stop joining them, they are met pair by pair, within the size window that a
+   link allows and only where the region's pivot could be the first that both
+   hold: what follows it in the order must suffice for a link, else they are met
+   under an earlier pivot or don't link.  The number of shared pivots bounds the
+   overlap of the rest from above, and what is left is compared exactly.  No pair
+   within a component is made.
 
 Any choice of frequent shingles, centres and rounds gives the same result.
 
@@ -191,7 +194,8 @@ def _counts(parts: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def regions(texts: DataFrame, width: int, least: tuple[int, int], hot: list[tuple[int, int]]) -> DataFrame:
-    """pivot, node: the regions of two sets or more (all rows of frequent pivots)."""
+    """pivot, node, pos: the regions of two sets or more (all rows of frequent
+    pivots); pos is the pivot's place among the set's shingles in the global order."""
     spark = texts.sparkSession
     hot = sorted(hot)
     sent = spark.sparkContext.broadcast((np.array([k for k, _ in hot], np.uint64), np.array([max(1, -(-n // SALT_ROWS)) for _, n in hot], np.int64)))
@@ -201,7 +205,7 @@ def regions(texts: DataFrame, width: int, least: tuple[int, int], hot: list[tupl
         last, pieces = sent.value
         seen: set = set()
         for b in slices(batches):
-            keys_out, nodes, salts = [], [], []
+            keys_out, nodes, salts, places = [], [], [], []
             for node, keys in _new_sets(b, width, seen):
                 k = _pivots(len(keys), least)
                 at = np.searchsorted(last, keys)
@@ -214,14 +218,15 @@ def regions(texts: DataFrame, width: int, least: tuple[int, int], hot: list[tupl
                 keys_out.append(keys[:k].astype(np.int64))
                 salts.append(salt)
                 nodes.append(np.full(k, node, np.int64))
+                places.append(np.arange(k))
             if nodes:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys_out, nodes, salts)], names=["pivot", "node", "salt"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys_out, nodes, salts, places)], names=["pivot", "node", "salt", "pos"])
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of sorted (pivot, node, salt) the distinct rows, without pivots of one set."""
-        held, paired = np.zeros((3, 0), np.int64), False
+        """Of sorted (pivot, node, salt, pos) the distinct rows, without pivots of one set."""
+        held, paired = np.zeros((4, 0), np.int64), False
         for b in batches:
-            rows = np.concatenate((held, np.stack([np.asarray(b.column(i)) for i in range(3)])), axis=1)
+            rows = np.concatenate((held, np.stack([np.asarray(b.column(i)) for i in range(4)])), axis=1)
             rows = rows[:, np.append(True, (rows[:2, 1:] != rows[:2, :-1]).any(axis=0))[: rows.shape[1]]]
             if not rows.shape[1]:
                 continue
@@ -233,12 +238,12 @@ def regions(texts: DataFrame, width: int, least: tuple[int, int], hot: list[tupl
         if held.shape[1] and (paired or held[2, 0] > 0):
             yield _pairs_batch(held)
 
-    rows = texts.mapInArrow(replicate, "pivot long, node long, salt long")
-    return rows.repartition(parts, "pivot", "salt").sortWithinPartitions("pivot", "node").mapInArrow(shared, "pivot long, node long")
+    rows = texts.mapInArrow(replicate, "pivot long, node long, salt long, pos long")
+    return rows.repartition(parts, "pivot", "salt").sortWithinPartitions("pivot", "node").mapInArrow(shared, "pivot long, node long, pos long")
 
 
 def _pairs_batch(rows: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1])], names=["pivot", "node"])
+    return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1]), pa.array(rows[3])], names=["pivot", "node", "pos"])
 
 
 def linked(docs: DataFrame, ids: DataFrame, pairs: DataFrame, width: int, least: tuple[int, int]) -> DataFrame:
@@ -341,13 +346,13 @@ def link_components(docs: DataFrame, width: int = 5, least: float = 0.8, id_col:
 
 
 def _live(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
-    """The rows (pivot, node, n, comp, big) of regions with more than one
+    """The rows (pivot, node, pos, n, comp, big) of regions with more than one
     component, big: whether comp is its region's largest; and the number of
     pairs of different components in them."""
     named = rows.join(labels, "node")
     sizes = named.groupBy("pivot", "comp").agg(F.count(F.lit(1)).alias("c"))
     per = sizes.groupBy("pivot").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("g"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    live = written(named.join(per.select("pivot", F.col("top.comp").alias("topmost"), "g", "sq"), "pivot").select("pivot", "node", "n", "comp", (F.col("comp") == F.col("topmost")).alias("big"), "g", "sq"))
+    live = written(named.join(per.select("pivot", F.col("top.comp").alias("topmost"), "g", "sq"), "pivot").select("pivot", "node", "pos", "n", "comp", (F.col("comp") == F.col("topmost")).alias("big"), "g", "sq"))
     # every region gives (g^2 - sq) / 2 pairs, spread over its g rows
     cross = live.agg(F.sum((F.col("g") * F.col("g") - F.col("sq")) / F.col("g") / 2)).first()[0]
     return live.drop("g", "sq"), int(math.ceil(cross or 0))
@@ -371,12 +376,19 @@ def _each_pair(live: DataFrame, least: tuple[int, int]) -> DataFrame:
     """Pairs (a, b) of different components that share a region and may link.
 
     A pair in a region has a member outside the region's largest component, so
-    joining those with all rows of the region meets each pair.  Sets x and y have
+    joining those with all rows of the region meets each pair.  Under the first
+    pivot that two sets share, all that they have in common is that pivot and what
+    follows it in the order; elsewhere the pair need not be met.  Sets x and y have
     at most the shared pivots, and what lies beyond the pivots of one of
     them, in common."""
-    right = live.select("pivot", F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"), F.col("big").alias("bb"))
-    met = live.where("NOT big").join(right, "pivot").where(F.col("comp") != F.col("cb")).where(F.col("bb") | (F.col("node") < F.col("b"))).where(_near("n", "m", least))
+    right = live.select("pivot", F.col("node").alias("b"), F.col("pos").alias("at"), F.col("n").alias("m"), F.col("comp").alias("cb"), F.col("big").alias("bb"))
+    first = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at")) * (least[0] + least[1]) >= (F.col("n") + F.col("m")) * least[0]
+    met = live.where("NOT big").join(right, "pivot").where(F.col("comp") != F.col("cb")).where(F.col("bb") | (F.col("node") < F.col("b"))).where(_near("n", "m", least)).where(first)
     low, high = F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")
-    pairs = met.select(low, high, "n", "m").groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"), F.first("n").alias("n"), F.first("m").alias("m"))
+    pairs = met.select(low, high, "n", "m").groupBy("a", "b").agg(F.first("n").alias("n"), F.first("m").alias("m"))
+    # as many as a document's own pivots
+    held = live.groupBy("node").agg(F.collect_list("pivot").alias("held"))
+    pairs = pairs.join(held.withColumnsRenamed({"node": "a", "held": "ha"}), "a").join(held.withColumnsRenamed({"node": "b", "held": "hb"}), "b")
+    both = F.size(F.array_intersect("ha", "hb"))
     beyond = F.greatest(*[F.floor(F.col(x) * least[0] * 1.0 / least[1] + 1) for x in ("n", "m")])
-    return pairs.where((F.col("both") + beyond) * (least[0] + least[1]) >= (F.col("n") + F.col("m")) * least[0]).select("a", "b")
+    return pairs.where((both + beyond) * (least[0] + least[1]) >= (F.col("n") + F.col("m")) * least[0]).select("a", "b")
