@@ -188,6 +188,24 @@ def test_jaccard_join(spark):
     assert jaccard_join.link_components(table(spark, [])).count() == 0
 
 
+def test_jaccard_join_around_a_frequent_text(spark):
+    """Copies of one text with one to six edits, some of them not linked to any
+    other, and texts that share a passage: the pairs are met one by one."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(146)]
+    texts = []
+    for _ in range(120):
+        t = list(base)
+        for _ in range(rng.randint(0, 6)):
+            t[rng.randrange(len(t))] = f"x{rng.randrange(40)}"
+        texts.append(" ".join(t))
+    for _ in range(30):
+        texts.append(" ".join(base[20:70] + [f"y{rng.randrange(10_000)}" for _ in range(rng.randint(3, 60))]))
+    want = brute_components(texts)
+    got = by_id(jaccard_join.link_components(table(spark, texts), hot=3, rounds=1))
+    assert [got[i] for i in range(len(texts))] == want
+
+
 PAGES = [(1, "http://a/", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "u v\r\n", None), (4, "http://c", ""), (5, "d", "\x1f\x8b\x08 é\r\n\r\n" * 9000), (6, "e", "WARC/1.1\r\n"), (None, "f", "alone")]
 
 
