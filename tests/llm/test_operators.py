@@ -267,6 +267,25 @@ def test_classifiers_on_held_out_rows(spark, module, label):
     assert module.score(docs.limit(0), none, held).count() == 0
 
 
+def test_toxicity_learns_words_of_few_toxic_documents(spark):
+    """Every twelfth toxic document has words of its own, the others share a few."""
+    rng = random.Random(5)
+    plain = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(4, 9))) for _ in range(300)]
+    many, few = ["loser", "trash", "stupid"], ["vequsse", "lostraan", "chllach"]
+
+    def text(*bad):
+        found = rng.choices(plain, k=40) + list(bad) * 3
+        rng.shuffle(found)
+        return " ".join(found)
+
+    rows = [(i, text(*(() if i % 2 else few if i % 24 == 0 else many))) for i in range(2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(2400)], "doc_id long, toxic int")
+    score = toxicity.fit(docs, labels, "toxic", held_out(4, 2)).scorer()
+    hits = lambda *bad: np.mean([score(text(*bad)) >= 0.3 for _ in range(50)])
+    assert hits(*many) > 0.9 and hits(*few) > 0.8 and hits() < 0.1
+
+
 def test_pipeline_keeps_what_it_should(spark, tmp_path):
     passage = " ".join(f"b{i}" for i in range(14))
     docs, labels = labelled(known_to_workers(spark), 240)
