@@ -3,18 +3,20 @@ benchmark decontamination, byte-level BPE.
 
 Every stage takes (spark, docs, sf_dir), works on all rows that its predecessor
 kept and is written as Parquet before the next one reads it.  All but the last
-return the columns of ``documents``.  Null texts count as empty.  Rows that
-repeat an id count as one document after the dedup stages; rows without an id
-pass them as they are.
+return the columns of ``documents``.  Null texts count as empty.  The dedup
+stages decide by id and text: of rows that are copies (or near copies) one stays,
+that with the smallest id; rows without an id stay only where no row with an id
+does, and equal ids are ordered by text.  Rows that repeat an id with different
+texts are different documents.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchspan.llm import bpe, decontaminate, exact_dedup, jaccard_join, toxicity
-from matchspan.llm.common import held_out, known_to_workers, read, written
+from matchspan.llm.common import held_out, known_to_workers, read, text_or_empty, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,14 +29,17 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id stays."""
     known_to_workers(spark)
     found = exact_dedup.dedup(docs, F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
-    return _those(docs, found.where("kept").select("doc_id"))
+    return _those(docs, found.where("kept").select(*_id(), F.col("digest").alias("name")), F.unhex(F.sha2(exact_dedup.normalised(), 256)))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of Jaccard 0.8 or more join, the one with the smallest id stays."""
     known_to_workers(spark)
-    found = jaccard_join.link_components(docs, width=5, least=0.8)
-    return _those(docs, found.where("doc_id <=> component_id").select("doc_id"))
+    name = F.unhex(F.sha2(text_or_empty(), 256))
+    # ordered by all of it, so that one row of a component is the smallest whatever its ids
+    rows = docs.select(F.struct(*_id(), name.alias("name")).alias("row"), "text")
+    found = jaccard_join.link_components(rows, width=5, least=0.8, id_col="row")
+    return _those(docs, found.where("row <=> component_id").select("row.*"), name)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,11 +55,18 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return whole.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-def _those(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each of the ids, and the rows without an id.  The
-    texts are shuffled once: the semi join and the distinct share its partitioning."""
-    kept = docs.where("doc_id IS NOT NULL").join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+def _id() -> list[Column]:
+    """The id as columns without nulls; rows without an id come last."""
+    return [F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("id")]
+
+
+def _those(docs: DataFrame, kept: DataFrame, name: Column) -> DataFrame:
+    """Of the rows of ``docs`` with each (no_id, id, name) of ``kept`` the smallest one.
+    Copies fold in each task before the texts are shuffled, which is once: the
+    aggregate and the semi join share its partitioning."""
+    rows = docs.select(*_id(), name.alias("name"), F.struct(*docs.columns).alias("row"))
+    one = rows.groupBy("no_id", "id", "name").agg(F.min("row").alias("row"))
+    return one.join(kept.hint("merge"), ["no_id", "id", "name"], "left_semi").select("row.*")
 
 
 STAGES = [

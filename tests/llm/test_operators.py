@@ -306,3 +306,24 @@ def test_pipeline_keeps_what_it_should(spark, tmp_path):
     assert sum(i in kept for i in toxic) <= 6 and sum(i in kept for i in range(240) if i % 4) >= 165
     out = corpus_pipeline.encode(spark, now, str(tmp_path))
     assert {r["doc_id"]: r["decoded_sha256"] for r in out.collect()} == {k: hashlib.sha256((t or "").encode()).hexdigest() for k, t in kept.items()}
+
+
+def stage_rows(spark, stage, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return sorted(((r["doc_id"], r["text"]) for r in stage(known_to_workers(spark), docs, "").collect()), key=str)
+
+
+def test_exact_dedup_stage_decides_by_row(spark):
+    got = stage_rows(spark, corpus_pipeline.drop_copies, [(1, "A"), (1, "B"), (2, "B"), (1, "A"), (None, "A"), (3, "C"), (None, "C"), (None, "D"), (None, "D"), (None, "E  e"), (None, "E e"), (4, None), (None, "")])
+    assert got == sorted([(1, "A"), (1, "B"), (3, "C"), (None, "D"), (None, "E  e"), (4, None)], key=str)
+
+
+def test_near_dedup_stage_decides_by_row(spark):
+    base = {k: [f"{k}{i}" for i in range(60)] for k in "abcde"}
+    whole = {k: " ".join(w) for k, w in base.items()}
+    near = {k: " ".join(w[:-1]) for k, w in base.items()}
+    rows = [(1, whole["a"]), (1, whole["b"]), (2, near["b"]), (None, near["a"]), (None, whole["c"]), (None, near["c"]), (None, whole["d"]), (None, whole["d"]), (5, whole["e"]), (5, near["e"]), (6, ""), (6, ""), (None, None)]
+    got = stage_rows(spark, corpus_pipeline.drop_near_copies, rows)
+    ids = sorted((str(i), (t or "")[:1]) for i, t in got)
+    assert ids == [("1", "a"), ("1", "b"), ("5", "e"), ("6", ""), ("None", ""), ("None", "c"), ("None", "d")]
+    assert got == stage_rows(spark, corpus_pipeline.drop_near_copies, rows[::-1])
