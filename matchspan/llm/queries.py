@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchspan.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, quality, token_count, toxicity, warc
-from matchspan.llm.common import held_out, read
+from matchspan.llm import alignment, bpe, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, one_permutation, quality, spelling, token_count, toxicity, warc
+from matchspan.llm.common import held_out, read, written
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +61,20 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.format_pairs(chosen, rejected, "conv_id")
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_permutation.near_documents(read(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(read(spark, sf_dir, "documents")))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(read(spark, sf_dir, "documents"), "byte_bpe_50k.json", "piece_bpe_32k.model")
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    return alignment.link_figures(written(aligned.withColumn("groups_sha256", digest).drop("groups")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
@@ -72,6 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_warc": op9_warc,
     "op10_chat_format": op10_chat_format,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_spelling": op12_spelling,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE: dict[str, str] = {

@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 def test_registered():
     q = E.queries()
     assert set(QUERIES) | {"pipeline"} <= set(q)
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
