@@ -1,5 +1,4 @@
 import os
-import random
 import sys
 
 import pytest
@@ -8,27 +7,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from matchspan.session import local_session  # noqa: E402
 
-SEED = 20240601
-print(f"test shuffle seed: {SEED}")
-
 
 @pytest.fixture(scope="session")
 def spark():
     s = local_session("*", shuffle_partitions=8, app="matchspan-tests")
     yield s
     s.stop()
-
-
-def make_df(spark, rows, schema, seed=SEED):
-    """Rows in a fixed, printed-seed shuffled order, so tests do not depend on input order."""
-    rows = list(rows)
-    random.Random(seed).shuffle(rows)
-    return spark.createDataFrame(rows, schema)
-
-
-def assert_same_rows(actual, expected_rows, columns=None):
-    """Multiset equality of rows (order-free), on the given column order."""
-    cols = columns or actual.columns
-    got = sorted((tuple(r[c] for c in cols) for r in actual.collect()), key=repr)
-    exp = sorted((tuple(r) for r in expected_rows), key=repr)
-    assert got == exp, f"\n got: {got}\n exp: {exp}"

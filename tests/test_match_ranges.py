@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import assert_same_rows, make_df
+from helpers import assert_same_rows, make_df
 from matchspan.config import EndReason, MatchConfig, UpdatePolicy
 from matchspan.operators.ranges import chosen_ranges, match_ranges, unexpected_statuses
 from model import model

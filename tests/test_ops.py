@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import assert_same_rows, make_df
+from helpers import assert_same_rows, make_df
 from matchspan.functions import collections as C
 from matchspan.functions import nulls as N
 from matchspan.functions import scalar as S

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import assert_same_rows, make_df
+from helpers import assert_same_rows, make_df
 from matchspan.config import MatchConfig
 from matchspan.operators import prepare
 from matchspan.operators.ranges import choose_final_end, connect_ranges, end_candidates, mark_valid_starts
