@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import public_tokenizers
@@ -34,10 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchspan.llm.common import slices, worker_cache, written
+from matchspan.llm.pretokens import splitter
 from matchspan.llm.token_count import byte_letters
 
 #: Links of a block; a longer document is a block of its own.
 BLOCK_LINKS = 1_000_000
+#: Pre-tokens whose ids a Python worker remembers; beyond it the memory starts anew.
+REMEMBERED = 600_000
 #: Texts and characters that go to a library in one call.
 CALL_TEXTS, CALL_CHARS = 64, 400_000
 
@@ -62,14 +65,32 @@ class Tokenizers:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode("utf-8") for i, p in enumerate(pieces)]
         self.a_size, self.b_size = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
 
+        self.split, self.memory = splitter(), {}
+
+    def a_ids(self, text: str) -> list[int] | None:
+        """Ids by the library, which gets each distinct pre-token once; merges do not
+        cross pre-tokens.  None if the tokens of one have other bytes than it."""
+        words, memory = self.split(text), self.memory
+        if len(memory) > REMEMBERED:
+            memory.clear()
+        found = list(map(memory.get, words))
+        if None in found:
+            new = list({w for w, ids in zip(words, found) if ids is None})
+            told = {}
+            for w, e in zip(new, self.a.encode_batch(new, add_special_tokens=False)):
+                same = b"".join(map(self.a_bytes.__getitem__, e.ids)) == w.encode("utf-8")
+                told[w] = tuple(e.ids) if same else (-1,)
+            memory.update((w, ids) for w, ids in told.items() if len(w) <= 64)
+            found = [told[w] if ids is None else ids for w, ids in zip(words, found)]
+        out = list(chain.from_iterable(found))
+        return None if -1 in out else out
+
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """Ids of both sides; none on either where they do not give the text's bytes."""
-        a = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        b = self.b.encode(texts, num_threads=1)
-        for t, x, y in zip(texts, a, b):
-            x, want = x.ids, b" " + t.encode("utf-8")
-            same = t and b"".join(map(self.a_bytes.__getitem__, x)) == want and b"".join(map(self.b_bytes.__getitem__, y)) == want
-            yield (x, y) if same else ([], [])
+        for t, y in zip(texts, self.b.encode(texts, num_threads=1)):
+            same = t and b"".join(map(self.b_bytes.__getitem__, y)) == b" " + t.encode("utf-8")
+            x = self.a_ids(" " + t) if same else None
+            yield ([], []) if x is None else (x, y)
 
 
 def _file(name: str) -> str:
