@@ -22,9 +22,11 @@ columns are ignored; no rows, no result.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import accumulate
+from operator import add
 
 import numpy as np
 import public_tokenizers
@@ -34,13 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchspan.llm.common import slices, worker_cache, written
-from matchspan.llm.pretokens import splitter
 from matchspan.llm.token_count import byte_letters
 
 #: Links of a block; a longer document is a block of its own.
 BLOCK_LINKS = 1_000_000
-#: Pre-tokens whose ids a Python worker remembers; beyond it the memory starts anew.
-REMEMBERED = 600_000
 #: Texts and characters that go to a library in one call.
 CALL_TEXTS, CALL_CHARS = 64, 400_000
 
@@ -64,33 +63,37 @@ class Tokenizers:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode("utf-8") for i, p in enumerate(pieces)]
         self.a_size, self.b_size = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
-
-        self.split, self.memory = splitter(), {}
-
-    def a_ids(self, text: str) -> list[int] | None:
-        """Ids by the library, which gets each distinct pre-token once; merges do not
-        cross pre-tokens.  None if the tokens of one have other bytes than it."""
-        words, memory = self.split(text), self.memory
-        if len(memory) > REMEMBERED:
-            memory.clear()
-        found = list(map(memory.get, words))
-        if None in found:
-            new = list({w for w, ids in zip(words, found) if ids is None})
-            told = {}
-            for w, e in zip(new, self.a.encode_batch(new, add_special_tokens=False)):
-                same = b"".join(map(self.a_bytes.__getitem__, e.ids)) == w.encode("utf-8")
-                told[w] = tuple(e.ids) if same else (-1,)
-            memory.update((w, ids) for w, ids in told.items() if len(w) <= 64)
-            found = [told[w] if ids is None else ids for w, ids in zip(words, found)]
-        out = list(chain.from_iterable(found))
-        return None if -1 in out else out
+        self.a_told, self.b_told = [f"{i}|" for i in range(len(self.a_bytes))], list(map(str, range(len(self.b_bytes))))
+
+        self.fast = self._by_rank(_file(a_file))
+
+    def _by_rank(self, path: str):
+        """A faster encoder of the same vocabulary where its merges stand in the order of
+        the ids they make, so that the lowest id is the next merge; else None."""
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocab, letters = spec["model"]["vocab"], byte_letters()
+        made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
+        singles = sorted(i for c, i in vocab.items() if c in letters)
+        if made != sorted(made) or len(singles) != 256 or singles[-1] > made[0] or spec.get("normalizer"):
+            return None
+        # each entry's last merge is the listed one: the order of merges within it decides
+        ranks = {self.a_bytes[i]: i for i in [*singles, *made]}
+        return tiktoken.Encoding("aligned", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def a_ids(self, text: str) -> list[int]:
+        if self.fast is not None:
+            return self.fast.encode_ordinary(text)
+        return self.a.encode(text, add_special_tokens=False).ids
 
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """Ids of both sides; none on either where they do not give the text's bytes."""
         for t, y in zip(texts, self.b.encode(texts, num_threads=1)):
-            same = t and b"".join(map(self.b_bytes.__getitem__, y)) == b" " + t.encode("utf-8")
-            x = self.a_ids(" " + t) if same else None
-            yield ([], []) if x is None else (x, y)
+            want = b" " + t.encode("utf-8")
+            x = self.a_ids(" " + t) if t and b"".join(map(self.b_bytes.__getitem__, y)) == want else []
+            yield (x, y) if x and b"".join(map(self.a_bytes.__getitem__, x)) == want else ([], [])
 
 
 def _file(name: str) -> str:
@@ -109,41 +112,43 @@ def runs(a_ends: list[int], b_ends: list[int]) -> Iterator[tuple[int, int, int,
     """(i, i_end, j, j_end): one-to-one stretches (i_end - i == j_end - j tokens that end
     together one by one) and irregular groups (one group of tokens i..i_end, j..j_end,
     told by a first end that differs).  Both lists rise and end alike."""
-    i, j, n, m = 0, 0, len(a_ends), len(b_ends)
+    a, b = [*a_ends, -1], [*b_ends, -2]  # no comparison passes the ends
+    i, j, n = 0, 0, len(a_ends)
     while i < n:
-        if a_ends[i] == b_ends[j]:
-            size = 1
-            while a_ends[i + size:i + 2 * size] == b_ends[j + size:j + 2 * size] and i + 2 * size <= n:
-                size *= 2
-            step = size
-            while step:
-                if i + size + step <= n and j + size + step <= m and a_ends[i + size:i + size + step] == b_ends[j + size:j + size + step]:
-                    size += step
+        x, y = i + 1, j + 1
+        if a[i] == b[j]:
+            step = 1
+            while a[x:x + step] == b[y:y + step]:
+                x, y, step = x + step, y + step, 2 * step
+            while step > 1:
                 step //= 2
-            yield i, i + size, j, j + size
-            i, j = i + size, j + size
+                if a[x:x + step] == b[y:y + step]:
+                    x, y = x + step, y + step
         else:
-            x, y = i, j
-            while a_ends[x] != b_ends[y]:
-                if a_ends[x] < b_ends[y]:
+            p, q = a[i], b[j]
+            while p != q:
+                if p < q:
+                    p = a[x]
                     x += 1
                 else:
+                    q = b[y]
                     y += 1
-            yield i, x + 1, j, y + 1
-            i, j = x + 1, y + 1
+        yield i, x, j, y
+        i, j = x, y
 
 
-def align_tokens(a: list[int], b: list[int], a_size: list[int], b_size: list[int]) -> tuple[str, list[int], list[int]]:
+def align_tokens(a: list[int], b: list[int], t: Tokenizers) -> tuple[str, list[int], list[int]]:
     """Groups as ``a1,a2|b1;a3|b2,b3``, and the A and B ids of the links in order."""
-    a_ends, b_ends = list(accumulate(map(a_size.__getitem__, a))), list(accumulate(map(b_size.__getitem__, b)))
-    groups, left, right = [], [], []
+    a_ends, b_ends = list(accumulate(map(t.a_size.__getitem__, a))), list(accumulate(map(t.b_size.__getitem__, b)))
+    groups, left, right, a_told, b_told = [], [], [], t.a_told.__getitem__, t.b_told.__getitem__
     for i, x, j, y in runs(a_ends, b_ends):
         if a_ends[i] == b_ends[j]:
-            groups += [f"{p}|{q}" for p, q in zip(a[i:x], b[j:y])]
-            left += a[i:x]
-            right += b[j:y]
+            some, other = a[i:x], b[j:y]
+            groups += map(add, map(a_told, some), map(b_told, other))
+            left += some
+            right += other
         else:
-            groups.append(",".join(map(str, a[i:x])) + "|" + ",".join(map(str, b[j:y])))
+            groups.append(f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}")
             left.append(a[x - 1])
             right.append(b[y - 1])
     return ";".join(groups), left, right
@@ -198,7 +203,7 @@ def align(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", tex
 
         for some, texts in _calls(batches):
             for a, b in t.encode(texts):
-                told, left, right = align_tokens(a, b, t.a_size, t.b_size)
+                told, left, right = align_tokens(a, b, t)
                 keys.append(np.array(left, np.int64) << 32 | np.array(right, np.int64))
                 figures.append((len(a), len(b), len(left)))
                 groups.append(told)
