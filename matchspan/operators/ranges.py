@@ -37,26 +37,29 @@ from ..config import (
     MatchConfig,
     Status,
 )
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, write_once
 from .prepare import initialize
 from .timeline import (
+    Edges,
     asc_nulls_last_key,
-    bucket_of,
+    bucket_by_rows,
+    bucket_by_time,
+    cold_bucket,
     default_width,
     desc_nulls_last_key,
-    hot_key_widths,
+    first_bucket_of_time,
+    hot_edges,
     lead_across_buckets,
     next_bucket_first,
     time_units,
 )
-from .validate import reduce_and_validate, start_flag
+from .validate import reduce_and_validate, start_flag, tie_sets
 
 START, END = Status.START.value, Status.END.value
-U = "_u"  # time on a numeric scale (hours, days or the value)
-TB_A, LO_A, W_A = "_tba", "_loa", "_wa"  # time bucket for a-keyed windows; hot-key origin and width
-TB_B, LO_B, W_B = "_tbb", "_lob", "_wb"  # the same for b-keyed windows
+TB_A, TB_B = "_tba", "_tbb"  # buckets of a-keyed and b-keyed windows
+FIRST_A, LAST_A, FIRST_B, LAST_B = "_fta", "_lta", "_ftb", "_ltb"  # buckets of a row's time; they differ in a cut tie
 NB = "_nb"  # spreads null-b rows (never valid, never keyed) over tasks
-_HELPERS = {U, TB_A, LO_A, W_A, TB_B, LO_B, W_B, NB}
+_HELPERS = {TB_A, TB_B, FIRST_A, LAST_A, FIRST_B, LAST_B, NB, "_edges", "_cut"}
 
 
 def _reason_name(ordinal: Column) -> Column:
@@ -64,60 +67,41 @@ def _reason_name(ordinal: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), ordinal)
 
 
-def _default_width_of(x: DataFrame, cfg: MatchConfig) -> float | None:
-    return default_width(x.schema[cfg.time_col].dataType, cfg.split_width) if cfg.time_col in x.columns else None
-
-
-def _with_widths(x: DataFrame, cfg: MatchConfig, keys: list[tuple[str, str, str]]) -> DataFrame:
-    """Join each key's hot-key origin and width (null for keys that are not
-    hot).  The width tables hold at most ``max_hot_keys`` rows each, so they
-    are broadcast; the join is map-side and keeps the frame's partitioning."""
-    if cfg.rows_per_bucket is None:
-        nulls = [F.lit(None).cast("double").alias(c) for _, lo, w in keys for c in (lo, w)]
-        return x.select("*", *nulls)
-    # One small job finds the hot keys of every side (a partial aggregate per
-    # side; at most ``max_hot_keys`` rows each come back).  The tables are then
-    # local relations: every branch of the plan broadcasts them without
-    # recomputing them.
-    dw = _default_width_of(x, cfg)
-    bound, rows = cfg.rows_per_bucket, None
-    while rows is None:
-        tables = [hot_key_widths(x, key, U, bound, cfg.max_hot_keys, lo, w, dw) for key, lo, w in keys]
-        both = tables[0]
-        for t in tables[1:]:
-            both = both.unionByName(t, allowMissingColumns=True)
-        rows = both.collect()
-        if any(sum(r[lo] is not None for r in rows) > cfg.max_hot_keys for _, lo, _ in keys):
-            bound, rows = 4 * bound, None
-    spark = x.sparkSession
-    for (key, lo, w), t in zip(keys, tables):
-        mine = [(r[key], r[lo], r[w]) for r in rows if r[lo] is not None]
-        x = x.join(F.broadcast(spark.createDataFrame(mine, t.schema)), on=key, how="left")
-    return x
-
-
-def _with_helpers(df: DataFrame, cfg: MatchConfig, b_side: bool = True) -> DataFrame:
-    """Time units, per-side time buckets (hot keys cut finer) and the null-b
-    spread.  ``b_side=False`` skips the hot-key search for ``b`` (its buckets
-    then use the default width) when only ``a``-keyed windows follow."""
-    clash = sorted(_HELPERS & set(df.columns))
+def _cold(t: Column, tdt: T.DataType, cfg: MatchConfig) -> Column:
+    units = time_units(t, tdt)
+    return cold_bucket(units if units is not None else F.lit(None).cast("double"), default_width(tdt, cfg.split_width))
+
+
+def _tuple_of(cfg: MatchConfig, counterpart: str) -> list[Column]:
+    """Fields whose ascending order is the next-row order up to the counterpart.  Rows
+    equal in all of them stay together; no stage changes these fields of a valid start."""
+    s, c = F.col(cfg.status_col), F.col(counterpart)
+    return [F.col(cfg.time_col), *desc_nulls_last_key(s), *asc_nulls_last_key(c)]
+
+
+def _with_buckets(x: DataFrame, cfg: MatchConfig, b_side: bool = True) -> tuple[DataFrame, Edges | None, Edges | None]:
+    """``x`` with per-side buckets and the null-b spread; hot keys are cut by rows.
+    ``x`` is read by the hot-key jobs: pass a scan or a written table.
+    ``b_side=False`` skips the hot-key search for ``b`` when only ``a``-keyed windows
+    follow."""
+    clash = sorted(_HELPERS & set(x.columns))
     if clash:
         raise ValueError(f"column names {clash} are reserved for the analysis")
-    tdt = df.schema[cfg.time_col].dataType
-    a, b, t = F.col(cfg.a_col), F.col(cfg.b_col), F.col(cfg.time_col)
-    u = time_units(t, tdt)
-    x = df.select("*", (u if u is not None else F.lit(None).cast("double")).alias(U))
-    x = _with_widths(x, cfg, [(cfg.a_col, LO_A, W_A), (cfg.b_col, LO_B, W_B)] if b_side else
-                     [(cfg.a_col, LO_A, W_A)])
-    if not b_side:
-        x = x.select("*", F.lit(None).cast("double").alias(LO_B), F.lit(None).cast("double").alias(W_B))
-    dw = default_width(tdt, cfg.split_width)
-    return x.select(
-        "*",
-        bucket_of(F.col(U), F.col(LO_A), F.col(W_A), dw).alias(TB_A),
-        bucket_of(F.col(U), F.col(LO_B), F.col(W_B), dw).alias(TB_B),
-        F.when(b.isNull(), F.xxhash64(a, t)).otherwise(F.lit(0).cast("long")).alias(NB),
-    )
+    t, tdt = F.col(cfg.time_col), x.schema[cfg.time_col].dataType
+    sides = [(cfg.a_col, _tuple_of(cfg, cfg.b_col)), (cfg.b_col, _tuple_of(cfg, cfg.a_col))]
+    edges = hot_edges(x, sides[:2 if b_side else 1], cfg.rows_per_bucket, cfg.max_hot_keys) + ([] if b_side else [None])
+    columns, cold = x.columns, _cold(t, tdt, cfg)
+    for side, (_, order), bucket, first, last in zip(edges, sides, (TB_A, TB_B), (FIRST_A, FIRST_B), (LAST_A, LAST_B)):
+        if side is None:
+            x = x.select(*columns, cold.alias(bucket))
+        else:
+            own = [bucket_by_rows(order, cold).alias(bucket)]
+            if side.ties:
+                own += [first_bucket_of_time(t).alias(first), bucket_by_time(t, F.lit(None).cast("long")).alias(last)]
+            x = side.on(x).select(*columns, *own)
+        columns = x.columns
+    a, b = F.col(cfg.a_col), F.col(cfg.b_col)
+    return x.select("*", F.when(b.isNull(), F.xxhash64(a, t)).otherwise(F.lit(0).cast("long")).alias(NB)), *edges
 
 
 def _order(cfg: MatchConfig, counterpart: str) -> list[Column]:
@@ -135,11 +119,7 @@ def _bucket_firsts(df: DataFrame, cfg: MatchConfig, keys: list[str], counterpart
     (time, status, counterpart).  A min over a struct whose leading fields
     encode the order; others only break ties between rows that agree on all
     three values, so they can be left out."""
-    t, s, c = F.col(cfg.time_col), F.col(cfg.status_col), F.col(counterpart)
-    order_key = F.struct(
-        t.alias("k0"),
-        *[x.alias(f"k{i + 1}") for i, x in enumerate(desc_nulls_last_key(s) + asc_nulls_last_key(c))],
-    )
+    order_key = F.struct(*[x.alias(f"k{i}") for i, x in enumerate(_tuple_of(cfg, counterpart))])
     mins = df.groupBy(*keys, bucket).agg(F.min(order_key).alias("_k"))
     first = F.struct(
         F.col("_k.k0").alias(cfg.time_col),
@@ -160,7 +140,11 @@ def _firsts_b(x: DataFrame, cfg: MatchConfig) -> DataFrame:
     join would no longer fit the partitioning by (b, bucket, spread), and every
     row would be exchanged once more, all null ``b`` to one task."""
     firsts = _bucket_firsts(x, cfg, [cfg.b_col], cfg.a_col, TB_B)
-    return firsts.select(cfg.b_col, F.pmod(F.xxhash64(F.col(cfg.b_col)), F.lit(1).cast("long")).alias(NB), TB_B, "_bucket_next")
+    return firsts.select(cfg.b_col, _unfolded_zero(cfg).alias(NB), TB_B, "_bucket_next")
+
+
+def _unfolded_zero(cfg: MatchConfig) -> Column:
+    return F.pmod(F.xxhash64(F.col(cfg.b_col)), F.lit(1).cast("long"))
 
 
 def _candidate(cfg: MatchConfig, key: str, counterpart: str, prefix: str) -> Column:
@@ -216,18 +200,28 @@ def _direction_a(x: DataFrame, cfg: MatchConfig, firsts_a: DataFrame) -> DataFra
     )
 
 
-def _validate_both(x1: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """T3 passes on a frame already hash-partitioned by (a, a-bucket), whose
-    rows are distinct.
+def _validate_both(x: DataFrame, cfg: MatchConfig, edges_a: Edges | None, edges_b: Edges | None) -> DataFrame:
+    """T3 passes on distinct rows with buckets; the result is partitioned by
+    (b, b-bucket, spread).
 
     After the first pass all valid STARTs of one (a, time) are filled to the
-    same values and collapse to one row; the second pass can then only
-    invalidate or fill that single row, so it cannot create duplicates and
-    needs no distinct of its own."""
-    p1 = reduce_and_validate(x1, cfg, [cfg.a_col, cfg.time_col], [*cfg.other_matches, cfg.b_col], split_cols=[TB_A])
-    x2 = p1.repartition(cfg.b_col, TB_B, NB)
-    return reduce_and_validate(x2, cfg, [cfg.b_col, cfg.time_col], [*cfg.other_matches, cfg.a_col],
-                               split_cols=[TB_B, NB], dedupe=False)
+    same values and collapse to one row (they agree in the bucket's order tuple, so
+    they lie in one bucket); the second pass can then only invalidate or fill
+    that single row, so it cannot create duplicates and needs no distinct of its own.
+
+    Where a tie on (key, time) is large enough to be cut, the value sets of the cut
+    groups come from a partial aggregate.  The one of the second pass needs the rows
+    of the first, which are then written once."""
+    keys_a, match_a = [cfg.a_col, cfg.time_col], [*cfg.other_matches, cfg.b_col]
+    keys_b, match_b = [cfg.b_col, cfg.time_col], [*cfg.other_matches, cfg.a_col]
+    cut = tie_sets(x, keys_a, match_a, FIRST_A, LAST_A, TB_A) if edges_a is not None and edges_a.ties else None
+    p1 = reduce_and_validate(x.repartition(cfg.a_col, TB_A), cfg, keys_a, match_a, split_cols=[TB_A], cut_ties=cut)
+    cut = None
+    if edges_b is not None and edges_b.ties:
+        p1 = write_once(p1, "first-pass")
+        cut = tie_sets(p1, keys_b, match_b, FIRST_B, LAST_B, TB_B).withColumn(NB, _unfolded_zero(cfg))
+    return reduce_and_validate(p1.repartition(cfg.b_col, TB_B, NB), cfg, keys_b, match_b,
+                               split_cols=[TB_B, NB], dedupe=False, cut_ties=cut)
 
 
 def _output_columns(df_columns: list[str], cfg: MatchConfig) -> list[str]:
@@ -244,9 +238,9 @@ def _output_columns(df_columns: list[str], cfg: MatchConfig) -> list[str]:
 def mark_valid_starts(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     """Set the validity flag, then validate per (a, time) and per (b, time)."""
     cols = _output_columns(df.columns, cfg)
-    x = df.withColumn(cfg.valid_col, start_flag(cfg))
-    x = _with_helpers(x, cfg).distinct().repartition(cfg.a_col, TB_A)
-    return _validate_both(x, cfg).select(*cols)
+    x = df.withColumn(cfg.valid_col, start_flag(cfg)).distinct()
+    x, edges_a, edges_b = _with_buckets(write_once(x, "rows"), cfg)
+    return _validate_both(x, cfg, edges_a, edges_b).select(*cols)
 
 
 def end_candidates(df: DataFrame, cfg: MatchConfig) -> DataFrame:
@@ -255,7 +249,7 @@ def end_candidates(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     whose status is START, END or null.  The input is read by three branches
     (rows, bucket-edge summaries, hot keys): checkpoint an expensive input."""
     cols = list(df.columns)
-    x = _with_helpers(df, cfg)
+    x, _, _ = _with_buckets(df, cfg)
     firsts_b = _firsts_b(x, cfg)
     firsts_a = _bucket_firsts(x, cfg, [cfg.a_col], cfg.b_col, TB_A)
     x = _direction_b(x.repartition(cfg.b_col, TB_B, NB), cfg, firsts_b)
@@ -292,16 +286,10 @@ def connect_ranges(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     and reason of the last one.  The input is read more than once:
     checkpoint an expensive input."""
     cols = list(df.columns)
-    x = df.where(F.col(FINAL_END_TIME).isNotNull())
-    tdt = x.schema[START_TIME].dataType
-    u = time_units(F.col(START_TIME), tdt)
-    x = x.select("*", (u if u is not None else F.lit(None).cast("double")).alias(U))
-    x = _with_widths(x, cfg, [(cfg.a_col, LO_A, W_A)])
-    x = x.select("*", bucket_of(F.col(U), F.col(LO_A), F.col(W_A), default_width(tdt, cfg.split_width)).alias(TB_A))
-    return _merge(x, cfg, tdt).select(*cols)
+    return _merge(df.where(F.col(FINAL_END_TIME).isNotNull()), cfg).select(*cols)
 
 
-def _merge(r: DataFrame, cfg: MatchConfig, tdt: T.DataType) -> DataFrame:
+def _merge(r: DataFrame, cfg: MatchConfig) -> DataFrame:
     """Islands of adjacent ranges per (a, b), split by time bucket.
 
     A range whose end lies in a later bucket is copied into that bucket as a
@@ -311,15 +299,18 @@ def _merge(r: DataFrame, cfg: MatchConfig, tdt: T.DataType) -> DataFrame:
     aggregates partially per bucket before its shuffle.
     """
     a, b = cfg.a_col, cfg.b_col
-    cols = [c for c in r.columns if c not in _HELPERS]
+    cols = r.columns
     head_cols = [c for c in cols if c not in (a, b, START_TIME, FINAL_END_TIME, FINAL_END_REASON)]
-    end_units = time_units(F.col(FINAL_END_TIME), tdt)
-    end_units = end_units if end_units is not None else F.lit(None).cast("double")
-    end_bucket = bucket_of(end_units, F.col(LO_A), F.col(W_A), default_width(tdt, cfg.split_width))
+    tdt, start, end = r.schema[START_TIME].dataType, F.col(START_TIME), F.col(FINAL_END_TIME)
+    edges = hot_edges(r, [(a, [start])], cfg.rows_per_bucket, cfg.max_hot_keys)[0]
+    if edges is None:
+        r = r.select(*cols, _cold(start, tdt, cfg).alias(TB_A), _cold(end, tdt, cfg).alias("_eb"))
+    else:
+        r = edges.on(r).select(*cols, bucket_by_time(start, _cold(start, tdt, cfg)).alias(TB_A), bucket_by_time(end, _cold(end, tdt, cfg)).alias("_eb"))
     ghost = F.explode(
-        F.when(end_bucket != F.col(TB_A), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+        F.when(F.col("_eb") != F.col(TB_A), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     )
-    x = r.select(*cols, TB_A, end_bucket.alias("_eb"), ghost.alias("_ghost"))
+    x = r.select(*cols, TB_A, "_eb", ghost.alias("_ghost"))
     x = x.select(*cols, F.when(F.col("_ghost"), F.col("_eb")).otherwise(F.col(TB_A)).alias("_mb"), "_ghost")
     x = x.repartition(a, b, "_mb")
 
@@ -350,33 +341,35 @@ def _merge(r: DataFrame, cfg: MatchConfig, tdt: T.DataType) -> DataFrame:
 # The whole analysis
 # ---------------------------------------------------------------------------
 
+def prepared_rows(df: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """T2 and the start flag: the distinct prepared rows, written once.  Copies of an
+    event change nothing (value sets ignore multiplicity and every stage drops
+    duplicates), and the partial aggregate folds them before the only shuffle."""
+    x = initialize(df, cfg)
+    return write_once(x.withColumn(cfg.valid_col, start_flag(cfg)).distinct(), "prepared")
+
+
 def chosen_ranges(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     """T2-T8 fused: one row per valid start that has an end, with
     ``start_time``, ``final_end_time`` and ``final_end_reason`` (not yet
-    merged), plus the a-side time bucket and width.  Full-data exchanges: the early
+    merged).  The source is scanned once, to write the prepared rows; the hot-key
+    jobs, the bucket edges and the main path read those.  Full-data exchanges: the
     distinct, then (a, bucket), (b, bucket, spread), (a, bucket)."""
-    x = initialize(df, cfg)
-    out_cols = _output_columns(x.columns, cfg)
-    x = _with_helpers(x.withColumn(cfg.valid_col, start_flag(cfg)), cfg)
+    rows = prepared_rows(df, cfg)
+    out_cols = rows.columns
+    x, edges_a, edges_b = _with_buckets(rows, cfg)
 
-    # Per-bucket first rows, aggregated map-side from the prepared rows: only
-    # one row per (key, bucket) and task crosses the network.  They (and the
-    # hot-key widths) read the prepared rows before the distinct below, so no
-    # branch of the plan hangs off a shuffle that would have to run twice.
+    # Per-bucket first rows, aggregated map-side: only one row per (key, bucket)
+    # and task crosses the network.
     firsts_a = _bucket_firsts(x, cfg, [cfg.a_col], cfg.b_col, TB_A)
     firsts_b = _firsts_b(x, cfg)
 
-    # Copies of an event change nothing (value sets ignore multiplicity and
-    # every stage drops duplicates), so collapse them first: the partial
-    # aggregate runs map-side, and a group of copies never reaches a window.
-    x = x.distinct()
-    x2 = _validate_both(x.repartition(cfg.a_col, TB_A), cfg)
-    x2 = _direction_b(x2, cfg, firsts_b)
+    x2 = _direction_b(_validate_both(x, cfg, edges_a, edges_b), cfg, firsts_b)
     x3 = _direction_a(x2.repartition(cfg.a_col, TB_A), cfg, firsts_a)
 
     chosen = F.least(F.col("_cand_a"), F.col("_cand_b"))
     return x3.select(
-        *out_cols, TB_A, LO_A, W_A,
+        *out_cols,
         F.col(cfg.time_col).alias(START_TIME),
         chosen.getField(END_TIME).alias(FINAL_END_TIME),
         chosen.getField(END_REASON_NAME).alias(FINAL_END_REASON),
@@ -410,14 +403,13 @@ def match_ranges(df: DataFrame, cfg: MatchConfig, checkpoint: bool = True, valid
         if bad:
             raise ValueError("rows with a status other than START or END after preparation")
     ranges = chosen_ranges(df, cfg)
-    tdt = df.schema[cfg.time_col].dataType
     if checkpoint:
         # The merge reads the ranges twice (rows and per-bucket summary); cut
         # the lineage here so the upstream stages run once, and so a lost
         # executor does not send the job back to the event scan.
         ensure_checkpoint_dir(ranges.sparkSession)
         ranges = ranges.checkpoint(eager=True)
-    return _merge(ranges, cfg, tdt)
+    return _merge(ranges, cfg)
 
 
 def next_event(df: DataFrame, cfg: MatchConfig) -> DataFrame:
@@ -425,7 +417,7 @@ def next_event(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     before START, b and others nulls last) as next_t, next_status, next_b --
     exact across time buckets."""
     cols = list(df.columns)
-    x = _with_helpers(df, cfg, b_side=False)
+    x, _, _ = _with_buckets(df, cfg, b_side=False)
     firsts = _bucket_firsts(x, cfg, [cfg.a_col], cfg.b_col, TB_A)
     out = lead_across_buckets(
         x.repartition(cfg.a_col, TB_A), [cfg.a_col], TB_A, _order(cfg, cfg.b_col),

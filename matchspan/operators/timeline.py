@@ -10,12 +10,16 @@ of the unsplit window whatever the bucket width.
 
 from __future__ import annotations
 
-from typing import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import write_once
+
+
 def time_units(col: Column, dtype: T.DataType) -> Column | None:
     """Time on a natural numeric scale: hours for timestamps, days for dates,
     the value itself for numbers; ``None`` for other types (never cut)."""
@@ -43,37 +47,109 @@ def default_width(dtype: T.DataType, width: float | None) -> float | None:
     return None
 
 
-def bucket_of(units: Column, lo: Column, width: Column, default: float | None) -> Column:
-    """Bucket number: hot keys are cut at their own width from their own
-    first time; the others at the default width (or not at all).  Monotone
-    in time for every key, which is all exactness needs."""
-    cold = F.floor(units / F.lit(default)) if default else F.lit(0)
-    number = F.when(width.isNotNull(), F.floor((units - lo) / width)).otherwise(cold)
+def cold_bucket(units: Column, default: float | None) -> Column:
+    """Bucket number of a key that is not hot: time cut at ``default`` units (or not
+    at all).  Monotone in time, which is all exactness needs."""
+    number = F.floor(units / F.lit(default)).cast("long") if default else F.lit(0).cast("long")
     # NaN sorts after every number, so it belongs to the last bucket
-    return F.when(F.isnan(units), F.lit(1 << 62)).otherwise(number.cast("long")).cast("long")
-
-
-def hot_key_widths(x: DataFrame, key: str, units: str, rows_per_bucket: int, max_keys: int,
-                   lo_name: str, width_name: str, max_width: float | None = None) -> DataFrame:
-    """Per-key widths for the keys that hold more than ``rows_per_bucket``
-    rows: their time span is cut into about ``rows / rows_per_bucket`` equal
-    buckets, and never coarser than ``max_width``.  Counting is a partial
-    aggregate.  The result has at most ``max_keys`` + 1 rows; one more than
-    ``max_keys`` tells the caller to raise ``rows_per_bucket``, so that no key
-    above the bound is left out.  Results do not depend on the choice."""
-    # No filter before the grouping (it would be pushed into the shared input
-    # and stop Spark from reusing its exchange); a null key never joins back.
-    number = F.when(~F.isnan(units), F.col(units))
-    counts = (x.groupBy(key)
-              .agg(F.count(F.lit(1)).alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi")))
-    hot = (counts.where((F.col("_n") > F.lit(rows_per_bucket)) & (F.col("_hi") > F.col("_lo")))
-           .orderBy(F.col("_n").desc(), F.col(key).asc())
-           .limit(max_keys + 1))
-    parts = F.ceil(F.col("_n") / F.lit(rows_per_bucket))
-    width = (F.col("_hi") - F.col("_lo")) / parts
-    if max_width:  # never cut a hot key coarser than the ordinary keys
-        width = F.least(width, F.lit(float(max_width)))
-    return hot.select(key, F.col("_lo").alias(lo_name), width.alias(width_name))
+    return F.when(F.isnan(units), F.lit(1 << 62)).otherwise(number)
+
+
+#: Edges of all hot keys of one side together; what is sent to every task stays below it.
+MAX_EDGES = 16_384
+#: Drawn rows of a hot key for each of its buckets.
+DRAWN = 64
+
+
+@dataclass(frozen=True)
+class Edges:
+    """Where the timelines of hot keys are cut: ``table`` has ``key`` and ``_edges``,
+    a sorted array of order tuples (struct k0, k1, ...; k0 is the time).  A bucket's
+    number is the count of edges at or before a row's tuple, so ties on time are cut
+    too where they are large.  An edge that only cuts by time has nulls behind k0,
+    which sort before every tuple of that time; ``ties``: some edge cuts inside a time."""
+
+    key: str
+    table: DataFrame
+    ties: bool
+
+    def on(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``_edges`` (null for keys that are not hot).  At most MAX_EDGES
+        tuples are broadcast; the join keeps the frame's partitioning."""
+        return df.join(F.broadcast(self.table), self.key, "left")
+
+
+def order_tuple(order: Sequence[Column]) -> Column:
+    """The order columns as one value that compares with edges."""
+    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)], F.lit(True).alias("whole"))
+
+
+def _edges_before(holds: Callable[[Column], Column]) -> Column:
+    """How many of the sorted ``_edges`` satisfy ``holds``, a prefix of them, by binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(MAX_EDGES.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(holds(F.get(F.col("_edges"), at + step - 1)), at + step).otherwise(at)).cast("long")
+
+
+def bucket_by_rows(order: Sequence[Column], cold: Column) -> Column:
+    """Bucket of a row (a frame with ``_edges``) by its order columns; ``cold`` for other keys."""
+    return F.when(F.col("_edges").isNotNull(), _edges_before(lambda e: e <= order_tuple(order))).otherwise(cold)
+
+
+def bucket_by_time(time: Column, cold: Column) -> Column:
+    """A coarser bucket that depends on the time alone."""
+    return F.when(F.col("_edges").isNotNull(), _edges_before(lambda e: e["k0"] <= time)).otherwise(cold)
+
+
+def first_bucket_of_time(time: Column) -> Column:
+    """The first bucket that holds rows of a time (null for keys that are not hot); the
+    last one is :func:`bucket_by_time`.  They differ where a tie is cut."""
+    return F.when(F.col("_edges").isNotNull(), _edges_before(lambda e: (e["k0"] < time) | ((e["k0"] == time) & e["whole"])))
+
+
+def hot_edges(x: DataFrame, sides: Sequence[tuple[str, Sequence[Column]]], rows_per_bucket: int | None, max_keys: int) -> list[Edges | None]:
+    """Edges for the keys that hold more than ``rows_per_bucket`` rows, one entry a
+    side (key, order columns: the time first, none of them null in a tuple's k0).
+
+    One job of partial aggregates counts rows a key and returns at most ``max_keys`` + 1
+    of them; more raise the bound, as do more than MAX_EDGES buckets, so no key
+    above the bound is left whole.  A second job, only where keys are hot, draws rows
+    of each by a hash of the tuple, DRAWN for each bucket, sorts them and takes every
+    so manieth as an edge: buckets are even in rows whatever the type or spread of the
+    times.  Draws merge by union.  Results do not depend on the choice."""
+    if rows_per_bucket is None:
+        return [None] * len(sides)
+    bound, hot = rows_per_bucket, None
+    while hot is None:
+        counts = None
+        for i, (key, _) in enumerate(sides):
+            # a null key never joins back; without a filter all sides share the input
+            n = x.groupBy(F.col(key).alias(f"k{i}")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bound).orderBy(F.col("n").desc(), F.col(f"k{i}")).limit(max_keys + 1)
+            n = n.select(F.lit(i).alias("side"), "n", f"k{i}")
+            counts = n if counts is None else counts.unionByName(n, allowMissingColumns=True)
+        rows = counts.collect()
+        hot = [[(r[f"k{i}"], r["n"], -(-r["n"] // bound)) for r in rows if r["side"] == i and r[f"k{i}"] is not None] for i in range(len(sides))]
+        if any(sum(r["side"] == i for r in rows) > max_keys or sum(k[2] for k in hot[i]) > MAX_EDGES for i in range(len(sides))):
+            bound, hot = 4 * bound, None
+    return [_edges_of(x, key, order, keys) if keys else None for (key, order), keys in zip(sides, hot)]
+
+
+def _edges_of(x: DataFrame, key: str, order: Sequence[Column], keys: list[tuple]) -> Edges:
+    spark, kind = x.sparkSession, x.schema[key].dataType
+    table = spark.createDataFrame(keys, T.StructType([T.StructField(key, kind), T.StructField("_n", T.LongType()), T.StructField("_parts", T.LongType())]))
+    tuples = order_tuple(order)
+    drawn = F.pmod(F.xxhash64(key, *order), F.lit(1 << 40)) < F.lit(DRAWN << 40) / F.col("_n") * F.col("_parts")
+    rows = x.join(F.broadcast(table), key).where(drawn).groupBy(key, "_parts").agg(F.sort_array(F.collect_set(tuples)).alias("_s"))
+    at = F.sequence(F.lit(1).cast("long"), F.greatest(F.lit(1).cast("long"), F.col("_parts") - 1))
+    picked = F.array_distinct(F.filter(F.transform(at, lambda j: F.get(F.col("_s"), F.floor(j * F.size("_s") / F.col("_parts")).cast("int"))), lambda e: e.isNotNull()))
+    rows = rows.select(key, picked.alias("_p"))
+    # an edge alone at its time cuts before the time; only larger ties are cut inside
+    alone = lambda e, i: ~(F.coalesce(F.get(F.col("_p"), i - 1)["k0"] == e["k0"], F.lit(False)) | F.coalesce(F.get(F.col("_p"), i + 1)["k0"] == e["k0"], F.lit(False)))
+    names = [f"k{i}" for i in range(1, len(order))]
+    cut = F.transform(F.col("_p"), lambda e, i: F.struct(e["k0"].alias("k0"), *[F.when(~alone(e, i), e[n]).alias(n) for n in names], (alone(e, i) if names else F.lit(True)).alias("whole")))
+    found = rows.select(key, cut.alias("_edges")).where(F.size("_edges") > 0)
+    table = write_once(found, "edges")
+    seen = table.agg(F.count(F.lit(1)).alias("keys"), F.max(F.exists("_edges", lambda e: ~e["whole"])).alias("ties")).first()
+    return Edges(key, table, seen["ties"]) if seen["keys"] else None
 
 
 def asc_nulls_last_key(c: Column) -> list[Column]:

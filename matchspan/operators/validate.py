@@ -35,6 +35,7 @@ def reduce_and_validate(
     match_cols: Sequence[str],
     split_cols: Sequence[str] = (),
     dedupe: bool = True,
+    cut_ties: DataFrame | None = None,
 ) -> DataFrame:
     """T4: per key, invalidate START rows whose match columns disagree, fill
     the single agreed value into the others, then drop duplicate rows.
@@ -45,7 +46,10 @@ def reduce_and_validate(
     extra partition columns that are functions of the key (e.g. a time
     bucket); they refine the partitioning without changing the groups.
     ``dedupe=False`` skips the final distinct where the caller knows it
-    cannot find duplicates.
+    cannot find duplicates.  Where ``split_cols`` cut through groups, ``cut_ties``
+    (see :func:`tie_sets`) holds the value sets of those groups, keyed by
+    ``split_cols`` and ``key_cols``; the few rows are joined to the split rows, so a
+    group that holds much of the data is never gathered.
     """
     overlap = set(key_cols) & set(match_cols) | ({cfg.valid_col} & (set(key_cols) | set(match_cols)))
     if overlap:
@@ -66,6 +70,13 @@ def reduce_and_validate(
         *[hi[c].alias(hi_names[c]) for c in match_cols],
     )
 
+    if cut_ties is not None:
+        staged = staged.join(cut_ties, [*split_cols, *key_cols], "left")
+        seen = F.col("_cut").isNotNull()
+        whole = {f"{side}{i}": F.when(seen, F.col(f"_cut.{i}{side}")).otherwise(F.col(f"{side}{i}")).alias(f"{side}{i}")
+                 for i in range(len(match_cols)) for side in ("_lo_", "_hi_")}
+        staged = staged.select(*base, *whole.values())
+
     valid_start = (F.col(cfg.status_col) == F.lit(START)) & (F.col(cfg.valid_col) == F.lit(True))
     prefix_ok: Column = F.lit(True)
     new_cols: dict[str, Column] = {}
@@ -79,3 +90,13 @@ def reduce_and_validate(
     )
     out = staged.select(*[new_cols.get(c, F.col(c)) for c in base])
     return out.distinct() if dedupe else out
+
+
+def tie_sets(df: DataFrame, key_cols: Sequence[str], match_cols: Sequence[str], first: str, last: str, bucket: str) -> DataFrame:
+    """The value sets (``_cut``: least and largest of every match column) of the groups
+    that buckets cut, that is whose ``first`` and ``last`` bucket differ, once for each
+    of their buckets.  A partial aggregate: a tie of any size costs a row a task."""
+    sets = [x for i, c in enumerate(match_cols) for x in (F.min(c).alias(f"{i}_lo_"), F.max(c).alias(f"{i}_hi_"))]
+    rows = df.where(F.col(first) < F.col(last)).groupBy(*key_cols, first, last).agg(*sets)
+    names = [f"{i}{side}" for i in range(len(match_cols)) for side in ("_lo_", "_hi_")]
+    return rows.select(*key_cols, F.explode(F.sequence(first, last)).alias(bucket), F.struct(*names).alias("_cut"))

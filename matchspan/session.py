@@ -6,7 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this library relies on: ANSI semantics, adaptive
 # execution (coalescing, skew-join splitting, runtime broadcast decisions made
@@ -66,6 +66,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
 
 
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table under the shared folder: computed by one job, read
+    (pruned to the columns needed) by all later ones, and kept when executors go."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _count():
     i = 0
     while True:
