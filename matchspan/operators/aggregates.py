@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def quoted(c: str) -> Column:
+    """A column by its exact name, dots and backticks included."""
+    return F.col(f"`{c.replace('`', '``')}`")
 
 
 def group_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -23,7 +29,7 @@ def dedup_keep_first(df: DataFrame, subset: Sequence[str], order_by: Sequence[st
     ``order_by`` (then by the remaining columns), so the kept row is defined.
     A min over a struct aggregates partially before the shuffle: a hot key
     costs one row per task, unlike a row_number window."""
-    q = {c: F.col(f"`{c.replace('`', '``')}`") for c in df.columns}
+    q = {c: quoted(c) for c in df.columns}
     kept = [c for c in df.columns if c not in subset]
     # what cannot be ordered (maps and what holds them) is ordered by its text
     rest = [F.to_json(F.struct(q[c])) if "map<" in df.schema[c].dataType.simpleString() else q[c] for c in kept if c not in order_by]
@@ -43,19 +49,36 @@ def value_set_size(df: DataFrame, keys: Sequence[str], value: str, out: str) ->
     its key group -- what ``size(collect_set(value) OVER (PARTITION BY keys))``
     gives, computed as a partial aggregate joined back (null-safe on keys) so
     that a hot key is reduced before its shuffle and AQE can split the join."""
-    return _joined_back(df, keys, F.count_distinct(F.col(value)), out)
+    return _joined_back(df, keys, F.count_distinct(quoted(value)), out)
 
 
 def value_set(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """For every row, the sorted distinct non-null ``value`` of its key group
     (``collect_set(value) OVER (PARTITION BY keys)`` with a defined order).  The
     set of a key is one value of the result, so it must fit into memory."""
-    return _joined_back(df, keys, F.array_sort(F.collect_set(F.col(value))), out)
+    return _joined_back(df, keys, F.array_sort(F.collect_set(quoted(value))), out)
+
+
+def null_safe_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns that stand for ``keys`` and hold no nulls, and their names: a
+    flag and the value where a null can be replaced, else a struct.  Grouping and
+    joining by them is null-safe and keeps one partitioning for both."""
+    at, named = [], []
+    for i, k in enumerate(keys):
+        kind = df.schema[k].dataType
+        if isinstance(kind, (T.NumericType, T.StringType)):
+            empty = F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
+            named += [quoted(k).isNull().alias(f"_n{i}"), F.coalesce(quoted(k), empty).alias(f"_k{i}")]
+            at += [f"_n{i}", f"_k{i}"]
+        else:
+            named += [F.struct(quoted(k).alias("v")).alias(f"_k{i}")]  # a struct is never null
+            at += [f"_k{i}"]
+    return df.select("*", *named), at
 
 
 def _joined_back(df: DataFrame, keys: Sequence[str], agg, out: str) -> DataFrame:
-    """A group's aggregate on each of its rows, joined back null-safely."""
-    sets = df.groupBy(*keys).agg(agg.alias(out)).alias("_r")
-    rows = df.alias("_l")
-    cond = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys]
-    return rows.join(sets, cond, "left").select(*[F.col(f"_l.{c}") for c in df.columns], F.col(f"_r.{out}"))
+    """A group's aggregate on each of its rows, joined back null-safely; the aggregate
+    is not shuffled again for the join."""
+    rows, at = null_safe_keys(df, keys)
+    sets = rows.groupBy(*at).agg(agg.alias("_out"))
+    return rows.join(sets, at, "left").select(*map(quoted, df.columns), F.col("_out").alias(out))

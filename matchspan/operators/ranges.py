@@ -4,8 +4,9 @@ range ended, adjacent ranges of a pair merged.
 
 Physical shape of :func:`match_ranges` (full-data exchanges in brackets):
 
-0. prepare (narrow); one small job finds the hot keys of a and of b
-1. [hash of all columns] early distinct (partial aggregate map-side)
+0. prepare -> [hash of all columns] distinct (partial aggregate map-side) ->
+   prepared rows, written once: the only scan of the source
+1. one job counts rows a key; for hot keys another draws the edges of their buckets
 2. [hash a, a-bucket] -> validate on (a, t) -> distinct
 3. [hash b, b-bucket, null-b spread] -> validate on (b, t)
    -> next row by ``b`` -> end candidate B
@@ -13,18 +14,21 @@ Physical shape of :func:`match_ranges` (full-data exchanges in brackets):
    -> least(A, B) = chosen end (row-local, no window) -> checkpoint
 5. ranges only: [hash a, b, bucket] -> islands of adjacent ranges
    -> partial/final aggregate per island
+6. with ``payload``: start rows folded by (a, b, start) -> [hash] -> joined to the ranges
 
-A bucket is a monotone function of time per key (see ``timeline``): a fixed
-width, and a finer one for the hottest keys, so a hot key spreads over many
-tasks.  Rows on bucket edges take the next bucket's first row from small
-per-bucket summaries, which are partial aggregates of the prepared rows.
+A bucket is a monotone function of the next-row order per key (see ``timeline``): a
+fixed width of time, and for hot keys as many rows as others, so a hot key spreads
+over many tasks whatever its times are.  Rows on bucket edges take the next bucket's
+first row from small per-bucket summaries, which are partial aggregates of the
+prepared rows; value sets of ties that a bucket cuts are partial aggregates as well.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import (
     END_REASON_NAME,
@@ -38,6 +42,7 @@ from ..config import (
     Status,
 )
 from ..session import ensure_checkpoint_dir, write_once
+from .aggregates import dedup_keep_first, quoted
 from .prepare import initialize
 from .timeline import (
     Edges,
@@ -383,13 +388,32 @@ def unexpected_statuses(df: DataFrame, cfg: MatchConfig) -> DataFrame:
     return x.where(~F.col(cfg.status_col).isin(START, END))
 
 
-def match_ranges(df: DataFrame, cfg: MatchConfig, checkpoint: bool = True, validate: bool = False) -> DataFrame:
+def _with_payload(ranges: DataFrame, df: DataFrame, cfg: MatchConfig, payload: Sequence[str]) -> DataFrame:
+    """Late materialisation: the analysis ran without the payload; now each range takes
+    that of one start row.  Start rows of a range are the prepared rows with a START
+    status and its a, b and start time; of several the one whose payload sorts first
+    is taken (columns in the given order, nulls first, maps by their JSON text).  The
+    payload is folded in each task and shuffled once, by the ranges' key."""
+    taken = {*cfg.declared_columns, *ranges.columns, *_HELPERS}
+    bad = [c for c in payload if c in taken or c not in df.columns]
+    if bad or len(set(payload)) < len(payload):
+        raise ValueError(f"payload columns {bad or list(payload)} are missing, given twice, or names of the result")
+    key = [cfg.a_col, cfg.b_col, START_TIME]
+    rows = initialize(df.select(*map(quoted, [*cfg.declared_columns, *payload])), cfg, allow_extra=True).where(start_flag(cfg))
+    starts = rows.select(quoted(cfg.a_col), quoted(cfg.b_col), quoted(cfg.time_col).alias(START_TIME), *map(quoted, payload))
+    first = dedup_keep_first(starts, key, [])
+    return ranges.join(first, key).select(*map(quoted, [*ranges.columns, *payload]))
+
+
+def match_ranges(df: DataFrame, cfg: MatchConfig, checkpoint: bool = True, validate: bool = False, payload: Sequence[str] = ()) -> DataFrame:
     """Prepare -> validate starts -> end candidates -> choose -> merge.
 
     Output: the declared input columns (status as ordinal 1, time = start),
     the validity flag, ``start_time``, ``final_end_time`` and
     ``final_end_reason``.  Open ranges (no end found) are not output.  Row
-    order is not defined; callers sort.
+    order is not defined; callers sort.  ``payload`` names further columns of ``df``
+    that the result carries along (see :func:`_with_payload` for the row they are
+    taken from); columns that are neither declared nor payload are an error.
 
     With ``checkpoint`` (default) the chosen ranges are written to the
     session's checkpoint folder (``spark.checkpoint.dir``) before the merge,
@@ -397,6 +421,9 @@ def match_ranges(df: DataFrame, cfg: MatchConfig, checkpoint: bool = True, valid
     a status other than START or END after preparation (it cannot happen with
     the two update policies; it guards hand-made status maps).
     """
+    if payload:
+        names = [c for c in df.columns if c not in payload]
+        return _with_payload(match_ranges(df.select(*map(quoted, names)), cfg, checkpoint, validate), df, cfg, payload)
     if validate:
         # Opt-in eager check (one job); the original always ran it.
         bad = unexpected_statuses(df, cfg).limit(1).count()

@@ -9,8 +9,8 @@ from ..config import EndReason, MatchConfig, UpdatePolicy
 from ..operators import prepare, ranges
 from ..operators.validate import reduce_and_validate, start_flag
 from ..session import ensure_checkpoint_dir
-from ..sources.tables import hot_user, match_events
-from .match_sql import HOT_MATCH_EVENTS_SQL, MATCH_EVENTS_SQL, match_sql
+from ..sources.tables import hot_user, match_events, tied_events
+from .match_sql import HOT_MATCH_EVENTS_SQL, MATCH_EVENTS_SQL, TIED_MATCH_EVENTS_SQL, match_sql, payload_sql
 
 # The two configurations exercised by the original tests: the module-level
 # one (IGNORE policy plus both optional filters) and the end-to-end one
@@ -42,6 +42,16 @@ def q_match_ranges_hot_key(spark: SparkSession, sf: str) -> DataFrame:
     return ranges.match_ranges(match_events(spark, sf, user=hot_user()), ASSUME_CFG.with_hot_keys(1000))
 
 
+def q_match_ranges_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranges with the value and id of the event that started them."""
+    return ranges.match_ranges(match_events(spark, sf, payload=("value", "event_id")), ASSUME_CFG, payload=["value", "event_id"])
+
+
+def q_match_ranges_tied(spark: SparkSession, sf: str) -> DataFrame:
+    """Skew scenario: a third of all events tie on one key and time (buckets of 500 rows)."""
+    return ranges.match_ranges(tied_events(spark, sf), ASSUME_CFG.with_hot_keys(500))
+
+
 def q_match_initialized(spark: SparkSession, sf: str) -> DataFrame:
     return prepare.initialize(match_events(spark, sf), IGNORE_CFG)
 
@@ -115,6 +125,8 @@ QUERIES = {
     "match_ranges_assume_start": q_match_ranges_assume_start,
     "match_ranges_end_only": q_match_ranges_end_only,
     "match_ranges_hot_key": q_match_ranges_hot_key,
+    "match_ranges_payload": q_match_ranges_payload,
+    "match_ranges_tied": q_match_ranges_tied,
     "match_initialized": q_match_initialized,
     "match_reduce_by_a": q_match_reduce_by_a,
     "match_valid_starts": q_match_valid_starts,
@@ -135,6 +147,8 @@ ORACLE = {
     "match_ranges_assume_start": match_sql("assume_start", []),
     "match_ranges_end_only": match_sql("ignore", [], reasons=[1]),
     "match_ranges_hot_key": match_sql("assume_start", [], events_sql=HOT_MATCH_EVENTS_SQL),
+    "match_ranges_payload": payload_sql("assume_start", [], ["value", "event_id"]),
+    "match_ranges_tied": match_sql("assume_start", [], events_sql=TIED_MATCH_EVENTS_SQL),
     "match_initialized": match_sql("ignore", _FILTERS, upto="init"),
     "match_reduce_by_a": match_sql("assume_start", [], upto="p1"),
     "match_valid_starts": match_sql("assume_start", [], upto="valid"),

@@ -26,6 +26,12 @@ HOT_MATCH_EVENTS_SQL = MATCH_EVENTS_SQL.replace(
     "FROM events) e",
     "FROM (SELECT * REPLACE (CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id) FROM events)) e")
 
+# The same log with every third user's events under key 0 and in one hour of their year.
+TIED_MATCH_EVENTS_SQL = f"""
+SELECT CASE WHEN a % 3 = 0 THEN 0 ELSE a END AS a, b, status,
+       CASE WHEN a % 3 = 0 THEN date_trunc('year', t) ELSE t END AS t, o1, o2
+FROM ({MATCH_EVENTS_SQL}) m"""
+
 _REASON_CASE = "CASE {o} " + " ".join(f"WHEN {r.value} THEN '{r.name}'" for r in EndReason) + " END "
 
 
@@ -145,3 +151,15 @@ merged AS (
         "merged": "SELECT * FROM merged",
     }[upto]
     return "WITH " + ",\n".join(parts) + "\n" + final
+
+
+def payload_sql(policy: str, filters: list[str], payload: list[str]) -> str:
+    """The merged ranges with the payload of the start row whose payload sorts first."""
+    cols = ", ".join(payload)
+    starts = "('start', 'update')" if policy == "assume_start" else "('start')"
+    events = MATCH_EVENTS_SQL.replace("FROM (SELECT *", f", {cols} FROM (SELECT *", 1)
+    order = ", ".join(f"{c} NULLS FIRST" for c in payload)
+    return f"""SELECT r.*, {", ".join("p." + c for c in payload)} FROM ({match_sql(policy, filters)}) r
+JOIN (SELECT a, b, t, {cols} FROM ({events}) e WHERE status IN {starts} AND a IS NOT NULL AND b IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY a, b, t ORDER BY {order}) = 1) p
+  ON p.a = r.a AND p.b = r.b AND p.t = r.start_time"""

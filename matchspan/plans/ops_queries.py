@@ -21,7 +21,7 @@ from ..operators.windows import range_frame_sum
 from ..session import scratch_path
 from ..sources import catalog, sinks
 from ..sources.random_table import random_rows
-from ..sources.tables import read_table, table_path
+from ..sources.tables import hot_user, props_k, read_table, table_path
 from ..streaming import watermark
 
 
@@ -223,6 +223,12 @@ def q_range_frame_sum(spark, sf):
     return range_frame_sum(p, ["p_brand"], "p_size", "p_size", following=1, out="sum")
 
 
+def q_range_frame_sum_wide(spark, sf):
+    """The next day's sum of k for each event of a user; a third of them are one user's."""
+    ev = _t(spark, sf, "events").select("event_id", hot_user().alias("user_id"), "ts", props_k().alias("k"))
+    return range_frame_sum(ev, ["user_id"], "ts", "k", following=86_400, out="next_day")
+
+
 # -- set operations and quality -----------------------------------------------
 
 def _diff_inputs(spark, sf):
@@ -412,6 +418,7 @@ QUERIES = {
     "windowed_value_set": q_windowed_value_set,
     "value_set": q_value_set,
     "range_frame_sum": q_range_frame_sum,
+    "range_frame_sum_wide": q_range_frame_sum_wide,
     "frames_equal": q_frames_equal,
     "frame_diff": q_frame_diff,
     "frame_diff_multiset": q_frame_diff_multiset,
@@ -479,6 +486,11 @@ FROM lineitem""",
 SELECT p_partkey, p_brand, p_size,
        sum(p_size) OVER (PARTITION BY p_brand ORDER BY p_size RANGE BETWEEN CURRENT ROW AND 1 FOLLOWING) AS sum
 FROM part""",
+    "range_frame_sum_wide": """
+SELECT event_id, user_id, ts, k,
+       CAST(sum(k) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN CURRENT ROW AND INTERVAL 86400 SECOND FOLLOWING) AS BIGINT) AS next_day
+FROM (SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, ts,
+             CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) e""",
     "value_set": """
 SELECT l.l_orderkey, l.l_linenumber, s.flags, s.first_flag FROM lineitem l JOIN (
     SELECT l_orderkey, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS flags, min(l_returnflag) AS first_flag

@@ -30,7 +30,7 @@ def hot_user() -> F.Column:
     return F.when(uid % 3 == 0, F.lit(0).cast("long")).otherwise(uid)
 
 
-def match_events(spark: SparkSession, sf_dir: str, truncate: str = "hour", user: F.Column | None = None) -> DataFrame:
+def match_events(spark: SparkSession, sf_dir: str, truncate: str = "hour", user: F.Column | None = None, payload: tuple[str, ...] = ()) -> DataFrame:
     """Event log shaped for the match-range operator (roles a, b, t, status;
     other matches o1, o2), derived from ``events``:
 
@@ -39,9 +39,10 @@ def match_events(spark: SparkSession, sf_dir: str, truncate: str = "hour", user:
     * status: signup, purchase -> start; view, click -> update; error -> end
     * o1 = null when k % 7 = 0, else user_id % 3; o2 = k when k % 11 = 0, else null
 
-    ``user`` replaces ``user_id`` in all of the above (see :func:`hot_user`).
+    ``user`` replaces ``user_id`` in all of the above (see :func:`hot_user`);
+    ``payload`` adds columns of ``events`` as they are.
     """
-    ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "props")
+    ev = read_table(spark, sf_dir, "events")
     k = props_k()
     uid = F.col("user_id") if user is None else user
     b = (F.when(k % 10 == 0, F.lit(None).cast("long"))
@@ -58,4 +59,15 @@ def match_events(spark: SparkSession, sf_dir: str, truncate: str = "hour", user:
         F.date_trunc(truncate, F.col("ts")).cast("timestamp_ntz").alias("t"),
         F.when(k % 7 == 0, F.lit(None).cast("long")).otherwise(uid % 3).alias("o1"),
         F.when(k % 11 == 0, k).alias("o2"),
+        *payload,
     )
+
+
+def tied_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``match_events`` with every third user's events under one key and at one time
+    (the first hour of their year), b as it was: a third of the rows tie on (a, t)."""
+    tied = F.col("a") % 3 == 0
+    year = F.date_trunc("year", F.col("t")).cast("timestamp_ntz")
+    return match_events(spark, sf_dir).select(
+        F.when(tied, F.lit(0).cast("long")).otherwise(F.col("a")).alias("a"), "b", "status",
+        F.when(tied, year).otherwise(F.col("t")).alias("t"), "o1", "o2")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import assert_same_rows, make_df
 from matchspan.config import EndReason, MatchConfig, UpdatePolicy
-from matchspan.operators.ranges import chosen_ranges, match_ranges, unexpected_statuses
+from matchspan.operators.ranges import _with_buckets, chosen_ranges, match_ranges, prepared_rows, unexpected_statuses
 from model import model
 
 SCHEMA = "a int, b int, status string, t int, o1 int, o2 int"
@@ -165,6 +165,90 @@ def test_timestamp_time_across_buckets(spark, hot):
     assert {tuple(r[c] for c in OUT) for r in got.collect()} == expected
 
 
+SHAPES = {
+    # (a, b, t) of row i of a key that holds a third of the rows and more
+    "burst": lambda i, r: (1, r.randrange(40), 5000 + r.randrange(300) if r.random() < 0.8 else r.randrange(10_000)),
+    "outlier": lambda i, r: (1, r.randrange(40), i if i else 10**9),
+    "one-time": lambda i, r: (1, r.randrange(700), 77 if i % 3 else i),
+    "two-times": lambda i, r: (1, r.randrange(700), 77 + i % 2),
+}
+
+
+@pytest.mark.parametrize("time", ["int", "string", "double"])
+@pytest.mark.parametrize("shape", list(SHAPES))
+def test_hot_key_buckets_are_even(spark, shape, time):
+    """Buckets of a hot key hold at most twice the mean, whatever its times are, and
+    the result is the model's (cut ties included)."""
+    draw = random.Random(shape)
+    named = {"int": lambda t: t, "string": lambda t: f"{t:012d}", "double": float}[time]
+    rows = []
+    for i in range(3000):
+        a, b, t = SHAPES[shape](i, draw)
+        rows.append((a, b, draw.choice(["start", "end", "end", "update"]), named(t), draw.choice([None, 1]), None))
+    rows += [(100 + i, 100 + i, s, named(t), None, None) for i in range(200) for s, t in (("start", 3), ("end", 9))]
+    schema = SCHEMA.replace("t int", f"t {time}")
+    cfg = ASSUME.with_hot_keys(100)
+    prepared = prepared_rows(make_df(spark, rows, schema), cfg)
+    x, edges, _ = _with_buckets(prepared, cfg)
+    sizes = [r["count"] for r in x.where("a = 1").groupBy("_tba").count().collect()]
+    assert len(sizes) > 5 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    assert edges.ties == (shape in ("one-time", "two-times"))
+    expected = model([dict(zip(["a", "b", "status", "t", "o1", "o2"], r)) for r in rows], cfg)
+    assert {tuple(r[c] for c in OUT) for r in match_ranges(make_df(spark, rows, schema), cfg).collect()} == expected
+
+
+def test_cut_ties_on_both_sides(spark):
+    """Large ties on (a, t) and (b, t) with valid starts, conflicts and fills among them."""
+    draw, rows = random.Random(4), []
+    for case in range(40):
+        a = case
+        for _ in range(30):
+            rows.append((a, 9 if case % 2 else draw.choice([8, 9]), draw.choice(["start", "end", "other"]), draw.choice([1, 1, 1, 2, 3]),
+                         draw.choice([None, 5]), draw.choice([None, None, case % 3])))
+        rows += [(7000, 100 + k, "end", 1, None, None) for k in range(20)] + [(7000, 5, "start", 2, None, None)]
+        rows += [(900 + case, 77, "start", 4, 1 if case < 39 else None, None)]
+    for hot in (2, 5, 40):
+        cfg = ASSUME.with_hot_keys(hot)
+        x, edges_a, edges_b = _with_buckets(prepared_rows(make_df(spark, rows, SCHEMA), cfg), cfg)
+        assert edges_b.ties and (hot > 5 or edges_a.ties)
+        expected = model([dict(zip(["a", "b", "status", "t", "o1", "o2"], r)) for r in rows], cfg)
+        got = match_ranges(make_df(spark, rows, SCHEMA), cfg)
+        assert {tuple(r[c] for c in OUT) for r in got.collect()} == expected and got.count() == len(expected)
+
+
+def test_payload_of_the_first_start_row(spark):
+    """Starts of one (a, b, t) differ in payload; the one that sorts first is taken."""
+    schema = SCHEMA + ", note string, `w.x` double, m map<string,int>"
+    draw, rows = random.Random(12), []
+    for case in range(60):
+        for r in _random_log(draw, case, 12):
+            rows.append((*r, draw.choice([None, "x", "y", "z" * 2000]), draw.choice([None, 1.5, float("nan")]), draw.choice([None, {}, {"k": case}])))
+    payload = ["note", "w.x", "m"]
+    for cfg in (ASSUME, IGNORE.filter_null_b_on_start(), ASSUME.with_hot_keys(3)):
+        plain = model([dict(zip(["a", "b", "status", "t", "o1", "o2"], r)) for r in rows], cfg)
+        got = match_ranges(make_df(spark, rows, schema), cfg, payload=payload)
+        assert got.columns == OUT + payload
+        starts = ("start", "update") if cfg.update_policy is UpdatePolicy.ASSUME_START else ("start",)
+        order = lambda p: tuple((v is not None, (repr(v) if isinstance(v, dict) else (v != v, v if v == v else 0) if isinstance(v, float) else v) if v is not None else 0) for v in p)
+        want = set()
+        for r in plain:
+            own = [x[6:] for x in rows if x[0] == r[0] and x[1] == r[1] and x[3] == r[7] and x[2] in starts]
+            want.add((*r, repr(min(own, key=lambda p: order((p[0], p[1], None if p[2] is None else {str(k): v for k, v in p[2].items()}))))))
+        assert {(*tuple(x)[:10], repr(tuple(x)[10:])) for x in got.collect()} == want
+    df = make_df(spark, rows, schema)
+    assert match_ranges(df.where("false"), ASSUME, payload=payload).count() == 0
+    for bad in (["nope"], ["t"], ["note", "note"]):
+        with pytest.raises(ValueError):
+            match_ranges(df, ASSUME, payload=bad)
+
+
+def test_payload_is_shuffled_once_and_source_scanned_once_for_the_analysis(spark):
+    df = make_df(spark, [(0, 0, "start", 1, 1, 1, "p"), (0, 0, "end", 3, 1, 1, "q")], SCHEMA + ", note string")
+    plan = match_ranges(df, IGNORE, payload=["note"])._jdf.queryExecution().executedPlan().toString()
+    assert sum("note" in ln for ln in plan.splitlines() if "Exchange hash" in ln or "SortAggregate" in ln and "partial" in ln) >= 1
+    assert "note" not in chosen_ranges(df.drop("note"), IGNORE)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_plan_has_three_full_exchanges_before_merge(spark):
     rows = [(0, 0, "start", 1, 1, 1), (0, 0, "end", 3, 1, 1)]
     ranges = chosen_ranges(make_df(spark, rows, SCHEMA), IGNORE)
