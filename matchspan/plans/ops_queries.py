@@ -17,6 +17,7 @@ from ..functions import scalar as S
 from ..operators import aggregates as A
 from ..operators import partitioning as P
 from ..operators import quality as Q
+from ..operators import row_checks as RC
 from ..operators.windows import range_frame_sum
 from ..session import scratch_path
 from ..sources import catalog, sinks
@@ -271,6 +272,51 @@ def q_frame_diff_multiset(spark, sf):
     return Q.frame_diff(e, a, multiset=True)
 
 
+def q_frame_diff_by_digest(spark, sf):
+    """As the multiset difference; only rows in buckets with unequal digests are shuffled."""
+    e, a = _diff_inputs(spark, sf)
+    return Q.frame_diff(e, a, multiset=True, digest_buckets=4096)
+
+
+def q_frame_changes(spark, sf):
+    e, a = _diff_inputs(spark, sf)
+    changes = Q.frame_changes(e, a.distinct(), ["o_orderkey"])
+    return changes.select("o_orderkey", "change", F.array_join("columns", ",").alias("columns"))
+
+
+_ROW_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("rec", T.StructType([T.StructField("amount", T.DoubleType()), T.StructField("at", T.TimestampNTZType())])),
+    T.StructField("tags", T.ArrayType(T.IntegerType())),
+    T.StructField("extra", T.MapType(T.StringType(), T.IntegerType())),
+])
+
+
+def _text_rows(spark, sf):
+    """Events as nested text, some of which does not convert."""
+    k = F.col("event_id")
+    text = lambda c: F.col(c).cast("string")
+    return _t(spark, sf, "events").select(
+        "event_id",
+        F.struct(F.when(k % 5 == 0, F.concat(F.lit("x"), text("value"))).otherwise(text("value")).alias("amount"),
+                 F.when(k % 7 == 0, F.lit("never")).otherwise(text("ts")).alias("at")).alias("rec"),
+        F.array(F.lit("12"), F.when(k % 3 == 0, F.col("event_type")), F.lit("")).alias("tags"),
+        F.create_map(F.lit("a"), F.when(k % 6 == 0, F.lit("1.5x")).otherwise(F.lit("3")), F.lit("b"), F.lit(None).cast("string")).alias("extra"))
+
+
+def q_rows_checked(spark, sf):
+    checked = RC.check_rows(_text_rows(spark, sf), _ROW_SCHEMA)
+    return checked.select("event_id", F.size("violations").cast("long").alias("n"), F.array_join(F.transform("violations", lambda v: v["path"]), ",").alias("paths"))
+
+
+def q_rows_split(spark, sf):
+    """Converted rows and rejected ones with the first reason."""
+    good, rejected = RC.split_rows(_text_rows(spark, sf), _ROW_SCHEMA)
+    first = F.get("violations", F.lit(0))
+    return good.select("event_id", F.lit(True).alias("good"), F.col("rec.at").alias("at"), F.get("tags", F.lit(0)).alias("tag"), F.lit(None).cast("string").alias("reason")).unionByName(
+        rejected.select("event_id", F.lit(False).alias("good"), F.lit(None).cast("timestamp_ntz").alias("at"), F.lit(None).cast("int").alias("tag"), F.concat(first["path"], F.lit(" "), first["wanted"]).alias("reason")))
+
+
 _LABEL_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("quality", T.IntegerType()),
     T.StructField("toxic", T.IntegerType()), T.StructField("note", T.StringType()),
@@ -326,6 +372,23 @@ def q_partitioned_roundtrip(spark, sf):
     return A.group_count(back, ["c_mktsegment", "c_nationkey"])
 
 
+def q_partition_overwrite(spark, sf):
+    """One segment's partition is rewritten; the others stay as they were."""
+    path, c = scratch_path(spark, "customer_rewritten"), _t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    sinks.write_partitioned(c, path, ["c_mktsegment"])
+    sinks.overwrite_partitions(c.where("c_mktsegment = 'BUILDING' AND c_custkey % 2 = 0").withColumn("c_nationkey", F.col("c_nationkey") + 100), path, ["c_mktsegment"])
+    return sinks.read_parquet(spark, path, c.schema)
+
+
+def q_sql_over_partitions(spark, sf):
+    """SQL over a catalog table that knows its partitions."""
+    c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    path, name = scratch_path(spark, "customer_parts"), f"customer_parts_{uuid.uuid4().hex}"
+    sinks.write_partitioned(c, path, ["c_mktsegment"])
+    catalog.register_partitioned_table(spark, name, path, c.schema, ["c_mktsegment"])
+    return spark.sql(f"SELECT c_nationkey, count(*) AS n FROM {name} WHERE c_mktsegment = 'MACHINERY' GROUP BY c_nationkey")
+
+
 def q_sql_over_table(spark, sf):
     name = f"customer_ext_{uuid.uuid4().hex}"
     catalog.register_parquet_table(spark, name, table_path(sf, "customer"))
@@ -377,7 +440,7 @@ def q_random_table(spark, sf):
     schema = T.StructType([T.StructField("country", T.StringType()), T.StructField("username", T.StringType()),
                            T.StructField("id", T.IntegerType())])
     # the drawn names are those of the region table, which has five rows at any scale
-    value_sets = {"username": [r["r_name"] for r in _t(spark, sf, "region").orderBy("r_regionkey").limit(5).collect()]}
+    value_sets = {"username": [r["r_name"] for r in _t(spark, sf, "region").orderBy("r_regionkey").collect()]}
     driver = _t(spark, sf, "customer").select("c_custkey")
     return random_rows(driver, schema, value_sets, seed=7)
 
@@ -393,6 +456,26 @@ def q_stream_watermark_events(spark, sf):
     return back.select("event_id", "value", "ts", F.unix_micros("time").alias("time_us"))
 
 
+def q_stream_window_totals(spark, sf):
+    """Daily totals of a stream without repeated events, each put out once its day is
+    behind the watermark."""
+    base = scratch_path(spark, "events_totals")
+    stream = watermark.events_with_watermark(spark, table_path(sf, "events"), _t(spark, sf, "events").schema)
+    totals = watermark.window_totals(watermark.first_within_watermark(stream, ["event_id"]), "1 day", ["value"], "event_id")
+    watermark.run_available_now(totals, base + "/out", base + "/ckpt")
+    back = spark.read.schema(totals.schema).parquet(base + "/out")
+    return back.select(F.unix_micros("start").alias("start_us"), "value", "n", "total")
+
+
+_REJECTED_SQL = """
+WITH d AS (SELECT event_id, ts, list_filter([
+    CASE WHEN event_id % 5 = 0 AND value IS NOT NULL THEN {'path': 'rec.amount', 'wanted': 'double'} END,
+    CASE WHEN event_id % 7 = 0 THEN {'path': 'rec.at', 'wanted': 'timestamp_ntz'} END,
+    CASE WHEN event_id % 3 = 0 AND event_type IS NOT NULL THEN {'path': 'tags[1]', 'wanted': 'int'} END,
+    CASE WHEN event_id % 6 = 0 THEN {'path': 'extra{a}', 'wanted': 'int'} END], lambda x: x IS NOT NULL) AS v FROM events)
+"""
+
+
 QUERIES = {
     "add_columns": q_add_columns,
     "modulo_projection": q_modulo_projection,
@@ -435,6 +518,13 @@ QUERIES = {
     "text_roundtrip": q_text_roundtrip,
     "random_table": q_random_table,
     "stream_watermark_events": q_stream_watermark_events,
+    "stream_window_totals": q_stream_window_totals,
+    "frame_diff_by_digest": q_frame_diff_by_digest,
+    "frame_changes": q_frame_changes,
+    "rows_checked": q_rows_checked,
+    "rows_split": q_rows_split,
+    "partition_overwrite": q_partition_overwrite,
+    "sql_over_partitions": q_sql_over_partitions,
 }
 
 ORACLE = {
@@ -502,6 +592,22 @@ UNION ALL SELECT 'reordered', true, 0, 0""",
     "random_table": _RANDOM_SQL,
     "frame_diff": _DIFF_SQL.format(all=""),
     "frame_diff_multiset": _DIFF_SQL.format(all=" ALL"),
+    "frame_diff_by_digest": _DIFF_SQL.format(all=" ALL"),
+    "frame_changes": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 3 THEN 'removed' ELSE 'changed' END AS change,
+       CASE WHEN o_orderkey % 10 = 3 THEN '' ELSE 'o_orderstatus' END AS columns
+FROM orders WHERE o_orderkey % 10 IN (3, 7)""",
+    "rows_checked": _REJECTED_SQL + "SELECT event_id, len(v) AS n, coalesce(list_aggregate(list_transform(v, lambda x: x.path), 'string_agg', ','), '') AS paths FROM d",
+    "rows_split": _REJECTED_SQL + """SELECT event_id, len(v) = 0 AS good, CASE WHEN len(v) = 0 THEN ts END AS at,
+CAST(CASE WHEN len(v) = 0 THEN 12 END AS INTEGER) AS tag, v[1].path || ' ' || v[1].wanted AS reason FROM d""",
+    "partition_overwrite": """
+SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN c_nationkey + 100 ELSE c_nationkey END AS c_nationkey, c_mktsegment
+FROM customer WHERE c_mktsegment <> 'BUILDING' OR c_custkey % 2 = 0""",
+    "sql_over_partitions": "SELECT c_nationkey, count(*) AS n FROM customer WHERE c_mktsegment = 'MACHINERY' GROUP BY c_nationkey",
+    "stream_window_totals": """
+SELECT epoch_us(date_trunc('day', ts)) AS start_us, event_id % 5 AS value, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS total
+FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(date_trunc('millisecond', ts)) - INTERVAL 10 MINUTE FROM events)
+GROUP BY ALL""",
     "conform_to_schema": """SELECT doc_id, quality, CAST(NULL AS INTEGER) AS toxic, CAST(NULL AS VARCHAR) AS note
 FROM labels""",
     "conform_with_defaults": """

@@ -23,6 +23,15 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], max_records_p
      .partitionBy(*by).parquet(path))
 
 
+def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str], max_records_per_file: int = 5_000_000) -> None:
+    """Replaces only those partitions of a table at ``path`` that ``df`` has rows of;
+    all others stay.  Replaced partitions are swapped in when the job commits, so a
+    failed job leaves the table as it was.  ``df`` must not read what it replaces:
+    write it first."""
+    (df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", max_records_per_file).partitionBy(*by).parquet(path))
+
+
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet scan with partition discovery.  With the written ``schema`` the
     partition keys keep their types ("01" and "1" stay two strings)."""
