@@ -22,6 +22,7 @@ columns are ignored; no rows, no result.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 from collections.abc import Iterator
@@ -29,6 +30,7 @@ from itertools import accumulate
 from operator import add
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
@@ -63,7 +65,8 @@ class Tokenizers:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode("utf-8") for i, p in enumerate(pieces)]
         self.a_size, self.b_size = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
-        self.a_told, self.b_told = [f"{i}|" for i in range(len(self.a_bytes))], list(map(str, range(len(self.b_bytes))))
+        self.a_told, self.b_told = list(map(str, range(len(self.a_bytes)))), list(map(str, range(len(self.b_bytes))))
+        self.a_head = [f"{i}|" for i in range(len(self.a_bytes))]
 
         self.fast = self._by_rank(_file(a_file))
 
@@ -92,8 +95,12 @@ class Tokenizers:
         """Ids of both sides; none on either where they do not give the text's bytes."""
         for t, y in zip(texts, self.b.encode(texts, num_threads=1)):
             want = b" " + t.encode("utf-8")
-            x = self.a_ids(" " + t) if t and b"".join(map(self.b_bytes.__getitem__, y)) == want else []
-            yield (x, y) if x and b"".join(map(self.a_bytes.__getitem__, x)) == want else ([], [])
+            if not t or b"".join(map(self.b_bytes.__getitem__, y)) != want:
+                yield [], []
+                continue
+            x = self.a_ids(" " + t)
+            # the ranks hold every byte and the pattern every character, so by rank no byte is lost
+            yield (x, y) if self.fast is not None or b"".join(map(self.a_bytes.__getitem__, x)) == want else ([], [])
 
 
 def _file(name: str) -> str:
@@ -140,17 +147,26 @@ def runs(a_ends: list[int], b_ends: list[int]) -> Iterator[tuple[int, int, int,
 def align_tokens(a: list[int], b: list[int], t: Tokenizers) -> tuple[str, list[int], list[int]]:
     """Groups as ``a1,a2|b1;a3|b2,b3``, and the A and B ids of the links in order."""
     a_ends, b_ends = list(accumulate(map(t.a_size.__getitem__, a))), list(accumulate(map(t.b_size.__getitem__, b)))
-    groups, left, right, a_told, b_told = [], [], [], t.a_told.__getitem__, t.b_told.__getitem__
+    groups, left, right, a_told, a_head, b_told = [], [], [], t.a_told, t.a_head.__getitem__, t.b_told
+    one_b = b_told.__getitem__
     for i, x, j, y in runs(a_ends, b_ends):
         if a_ends[i] == b_ends[j]:
-            some, other = a[i:x], b[j:y]
-            groups += map(add, map(a_told, some), map(b_told, other))
-            left += some
-            right += other
+            if x == i + 1:
+                p, q = a[i], b[j]
+                groups.append(a_head(p) + one_b(q))
+                left.append(p)
+                right.append(q)
+            else:
+                some, other = a[i:x], b[j:y]
+                groups += map(add, map(a_head, some), map(one_b, other))
+                left += some
+                right += other
         else:
-            groups.append(f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}")
-            left.append(a[x - 1])
-            right.append(b[y - 1])
+            p, q = a[x - 1], b[y - 1]
+            told = a_head(p) if x == i + 1 else ",".join([a_told[k] for k in a[i:x]]) + "|"
+            groups.append(told + (b_told[q] if y == j + 1 else ",".join([b_told[k] for k in b[j:y]])))
+            left.append(p)
+            right.append(q)
     return ";".join(groups), left, right
 
 
@@ -183,8 +199,12 @@ def align(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", tex
             nonlocal block, held
             if not ids:
                 return
-            pairs, place, times = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-            place, at, links = place.astype("<u4"), 0, []
+            place, pairs = pd.factorize(np.concatenate(keys))  # by hash; the few distinct ones are sorted then
+            order = np.argsort(pairs)
+            rank = np.empty(len(order), "<u4")
+            rank[order] = np.arange(len(order))
+            place, pairs = rank[place], pairs[order]
+            times, at, links = np.bincount(place, minlength=len(pairs)), 0, []
             for k in keys:
                 links.append(place[at:at + len(k)].tobytes())
                 at += len(k)
@@ -201,17 +221,21 @@ def align(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", tex
             block, held = block + 1, 0
             ids.clear(), figures.clear(), groups.clear(), keys.clear()
 
-        for some, texts in _calls(batches):
-            for a, b in t.encode(texts):
-                told, left, right = align_tokens(a, b, t)
-                keys.append(np.array(left, np.int64) << 32 | np.array(right, np.int64))
-                figures.append((len(a), len(b), len(left)))
-                groups.append(told)
-                held += len(left)
-            ids.append(some)
-            if held >= block_links or len(figures) >= block_links:
-                yield from close()
-        yield from close()
+        gc.disable()  # many small lists, no cycles
+        try:
+            for some, texts in _calls(batches):
+                for a, b in t.encode(texts):
+                    told, left, right = align_tokens(a, b, t)
+                    keys.append(np.array(left, np.int64) << 32 | np.array(right, np.int64))
+                    figures.append((len(a), len(b), len(left)))
+                    groups.append(told)
+                    held += len(left)
+                ids.append(some)
+                if held >= block_links or len(figures) >= block_links:
+                    yield from close()
+            yield from close()
+        finally:
+            gc.enable()
 
     names = [id_col, "n_a", "n_b", "n_groups", "groups", "block", "links", "pairs", "times"]
     return source.mapInArrow(work, schema)
