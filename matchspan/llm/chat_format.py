@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from matchspan.llm.common import written
+
 START, END = "<|im_start|>", "<|im_end|>"
 
 
@@ -38,15 +40,20 @@ def ordered_turns(conversations: DataFrame, id_col: str = "conv_id", turn_col: s
 
 def mismatched_answers(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Chosen and rejected turns (id, pos, role, text) out of conversations: the
-    chosen side is a conversation up to its last assistant turn (all of it
-    without one); on the rejected side that turn holds the last answer of the
-    conversation with the next id (empty if there is none)."""
+    chosen side is a conversation as it is; on the rejected side its last assistant
+    turn holds the last answer of the next conversation that has one, by id (empty
+    after the last id, and for rows without an id).  Ids may be of any type that orders."""
     answers = turns.where("role = 'assistant'").groupBy("id").agg(F.max(F.struct("pos", "text")).alias("last"))
-    other = answers.select((F.col("id") - 1).alias("oid"), F.col("last.text").alias("other"))
+    # ids are dealt into ranges; the last one of a range takes the first of the next (one row a range)
+    ranged = written(answers.where("id IS NOT NULL").repartitionByRange("id").select("id", "last", F.spark_partition_id().alias("range")))
+    inside = W.partitionBy("range").orderBy("id")
+    rows = ranged.select("id", "range", F.lead("last.text").over(inside).alias("next"), F.row_number().over(inside).alias("at"), "last.text")
+    after = rows.where("at = 1").select("range", F.lead("text").over(W.orderBy("range")).alias("after"))
+    other = rows.join(after, "range").select(F.col("id").alias("oid"), F.coalesce("next", "after").alias("other"))
     last = answers.select(F.col("id").alias("aid"), F.col("last.pos").alias("last")).join(other, F.col("aid") == F.col("oid"), "left").select("aid", "last", "other")
-    rows = turns.join(last, F.col("id").eqNullSafe(F.col("aid")), "left").where("last IS NULL OR pos <= last")
+    whole = turns.join(last, F.col("id").eqNullSafe(F.col("aid")), "left")
     swapped = F.when(F.col("pos") == F.col("last"), F.coalesce("other", F.lit(""))).otherwise(F.col("text"))
-    return rows.select("id", "pos", "role", "text"), rows.select("id", "pos", "role", swapped.alias("text"))
+    return whole.select("id", "pos", "role", "text"), whole.select("id", "pos", "role", swapped.alias("text"))
 
 
 def format_pairs(chosen: DataFrame, rejected: DataFrame, id_col: str = "pair_id") -> DataFrame:
@@ -95,10 +102,10 @@ def oracle_sql() -> str:
 WITH raw AS (SELECT conv_id, turn, {clean('role')} AS role, {clean('text')} AS text FROM conversations),
 turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos, role, text FROM raw),
 answers AS (SELECT conv_id, max(pos) AS last, arg_max(text, pos) AS text FROM turns WHERE role = 'assistant' GROUP BY conv_id),
+others AS (SELECT conv_id, lead(text) OVER (ORDER BY conv_id) AS text FROM answers WHERE conv_id IS NOT NULL),
 rows AS (SELECT t.conv_id, t.pos, t.role AS c_role, t.text AS c_text, t.role AS r_role,
         CASE WHEN t.pos = a.last THEN coalesce(o.text, '') ELSE t.text END AS r_text
-    FROM turns t LEFT JOIN answers a ON a.conv_id IS NOT DISTINCT FROM t.conv_id LEFT JOIN answers o ON o.conv_id = a.conv_id + 1
-    WHERE a.last IS NULL OR t.pos <= a.last),
+    FROM turns t LEFT JOIN answers a ON a.conv_id IS NOT DISTINCT FROM t.conv_id LEFT JOIN others o ON o.conv_id = a.conv_id),
 firsts AS (SELECT *, min(CASE WHEN c_text <> r_text THEN pos END) OVER (PARTITION BY conv_id) AS first FROM rows),
 segs AS (SELECT *, first IS NULL OR pos < first AS common, {seg('c')} AS ct, {seg('r')} AS rt FROM firsts),
 spans AS (SELECT *, {span('c')} AS cs, {span('r')} AS rs FROM segs WINDOW w AS (PARTITION BY conv_id ORDER BY pos))

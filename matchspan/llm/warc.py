@@ -42,6 +42,7 @@ RANGE_BYTES = 8 << 20
 #: Bytes read from a file at a time.
 CHUNK = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+VERSION = re.compile(rb"WARC/\d+\.\d+\r\n").match
 NEEDED = ("warc-type", "warc-record-id", "content-length")
 
 
@@ -128,8 +129,9 @@ def _headers(block: bytes) -> dict[str, str] | None:
 
 def _member(file: _File, at: int) -> tuple[dict[str, str], bytes, int] | None:
     """Header fields, block and end of the WARC record in the gzip member at
-    ``at``; None if there is none.  The head is judged before the rest is decoded."""
-    unpack, data, fields, start, end = zlib.decompressobj(31), bytearray(), None, 0, at
+    ``at``; None if there is none.  The version line is judged as soon as it is decoded,
+    the head, however long, before the rest."""
+    unpack, data, fields, start, end, seen = zlib.decompressobj(31), bytearray(), None, 0, at, 0
     try:
         while not unpack.eof:
             piece = file.get(end, min(1 << 16, file.size - end))
@@ -138,14 +140,13 @@ def _member(file: _File, at: int) -> tuple[dict[str, str], bytes, int] | None:
             data += unpack.decompress(piece)
             end += len(piece) - len(unpack.unused_data)
             if fields is None:
-                if data[:5] != b"WARC/"[: len(data[:5])]:
+                if data[:5] != b"WARC/"[: len(data[:5])] or len(data) >= 32 and not VERSION(data):
                     return None
-                if (cut := data.find(b"\r\n\r\n")) >= 0:
+                if (cut := data.find(b"\r\n\r\n", max(0, seen - 3))) >= 0:
                     fields, start = _headers(bytes(data[:cut])), cut + 4
                     if fields is None:
                         return None
-                elif len(data) > 1 << 20:
-                    return None
+                seen = len(data)
     except zlib.error:
         return None
     if fields is None or len(data) - start < int(fields["content-length"]):

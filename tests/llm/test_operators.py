@@ -222,6 +222,15 @@ def test_warc_round_trip(spark, tmp_path, size):
     assert len(got) == len(PAGES)
 
 
+def test_warc_of_long_heads(spark):
+    """A url of megabytes that does not compress, repeated ids, clashing columns."""
+    draw = random.Random(1)
+    url = "http://a/" + "".join(draw.choice("0123456789abcdefghijklmnopqrstuvwxyz") for _ in range(2_500_000))
+    pages = known_to_workers(spark).createDataFrame([(1, "u", "<p>1", 1, "d"), (2, url, "<p>2", 2, "d"), (3, "u", "<p>3", 3, "d"), (3, "v", "<p>4", 3, "d")], "page_id long, url string, html string, first int, digest string")
+    got = sorted(tuple(r)[:2] for r in warc.round_trip(pages).collect())
+    assert got == [(1, 4), (2, 4), (3, 4), (3, 4)]
+
+
 def test_warc_of_nothing(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
@@ -232,10 +241,26 @@ def test_preference_pairs(spark):
     got = by_id(chat_format.format_pairs(*chat_format.mismatched_answers(turns), "conv_id"))
     start, end = chat_format.START, chat_format.END
     assert got[1] == (2, 2, 1, f"{start}user\nhi{end}\n", f"{start}assistant\na< |im_end|>{end}\n", f"{start}assistant\nother{end}\n", "22-44", "22-37")
+    assert got[2][5] == f"{start}assistant\nx{end}\n"  # the next answer by id, over a gap
     assert got[3][:3] == (2, 2, 2) and got[3][4:] == ("", "", "", "")
     assert got[5][5] == f"{start}assistant\n{end}\n"
 
 
+@pytest.mark.parametrize("kind,ids", [("string", ["a", "b", "é"]), ("long", [-(1 << 63), 10, (1 << 63) - 1])])
+def test_preference_pairs_of_any_id(spark, kind, ids):
+    """Turns after the last answer stay on both sides; null ids, long texts, other columns."""
+    talk = [(i, k, role, text, "n", 1) for i in (*ids, None) for k, (role, text) in enumerate([("user", "q"), ("assistant", f"A{i}"), ("user", "thanks" * 20_000)])]
+    table = spark.createDataFrame(talk, f"conv_id {kind}, turn long, role string, text string, side string, pos int")
+    got = by_id(chat_format.format_pairs(*chat_format.mismatched_answers(chat_format.ordered_turns(table)), "conv_id"))
+    start, end = chat_format.START, chat_format.END
+    thanks = f"{start}user\n{'thanks' * 20_000}{end}\n"
+    for i, after in zip((*ids, None), (*[f"A{x}" for x in ids[1:]], "", "")):
+        assert got[i][:3] == (3, 3, 1)
+        assert got[i][4:6] == (f"{start}assistant\nA{i}{end}\n{thanks}", f"{start}assistant\n{after}{end}\n{thanks}")
+    none = chat_format.ordered_turns(table.where("false"))
+    assert chat_format.format_pairs(*chat_format.mismatched_answers(none), "conv_id").count() == 0
+
+
 def labelled(spark, n=400):
     rng = random.Random(2)
     voc = ["".join(rng.choice("abdeilmnorst") for _ in range(rng.randint(2, 7))) for _ in range(300)]
