@@ -194,8 +194,10 @@ def _counts(parts: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def regions(texts: DataFrame, width: int, least: tuple[int, int], hot: list[tuple[int, int]]) -> DataFrame:
-    """pivot, node, pos: the regions of two sets or more (all rows of frequent
-    pivots); pos is the pivot's place among the set's shingles in the global order."""
+    """pivot, node, pos, shared: the regions of two sets or more (all rows of frequent
+    pivots); pos is the pivot's place among the set's shingles in the global order,
+    shared says how much of the set is frequent shingles (0 to 255, most for the
+    text that the copies of a large group have in common)."""
     spark = texts.sparkSession
     hot = sorted(hot)
     sent = spark.sparkContext.broadcast((np.array([k for k, _ in hot], np.uint64), np.array([max(1, -(-n // SALT_ROWS)) for _, n in hot], np.int64)))
@@ -218,7 +220,7 @@ def regions(texts: DataFrame, width: int, least: tuple[int, int], hot: list[tupl
                 keys_out.append(keys[:k].astype(np.int64))
                 salts.append(salt)
                 nodes.append(np.full(k, node, np.int64))
-                places.append(np.arange(k))
+                places.append(np.arange(k) | int(255 * late.mean()) << 32)
             if nodes:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys_out, nodes, salts, places)], names=["pivot", "node", "salt", "pos"])
 
@@ -239,11 +241,11 @@ def regions(texts: DataFrame, width: int, least: tuple[int, int], hot: list[tupl
             yield _pairs_batch(held)
 
     rows = texts.mapInArrow(replicate, "pivot long, node long, salt long, pos long")
-    return rows.repartition(parts, "pivot", "salt").sortWithinPartitions("pivot", "node").mapInArrow(shared, "pivot long, node long, pos long")
+    return rows.repartition(parts, "pivot", "salt").sortWithinPartitions("pivot", "node").mapInArrow(shared, "pivot long, node long, place long").select("pivot", "node", F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("pos"), F.shiftright("place", 32).cast("int").alias("shared"))
 
 
 def _pairs_batch(rows: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1]), pa.array(rows[3])], names=["pivot", "node", "pos"])
+    return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1]), pa.array(rows[3])], names=["pivot", "node", "place"])
 
 
 def linked(docs: DataFrame, ids: DataFrame, pairs: DataFrame, width: int, least: tuple[int, int]) -> DataFrame:
@@ -346,13 +348,13 @@ def link_components(docs: DataFrame, width: int = 5, least: float = 0.8, id_col:
 
 
 def _live(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
-    """The rows (pivot, node, pos, n, comp, big) of regions with more than one
+    """The rows (pivot, node, pos, shared, n, comp, big) of regions with more than one
     component, big: whether comp is its region's largest; and the number of
     pairs of different components in them."""
     named = rows.join(labels, "node")
     sizes = named.groupBy("pivot", "comp").agg(F.count(F.lit(1)).alias("c"))
     per = sizes.groupBy("pivot").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("g"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    live = written(named.join(per.select("pivot", F.col("top.comp").alias("topmost"), "g", "sq"), "pivot").select("pivot", "node", "pos", "n", "comp", (F.col("comp") == F.col("topmost")).alias("big"), "g", "sq"))
+    live = written(named.join(per.select("pivot", F.col("top.comp").alias("topmost"), "g", "sq"), "pivot").select("pivot", "node", "pos", "shared", "n", "comp", (F.col("comp") == F.col("topmost")).alias("big"), "g", "sq"))
     # every region gives (g^2 - sq) / 2 pairs, spread over its g rows
     cross = live.agg(F.sum((F.col("g") * F.col("g") - F.col("sq")) / F.col("g") / 2)).first()[0]
     return live.drop("g", "sq"), int(math.ceil(cross or 0))
@@ -364,9 +366,11 @@ def _near(n: str, m: str, least: tuple[int, int]):
 
 
 def _centres(live: DataFrame, least: tuple[int, int], turn: int) -> DataFrame:
-    """Pairs (a, b) of a document and a centre of its region, of different components."""
+    """Pairs (a, b) of a document and a centre of its region, of different components.
+    The first centre is the document with most frequent shingles: what the copies of a
+    large group were made from lies nearest to all of them."""
     centres = CENTRES if turn else 1
-    picks = live.groupBy("pivot").agg(*[F.min(F.struct(F.xxhash64("node", F.lit(turn * CENTRES + i)).alias("h"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"))).alias(f"c{i}") for i in range(centres)])
+    picks = live.groupBy("pivot").agg(*[F.min(F.struct((F.lit(0) if turn else -F.col("shared")).alias("s"), F.xxhash64("node", F.lit(turn * CENTRES + i)).alias("h"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"))).alias(f"c{i}") for i in range(centres)])
     picks = picks.select("pivot", F.explode(F.array_distinct(F.array(*[F.struct(f"c{i}.b", f"c{i}.m", f"c{i}.cb") for i in range(centres)]))).alias("c")).select("pivot", "c.*")
     met = live.join(picks, "pivot").where(F.col("comp") != F.col("cb")).where(_near("n", "m", least))
     return met.select(F.col("node").alias("a"), "b").distinct()
