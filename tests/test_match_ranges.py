@@ -25,19 +25,19 @@ def run(spark, rows, cfg, width=None):
 HOT = {"fixed": (None, 4096), "hot-2": (2, 4096), "hot-3-cap-4": (3, 4)}
 
 
+# a desk (a) lent to people (b), by hour
 E2E = [
-    ([(0, 0, "start", 1, 1, 1), (0, 0, "update", 2, 1, 1), (0, 0, "end", 3, 1, 1)],
-     [(0, 0, 1, 1, 1, 1, True, 1, 3, "NEXT_END_FOR_SAME_MATCH")]),
-    ([(0, 0, "start", 1, 1, 1), (0, 0, "update", 2, 1, 1), (0, 0, "update", 3, 1, 1), (0, 1, "update", 3, 1, 1)],
-     [(0, 0, 1, 1, 1, 1, True, 1, 3, "NEXT_START_SAME_MATCH")]),
-    ([(0, 0, "start", 1, 1, 1), (0, 0, "update", 2, 1, 1), (0, None, "end", 3, 1, 1), (0, 0, "update", 3, 1, 1),
-      (0, 0, "start", 3, 1, 1), (0, 0, "update", 4, 1, 1), (0, 1, "start", 5, 1, 1)],
-     [(0, 0, 1, 1, 1, 1, True, 1, 5, "NEXT_START_MATCH_BREAK")]),
+    ([(7, 301, "start", 10, None, 2), (7, 301, "end", 16, 9, 2)],
+     [(7, 301, 1, 10, None, 2, True, 10, 16, "NEXT_END_FOR_SAME_MATCH")]),
+    ([(7, 301, "update", 10, None, 2), (7, 302, "end", 12, None, None), (8, 301, "start", 15, 4, None)],
+     [(7, 301, 1, 10, None, 2, True, 10, 12, "NEXT_END_MATCH_BREAK")]),
+    ([(7, 301, "start", h, 3, None) for h in (2, 4, 8)] + [(7, 302, "update", 9, 3, None), (7, None, "end", 11, None, None)],
+     [(7, 301, 1, 2, 3, None, True, 2, 9, "NEXT_START_MATCH_BREAK"), (7, 302, 1, 9, 3, None, True, 9, 11, "NEXT_END_NULL")]),
 ]
 
 
-@pytest.mark.parametrize("width", [None, 1, 2])
-@pytest.mark.parametrize("rows,expected", E2E, ids=["simple", "update-breaks", "succeeding"])
+@pytest.mark.parametrize("width", [None, 1, 5])
+@pytest.mark.parametrize("rows,expected", E2E, ids=["plain", "broken-on-both-sides", "chain-and-hand-over"])
 def test_end_to_end_assume_start(spark, rows, expected, width):
     out = run(spark, rows, ASSUME, width)
     assert out.columns == OUT

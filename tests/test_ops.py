@@ -20,37 +20,32 @@ from matchspan.sources import catalog, sinks
 from matchspan.sources.random_table import random_rows
 from matchspan.streaming import watermark
 
-EMP = [("Clerk#7", "BUILDING", 120), ("Clerk#9", "BUILDING", 340), ("Clerk#12", "BUILDING", 340), ("Clerk#7", "BUILDING", 120)]
-EMP_SCHEMA = "clerk string, segment string, price long"
-
-
 def test_distinct_and_dedup(spark):
-    df = make_df(spark, EMP, EMP_SCHEMA)
-    assert_same_rows(A.distinct_rows(df), EMP[:3])
-    kept = A.dedup_keep_first(df, ["segment", "price"], ["clerk"])
-    assert_same_rows(kept, [("Clerk#7", "BUILDING", 120), ("Clerk#12", "BUILDING", 340)], ["clerk", "segment", "price"])
-    assert_same_rows(A.distinct_values(df, "price"), [(120,), (340,)])
+    rows = [(-1, None, 0.5), (-1, None, 0.5), (-1, "", 0.5), (3, "", -2.0), (3, "long" * 50, -2.0), (None, None, None), (None, None, None)]
+    df = make_df(spark, rows, "n long, s string, x double")
+    assert_same_rows(A.distinct_rows(df), set(rows))
+    kept = A.dedup_keep_first(df, ["n", "x"], ["s"])  # nulls first
+    assert_same_rows(kept, [(-1, None, 0.5), (3, "", -2.0), (None, None, None)], ["n", "s", "x"])
+    assert_same_rows(A.distinct_values(df, "x"), [(0.5,), (-2.0,), (None,)])
+    assert A.distinct_rows(df.where("false")).count() == 0
 
 
 def test_explode_family(spark):
-    data = [("p1", ["tin", "brass"], {"size": "large", "color": "plum"}),
-            ("p2", ["steel", "tin", None], {"size": "small", "color": None}),
-            ("p3", ["nickel", ""], {"size": "jumbo", "color": ""}),
-            ("p4", None, None),
-            ("p5", ["7", "8"], {})]
-    df = spark.createDataFrame(data, "part string, metals array<string>, props map<string,string>")
-    inner = C.explode_array(df, ["part"], "metals")
-    assert inner.count() == 9
-    outer = C.explode_array(df, ["part"], "metals", outer=True)
-    assert outer.count() == 10 and outer.where(F.col("col").isNull()).count() == 2
-    pos = C.explode_array(df, ["part"], "metals", outer=True, with_pos=True)
-    assert_same_rows(pos.where("part = 'p2'"), [("p2", 0, "steel"), ("p2", 1, "tin"), ("p2", 2, None)])
-    m = C.explode_map(df, ["part"], "props", outer=True)
-    assert m.count() == 8
-    assert_same_rows(m.where("part in ('p4', 'p5')"), [("p4", None, None), ("p5", None, None)])
-    pm = C.explode_map(df, ["part"], "props", outer=True, with_pos=True)
-    assert pm.columns == ["part", "pos", "key", "value"]
-    assert C.explode_map(df, ["part"], "props").count() == 6
+    """Against list comprehensions: empty and long arrays, nulls inside and outside."""
+    arrays = [list(range(40)), [], None, [None], [-1, None, -1], [0]]
+    maps = [{}, {"k": None}, None, {chr(97 + i): i for i in range(20)}, {"": 1, "é": -1}, {"z": 0}]
+    df = make_df(spark, [(i, x, m) for i, (x, m) in enumerate(zip(arrays, maps))], "id int, xs array<int>, m map<string,int>")
+    inner = [(i, p, x) for i, xs in enumerate(arrays) for p, x in enumerate(xs or [])]
+    left = [(i, None, None) for i, xs in enumerate(arrays) if not xs]
+    assert_same_rows(C.explode_array(df, ["id"], "xs"), [(i, x) for i, _, x in inner])
+    assert_same_rows(C.explode_array(df, ["id"], "xs", outer=True), [(i, x) for i, _, x in inner + left])
+    assert_same_rows(C.explode_array(df, ["id"], "xs", outer=True, with_pos=True), inner + left)
+    inner = [(i, k, v) for i, m in enumerate(maps) for k, v in (m or {}).items()]
+    left = [(i, None, None) for i, m in enumerate(maps) if not m]
+    assert_same_rows(C.explode_map(df, ["id"], "m"), inner)
+    assert_same_rows(C.explode_map(df, ["id"], "m", outer=True), inner + left)
+    placed = C.explode_map(df, ["id"], "m", outer=True, with_pos=True)
+    assert placed.columns == ["id", "pos", "key", "value"] and placed.count() == len(inner + left)
 
 
 def test_argmin_over_map_ties_to_smaller_key(spark):
@@ -100,24 +95,12 @@ def test_timestamp_difference(spark, a, b, expected):
 
 
 def test_null_handling(spark):
-    df = spark.createDataFrame([(1, None, "O"), (6, 3, None), (None, 8, "F")], "col1 long, col2 long, col3 string")
-    assert N.drop_null_rows(df).count() == 0
-    assert_same_rows(N.fill_nulls(df, {"col1": 0, "col2": 1, "col3": "unknown"}),
-                     [(1, 1, "O"), (6, 3, "unknown"), (0, 8, "F")])
-    assert_same_rows(N.replace_values(df, 1, 100), [(100, None, "O"), (6, 3, None), (None, 8, "F")])
-
-
-@pytest.mark.parametrize("kind", ["long", "string"])
-def test_range_frame_sum(spark, kind):
-    df = spark.createDataFrame([(4, "x"), (4, "x"), (5, "x"), (4, "y"), (7, "y"), (8, "y"), (None, "y")],
-                               "id long, category string")
-    if kind == "string":  # non-integral order: window path
-        df = df.withColumn("id", F.col("id").cast("double"))
-    out = range_frame_sum(df, ["category"], "id", "id", following=1, out="sum")
-    exp = [(4, "x", 13), (4, "x", 13), (5, "x", 5), (4, "y", 4), (7, "y", 15), (8, "y", 8), (None, "y", None)]
-    got = sorted(((r["id"], r["category"], r["sum"]) for r in out.collect()), key=repr)
-    assert got == sorted(((None if i is None else (float(i) if kind == "string" else i), c, s if s is None else
-                           (float(s) if kind == "string" else s)) for i, c, s in exp), key=repr)
+    rows = [(x, y, z) for x in (None, -5, 0) for y in (None, -5) for z in (None, "", "w")]
+    df = make_df(spark, rows, "x long, y long, z string")
+    assert_same_rows(N.drop_null_rows(df), [r for r in rows if None not in r])
+    fill = {"x": 9, "z": "-"}
+    assert_same_rows(N.fill_nulls(df, fill), [(9 if x is None else x, y, "-" if z is None else z) for x, y, z in rows])
+    assert_same_rows(N.replace_values(df, -5, 70), [tuple(70 if v == -5 else v for v in r) for r in rows])
 
 
 def test_value_set_size_null_keys(spark):
@@ -181,8 +164,8 @@ def test_sinks_roundtrip(spark):
     sinks.write_binary(b, pb)
     assert bytes(spark.read.load(pb).first()[0]) == bytes([0, 255, 10, 9])
     ps = scratch_path(spark, "t-seq")
-    sinks.write_sequence(spark.createDataFrame([("key1", bytearray([1, 2, 3]))], "k string, p binary"), "k", "p", ps)
-    assert [(r[0], bytes(r[1])) for r in sinks.read_sequence(spark, ps).collect()] == [("key1", bytes([1, 2, 3]))]
+    sinks.write_sequence(spark.createDataFrame([("r/7 é", bytearray(range(256)))], "k string, p binary"), "k", "p", ps)
+    assert [(r[0], bytes(r[1])) for r in sinks.read_sequence(spark, ps).collect()] == [("r/7 é", bytes(range(256)))]
     pt = scratch_path(spark, "t-text")
     sinks.write_text(spark.createDataFrame([("1-URGENT 42",)], "s string"), "s", pt)
     assert [r[0] for r in sinks.read_text(spark, pt).collect()] == ["1-URGENT 42"]

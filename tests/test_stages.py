@@ -1,17 +1,20 @@
-"""Stage goldens: recode, filters, validation, end candidates, choice, merge."""
+"""Stages against plain models on drawn rows: recode, filters, validation, end
+candidates, choice, merge."""
+
+import random
 
 import pytest
 
 from helpers import assert_same_rows, make_df
-from matchspan.config import MatchConfig
+from matchspan.config import EndReason, MatchConfig
 from matchspan.operators import prepare
 from matchspan.operators.ranges import choose_final_end, connect_ranges, end_candidates, mark_valid_starts
 from matchspan.operators.validate import reduce_and_validate
+from model import _direction, _pass
 
 NAMES = {"start": 1, "update": 2, "end": 3}
 CFG = (MatchConfig("a", "b", "t", "status", NAMES, ["o1", "o2"], "v")
        .filter_null_a().filter_null_b_on_start())
-CFG1 = CFG.with_split_width(1)
 
 
 @pytest.mark.parametrize("value,expected", [("other", None), (None, None), ("start", 1), ("update", 2), ("end", 3)])
@@ -44,114 +47,107 @@ def test_optional_filters(spark, row, kept):
 
 
 SCHEMA7 = "a int, b int, status int, t int, o1 int, o2 int, v boolean"
-D = dict(a=0, b=0, status=1, t=1, o1=1, o2=1, v=True)
-DN = dict(D, o1=None, o2=None)
+COLS = ["a", "b", "status", "t", "o1", "o2", "v"]
 
 
-def rows(*dicts):
-    return [tuple(d[c] for c in ["a", "b", "status", "t", "o1", "o2", "v"]) for d in dicts]
+def drawn(seed, n, times=6):
+    """Distinct prepared rows of a few things, crowded enough to tie, conflict and fill."""
+    draw, out = random.Random(seed), set()
+    while len(out) < n:
+        out.add((draw.choice([31, 32, 33, None]), draw.choice([41, 42, None]), draw.choice([1, 1, 3, None]), draw.randrange(times),
+                 draw.choice([None, None, 5, 6]), draw.choice([None, 8]), draw.random() < 0.7))
+    return sorted(out, key=repr)
 
 
-REDUCE_CASES = [
-    (rows(D), rows(D)),
-    (rows(D, dict(D, o2=2)), rows(dict(D, v=False), dict(D, o2=2, v=False))),
-    (rows(D, dict(D, b=1)), rows(dict(D, v=False), dict(D, b=1, v=False))),
-    (rows(D, dict(D, a=1)), rows(D, dict(D, a=1))),
-    (rows(DN, dict(DN, o1=1), dict(DN, o2=1), dict(DN, o2=1), dict(DN, o2=None)), rows(D)),
-]
+def dicts(rows):
+    return [dict(zip(COLS, r)) for r in rows]
 
 
-@pytest.mark.parametrize("inp,expected", REDUCE_CASES)
-def test_reduce_and_validate(spark, inp, expected):
-    out = reduce_and_validate(make_df(spark, inp, SCHEMA7), CFG, ["a", "status", "t"], ["b", "o1", "o2"])
-    assert_same_rows(out, expected)
+@pytest.mark.parametrize("seed", range(4))
+def test_reduce_and_validate(spark, seed):
+    rows, key, match = drawn(seed, 60), ["a", "status", "t"], ["b", "o1", "o2"]
+    out = reduce_and_validate(make_df(spark, rows + rows[:9], SCHEMA7), CFG, key, match)
+    assert_same_rows(out, [tuple(r[c] for c in COLS) for r in _pass(dicts(rows), key, match)])
 
 
 def test_reduce_and_validate_rejects_overlap(spark):
     with pytest.raises(ValueError):
-        reduce_and_validate(make_df(spark, rows(D), SCHEMA7), CFG, ["a", "t"], ["a", "o1"])
-
-
-VALID_CASES = [
-    (rows(D), rows(D)),
-    (rows(D, dict(D, o2=2)), rows(dict(D, v=False), dict(D, o2=2, v=False))),
-    (rows(D, dict(D, b=1)), rows(dict(D, v=False), dict(D, b=1, v=False))),
-    (rows(D, dict(D, a=1)), rows(dict(D, v=False), dict(D, a=1, v=False))),
-    (rows(DN, dict(DN, o1=1), dict(DN, o2=1)), rows(D)),
-    (rows(DN, dict(DN, status=3), dict(DN, o1=1), dict(DN, o2=1), dict(DN, status=3, o1=1), dict(DN, status=3, o2=1)),
-     rows(D, dict(DN, status=3, o1=1, v=False), dict(DN, status=3, o2=1, v=False), dict(DN, status=3, v=False))),
-]
+        reduce_and_validate(make_df(spark, drawn(0, 3), SCHEMA7), CFG, ["a", "t"], ["a", "o1"])
 
 
+@pytest.mark.parametrize("hot", [None, 3])
 @pytest.mark.parametrize("width", [None, 1])
-@pytest.mark.parametrize("inp,expected", VALID_CASES)
-def test_mark_valid_starts(spark, inp, expected, width):
-    out = mark_valid_starts(make_df(spark, inp, SCHEMA7), CFG.with_split_width(width))
-    assert out.columns == ["a", "b", "status", "t", "o1", "o2", "v"]
-    assert_same_rows(out, expected)
-
-
-def r7(a, b, s, t, v):
-    return (a, b, s, t, 1, 1, v)
-
-
-def c(a, b, s, t, v, st=None, o=None, n=None, e=None):
-    return (a, b, s, t, 1, 1, v, st, o, n, e)
-
-
-NE, NEB, NEN = "NEXT_END_FOR_SAME_MATCH", "NEXT_END_MATCH_BREAK", "NEXT_END_NULL"
-NSB, NSS, NSN = "NEXT_START_MATCH_BREAK", "NEXT_START_SAME_MATCH", "NEXT_START_MATCH_NULL"
-T, F_ = True, False
-CAND_CASES = [
-    ([r7(0, 0, 1, 1, T), r7(0, 0, 3, 2, F_)], [c(0, 0, 1, 1, T, 1, 1, NE, 2), c(0, 0, 3, 2, F_)]),
-    ([r7(0, 0, 1, 1, T), r7(0, 0, 1, 2, F_), r7(0, 0, 3, 3, F_)],
-     [c(0, 0, 1, 1, T, 1, 5, NSS, 2), c(0, 0, 1, 2, F_, 2), c(0, 0, 3, 3, F_)]),
-    ([r7(0, 0, 1, 1, T), r7(0, 0, 3, 1, F_)], [c(0, 0, 3, 1, F_), c(0, 0, 1, 1, T, 1)]),
-    ([r7(0, 0, 1, 1, T), r7(0, 0, 3, 0, F_)], [c(0, 0, 1, 1, T, 1), c(0, 0, 3, 0, F_)]),
-    ([r7(0, 0, 1, 1, T), r7(0, 1, 3, 2, F_)], [c(0, 1, 3, 2, F_), c(0, 0, 1, 1, T, 1, 2, NEB, 2)]),
-    ([r7(0, 0, 1, 1, T), r7(0, None, 3, 2, F_)], [c(0, 0, 1, 1, T, 1, 3, NEN, 2), c(0, None, 3, 2, F_)]),
-    ([r7(0, 0, 1, 1, T), r7(0, 1, 1, 2, T)], [c(0, 0, 1, 1, T, 1, 4, NSB, 2), c(0, 1, 1, 2, T, 2)]),
-    ([r7(0, 0, 1, 1, T), r7(1, 0, 1, 2, T)], [c(0, 0, 1, 1, T, 1, 4, NSB, 2), c(1, 0, 1, 2, T, 2)]),
-    ([r7(0, 0, 1, 1, T), r7(0, None, 1, 2, T)], [c(0, 0, 1, 1, T, 1, 6, NSN, 2), c(0, None, 1, 2, T, 2)]),
-    ([r7(0, 0, 1, 1, T), r7(0, 0, 1, 2, T)], [c(0, 0, 1, 1, T, 1, 5, NSS, 2), c(0, 0, 1, 2, T, 2)]),
-    ([r7(0, 0, 1, 1, T), r7(0, 1, 1, 2, F_)], [c(0, 0, 1, 1, T, 1, 4, NSB, 2), c(0, 1, 1, 2, F_, 2)]),
-    ([r7(0, 0, 3, 1, T), r7(0, 0, 1, 1, T), r7(0, 0, 3, 3, F_), r7(0, None, 1, 2, F_)],
-     [c(0, 0, 1, 1, T, 1, 6, NSN, 2), c(0, 0, 1, 1, T, 1, 1, NE, 3), c(0, None, 1, 2, F_, 2),
-      c(0, 0, 3, 1, T), c(0, 0, 3, 3, F_)]),
-    ([r7(0, 0, 3, 1, T), r7(0, 0, 1, 1, T), r7(0, 0, 3, 2, F_), r7(0, None, 1, 2, F_)],
-     [c(0, 0, 1, 1, T, 1, 1, NE, 2), c(0, None, 1, 2, F_, 2), c(0, 0, 3, 1, T), c(0, 0, 3, 2, F_)]),
-]
-
-
+@pytest.mark.parametrize("seed", range(3))
+def test_mark_valid_starts(spark, seed, width, hot):
+    """Both passes, whatever flag comes in, with buckets that cut times and ties or not."""
+    rows = [r for r in drawn(seed, 70) if r[0] is not None]
+    out = mark_valid_starts(make_df(spark, rows, SCHEMA7), CFG.with_split_width(width).with_hot_keys(hot))
+    assert out.columns == COLS
+    flagged = [dict(r, v=r["status"] == 1 and r["b"] is not None) for r in dicts(rows)]
+    passed = _pass(_pass(flagged, ["a", "t"], ["o1", "o2", "b"]), ["b", "t"], ["o1", "o2", "a"])
+    assert_same_rows(out, [tuple(r[c] for c in COLS) for r in passed])
+
+
+@pytest.mark.parametrize("reasons", [list(EndReason), [EndReason.NEXT_END_NULL, EndReason.NEXT_START_SAME_MATCH]])
 @pytest.mark.parametrize("width", [None, 1])
-@pytest.mark.parametrize("inp,expected", CAND_CASES)
-def test_end_candidates(spark, inp, expected, width):
-    out = end_candidates(make_df(spark, inp, SCHEMA7), CFG.with_split_width(width))
-    assert out.columns == ["a", "b", "status", "t", "o1", "o2", "v", "start_time",
-                           "end_reason_ordinal", "end_reason_name", "end_time"]
+@pytest.mark.parametrize("seed", range(3))
+def test_end_candidates(spark, seed, width, reasons):
+    """One row a candidate of either direction, one without where there is none."""
+    one = {}  # rows that differ in the flag only have no order
+    for r in drawn(seed, 60):
+        one.setdefault(r[:6], r)
+    rows = list(one.values())
+    out = end_candidates(make_df(spark, rows, SCHEMA7), CFG.with_split_width(width).with_end_reasons(reasons))
+    assert out.columns == [*COLS, "start_time", "end_reason_ordinal", "end_reason_name", "end_time"]
+    ds, allowed = dicts(rows), {r.value for r in reasons}
+    by_a, by_b = _direction(ds, "a", "b", ["o1", "o2"], allowed), _direction(ds, "b", "a", ["o1", "o2"], allowed)
+    expected, kinds = [], set()
+    for i, r in enumerate(rows):
+        start = r[3] if r[2] == 1 else None
+        found = {d[i] for d in (by_a, by_b) if i in d}
+        kinds |= {k for _, k in found}
+        expected += [(*r, start, k, EndReason(k).name, t) for t, k in found] or [(*r, start, None, None, None)]
+    assert kinds <= allowed and len(kinds) >= min(4, len(allowed) - 1)
     assert_same_rows(out, expected)
 
 
 def test_choose_final_end(spark):
-    schema = SCHEMA7 + ", start_time int, end_reason_ordinal int, end_reason_name string, end_time int"
-    inp = [c(0, 0, 1, 1, T, 1, 3, NEN, 2), c(0, 0, 1, 1, T, 1, 2, NEB, 2), c(0, 0, 1, 1, T, 1, 1, NE, 3),
-           (0, None, 2, 2, 1, 1, F_, None, None, None, None), c(0, 0, 3, 1, T), c(0, 0, 3, 2, F_)]
+    """The earliest end, then the first reason; rows of a start that share the end stay."""
+    schema, draw = SCHEMA7 + ", start_time int, end_reason_ordinal int, end_reason_name string, end_time int", random.Random(3)
+    inp = []
+    for _ in range(150):
+        start, reason = draw.randrange(4), draw.choice([None, 1, 2, 3, 4, 5, 6])
+        inp.append((draw.choice([51, 52]), draw.choice([61, None]), 1, start, draw.choice([7, None]), None, True, start,
+                    reason, reason and EndReason(reason).name, reason and start + draw.randrange(5)))
     out = choose_final_end(make_df(spark, inp, schema), CFG)
-    assert out.columns == ["a", "b", "status", "t", "o1", "o2", "v", "start_time", "final_end_time", "final_end_reason"]
-    assert_same_rows(out, [(0, 0, 1, 1, 1, 1, True, 1, 2, NEB)])
-
+    assert out.columns == [*COLS, "start_time", "final_end_time", "final_end_reason"]
+    expected = set()
+    for r in inp:
+        ends = [(x[10], x[8]) for x in inp if x[10] is not None and (x[0], x[1], x[7]) == (r[0], r[1], r[7])]
+        if r[10] is not None and r[10] == min(ends)[0]:
+            expected.add((*r[:8], r[10], EndReason(min(ends)[1]).name))
+    assert_same_rows(out, expected)
 
-@pytest.mark.parametrize("width", [None, 1, 7, 20])
-def test_connect_ranges(spark, width):
-    schema = SCHEMA7 + ", start_time int, final_end_time int, final_end_reason string"
 
-    def m(a, b, t, s, e, why):
-        return (a, b, 1, t, 1, 1, True, s, e, why)
-    inp = [m(1, 1, 1, 1, 21, NEB), m(1, 1, 21, 21, 25, NEN), m(1, 1, 25, 25, 30, NSN),
-           m(2, 2, 21, 21, 25, NEN), m(2, 2, 25, 25, 30, NSN),
-           m(1, 1, 21, 51, 60, NEN), m(1, 1, 25, 60, 78, NSN)]
-    out = connect_ranges(make_df(spark, inp, schema), CFG.with_split_width(width))
-    assert_same_rows(out, [m(1, 1, 1, 1, 30, NSN), m(1, 1, 21, 51, 78, NSN), m(2, 2, 21, 21, 30, NSN)])
+@pytest.mark.parametrize("hot", [None, 4])
+@pytest.mark.parametrize("width", [None, 2, 9])
+def test_connect_ranges(spark, width, hot):
+    """Chains of several pairs, with gaps, in any order of input."""
+    schema, draw = SCHEMA7 + ", start_time int, final_end_time int, final_end_reason string", random.Random(width)
+    inp, expected = [], []
+    for a, b in ((71, 81), (71, 82), (72, 81), (73, 83)):
+        at = draw.randrange(3)
+        for _ in range(draw.randrange(1, 6)):
+            head, o1 = at, draw.choice([None, 4])
+            for k in range(draw.randrange(1, 7)):
+                end = at + draw.randrange(1, 6)
+                why = draw.choice(list(EndReason)).name
+                inp.append((a, b, 1, at, o1 if k == 0 else 9, None, True, at, end, why))
+                at = end
+            expected.append((a, b, 1, head, o1, None, True, head, at, why))
+            at += draw.randrange(1, 8)
+    out = connect_ranges(make_df(spark, inp, schema), CFG.with_split_width(width).with_hot_keys(hot))
+    assert_same_rows(out, expected)
 
 
 def test_connect_long_chain_across_many_buckets(spark):
