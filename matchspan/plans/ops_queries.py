@@ -357,6 +357,13 @@ def q_partition_stats(spark, sf):
     return stats.agg(F.sum("rows").alias("rows"), F.round(F.sum("total"), 2).alias("total"))
 
 
+def q_partition_files(spark, sf):
+    """Files that the tasks wrote themselves, read back by the list of those that count."""
+    ev, folder = _t(spark, sf, "events").select("event_id", "user_id", "event_type"), scratch_path(spark, "arrow-files")
+    listed = P.write_arrow_files(ev.repartition("user_id"), folder)
+    return P.read_arrow_files(listed, folder, ev.schema)
+
+
 # -- sources and sinks --------------------------------------------------------
 
 def q_scan_parquet(spark, sf):
@@ -524,6 +531,7 @@ QUERIES = {
     "rows_checked": q_rows_checked,
     "rows_split": q_rows_split,
     "partition_overwrite": q_partition_overwrite,
+    "partition_files": q_partition_files,
     "sql_over_partitions": q_sql_over_partitions,
 }
 
@@ -603,6 +611,7 @@ CAST(CASE WHEN len(v) = 0 THEN 12 END AS INTEGER) AS tag, v[1].path || ' ' || v[
     "partition_overwrite": """
 SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN c_nationkey + 100 ELSE c_nationkey END AS c_nationkey, c_mktsegment
 FROM customer WHERE c_mktsegment <> 'BUILDING' OR c_custkey % 2 = 0""",
+    "partition_files": "SELECT event_id, user_id, event_type FROM events",
     "sql_over_partitions": "SELECT c_nationkey, count(*) AS n FROM customer WHERE c_mktsegment = 'MACHINERY' GROUP BY c_nationkey",
     "stream_window_totals": """
 SELECT epoch_us(date_trunc('day', ts)) AS start_us, event_id % 5 AS value, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS total

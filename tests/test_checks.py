@@ -4,6 +4,8 @@ import datetime
 import glob
 import os
 import random
+import subprocess
+import sys
 from collections import Counter
 
 import pytest
@@ -162,3 +164,40 @@ def test_only_given_partitions_are_replaced_and_read(spark):
         assert spark.table(name).count() == 5
     finally:
         spark.sql(f"DROP TABLE {name}")
+
+
+LOST_TRIES = """
+import os, sys
+sys.path[:0] = [{repo!r}, {tests!r}]
+from pyspark import TaskContext
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "3")
+         .config("spark.checkpoint.dir", {shared!r}).config("spark.executorEnv.PYTHONPATH", {repo!r}).getOrCreate())
+spark.sparkContext.setLogLevel("OFF")
+from matchspan.operators import partitioning as P
+folder = {shared!r} + "/effects"
+os.makedirs(folder)
+
+def work(attempt, batches):
+    rows = sum(b.num_rows for b in batches)
+    with open(folder + "/" + attempt, "w") as f:
+        f.write(str(rows))
+    task = TaskContext.get()
+    if task.attemptNumber() == 0 and task.partitionId() % 2:
+        raise RuntimeError("lost after its side effect")
+    yield attempt, rows
+
+listed = P.for_each_partition(spark.range(0, 100, 1, 4), work).collect()
+left = os.listdir(folder)
+print(len(left), len(listed), sum(r["rows"] for r in listed), sorted(r["partition"] for r in listed), {{r["name"] for r in listed}} <= set(left))
+spark.stop()
+"""
+
+
+def test_lost_tries_count_nowhere(tmp_path):
+    """Partitions whose first try fails after its side effect are counted once."""
+    repo, tests = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))
+    code = LOST_TRIES.format(repo=repo, tests=tests, shared=str(tmp_path))
+    env = {**os.environ, "PYTHONPATH": repo}
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=200, env=env)
+    assert out.stdout.split("\n")[-2] == "6 4 100 [0, 1, 2, 3] True", out.stderr[-2000:]
