@@ -32,8 +32,9 @@ from matchspan.llm.common import slices, text_or_empty
 from matchspan.llm.jaccard_join import _word_hashes
 
 DIMENSIONS = 1 << 17
-#: Labelled documents a class that the linear model and its calibration see, and their features at most.
-SAMPLE, SAMPLE_FEATURES = 1500, 6000
+#: Labelled documents a class that the linear model and its calibration see, with all their features
+#: (DIMENSIONS numbers at most each).
+SAMPLE = 1500
 SMOOTH, C, EPOCHS = 1.0, 1.0, 8
 
 _CLASS = np.full(256, 7, np.uint32)  # 7: beyond ASCII
@@ -157,11 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, held: Column, sample: in
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            rows = []
-            for t in b.column(0).to_pylist():
-                f = features(t)
-                # a very long text is cut to evenly spaced features, in the sample alone
-                rows.append(f[np.linspace(0, len(f) - 1, SAMPLE_FEATURES).astype(int)].tobytes() if len(f) > SAMPLE_FEATURES else f.tobytes())
+            rows = [features(t).tobytes() for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), *b.columns[1:]], names=["f", "y", "cost", "half"])
 
     # at most 2 x sample ids: broadcast

@@ -277,6 +277,23 @@ def labelled(spark, n=400):
     return docs, spark.createDataFrame(labels + [(0, None, None), (n + 7, 1, 1)], "doc_id long, quality int, toxic int")
 
 
+def test_quality_learns_from_all_features_of_long_texts(spark):
+    """What tells the classes apart stands only in texts of far over 6,000 features, and
+    is few of them; rows repeat, columns clash."""
+    draw = random.Random(5)
+    rows, labels = [], []
+    for i in range(60):
+        filler = "".join(chr(draw.randrange(0x4E00, 0x9FFF)) if draw.random() < 0.9 else " " for _ in range(9000))
+        rows.append((i, filler + (" qzx jvw" * 40 if i % 2 else ""), "n", i))
+        labels.append((i, i % 2))
+    docs = spark.createDataFrame([*rows, *rows[:5]], "doc_id long, text string, y string, half int").repartition(3)
+    assert min(len(quality.features(t)) for _, t, *_ in rows) > 6000
+    held = held_out(5, 0)
+    out = quality.score(docs, quality.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"), "quality", held), held).collect()
+    assert len(out) == 65
+    assert sum((r.score > 0.5) == bool(r.doc_id % 2) for r in out) >= 60
+
+
 @pytest.mark.parametrize("module,label", [(toxicity, "toxic"), (quality, "quality")])
 def test_classifiers_on_held_out_rows(spark, module, label):
     docs, labels = labelled(known_to_workers(spark))
