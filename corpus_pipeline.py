@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from matchspan.llm import bpe, decontaminate, exact_dedup, jaccard_join, toxicity
 from matchspan.llm.common import held_out, known_to_workers, read, text_or_empty, written
+from matchspan.operators.aggregates import quoted
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,9 +65,14 @@ def _those(docs: DataFrame, kept: DataFrame, name: Column) -> DataFrame:
     """Of the rows of ``docs`` with each (no_id, id, name) of ``kept`` the smallest one.
     Copies fold in each task before the texts are shuffled, which is once: the
     aggregate and the semi join share its partitioning."""
-    rows = docs.select(*_id(), name.alias("name"), F.struct(*docs.columns).alias("row"))
-    one = rows.groupBy("no_id", "id", "name").agg(F.min("row").alias("row"))
-    return one.join(kept.hint("merge"), ["no_id", "id", "name"], "left_semi").select("row.*")
+    fields = F.struct(*[quoted(c).alias(f"f{i}") for i, c in enumerate(docs.columns)])
+    rows = docs.select(*_id(), name.alias("name"), fields.alias("row"))
+    # maps have no order; a row that holds one is ordered by its JSON text
+    smallest = F.min_by("row", F.to_json("row")) if "map<" in docs.schema.simpleString() else F.min("row")
+    one = rows.groupBy("no_id", "id", "name").agg(smallest.alias("row"))
+    kept = one.join(kept.hint("merge"), ["no_id", "id", "name"], "left_semi")
+    return kept.select(*[F.col(f"row.f{i}").alias(c) for i, c in enumerate(docs.columns)])
+
 
 
 STAGES = [
