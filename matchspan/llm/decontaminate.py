@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchspan.llm.common import LOWER_AZ, UPPER_AZ, WORD_PATTERN, WORDS, slices, text_or_empty, worker_cache, written
+from matchspan.operators.aggregates import quoted
 
 #: Benchmark words in one automaton (about 100 MB in a task).
 BLOCK_WORDS = 200_000
@@ -240,7 +241,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage:
     returned as they are; a column n_chars is kept in step with a text that
     was cut."""
     columns = docs.columns
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    plain = docs.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(columns)])
     at = columns.index(text_col)
     found = find(plain, benchmark, window, id_col="c0", text_col=f"c{at}", keep=plain.columns[1:])
     names = plain.columns

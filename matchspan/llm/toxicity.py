@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 
 from matchspan.llm.common import WORDS, slices, text_or_empty, written
 from matchspan.llm.quality import logistic_fit, sampled, training_labels
+from matchspan.operators.aggregates import quoted
 
 WINDOW, STEP = 8, 4
 SAMPLE, SAMPLE_WINDOWS = 4000, 60_000
@@ -204,7 +205,7 @@ def score(docs: DataFrame, model: Model, held: Column, threshold: float = 0.3, i
 def keep_ordinary(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that score below ``threshold``."""
     columns = docs.columns
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    plain = docs.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(columns)])
     at = columns.index(text_col)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

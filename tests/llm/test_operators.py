@@ -369,3 +369,23 @@ def test_near_dedup_stage_decides_by_row(spark):
     ids = sorted((str(i), (t or "")[:1]) for i, t in got)
     assert ids == [("1", "a"), ("1", "b"), ("5", "e"), ("6", ""), ("None", ""), ("None", "c"), ("None", "d")]
     assert got == stage_rows(spark, corpus_pipeline.drop_near_copies, rows[::-1])
+
+
+@pytest.mark.parametrize("stage", ["drop_copies", "drop_near_copies", "drop_benchmark"])
+def test_pipeline_stages_with_odd_columns(spark, stage, tmp_path):
+    """Maps, dots and backticks in names, null ids, repeated rows, no rows."""
+    text = " ".join(f"word{i}" for i in range(40))
+    other = " ".join(f"other{i}" for i in range(30))
+    rows = [(5, text, {"a": 1}, "x", 1), (2, text, {"b": None}, "y", 2), (2, text, None, "y", 3), (None, text, {}, "z", 4), (9, other, {"c": 3}, None, 5), (None, "alone", None, None, 6)]
+    schema = "doc_id long, text string, m map<string,int>, `a.b` string, `c``d` int"
+    docs = known_to_workers(spark).createDataFrame(rows, schema)
+    spark.createDataFrame([("q1", "never there at all")], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    run = getattr(corpus_pipeline, stage)
+    out = run(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"][:5]) for r in out.collect())
+    if stage == "drop_benchmark":
+        assert len(got) == len(rows)
+    else:
+        assert got == [(False, 2, "word0"), (False, 9, "other"), (True, 0, "alone")]
+    assert run(spark, docs.where("false"), str(tmp_path)).count() == 0
