@@ -25,9 +25,13 @@ shingles (those of many documents last, else by hash).
    stop joining them, they are met pair by pair, within the size window that a
    link allows and only where the region's pivot could be the first that both
    hold: what follows it in the order must suffice for a link, else they are met
-   under an earlier pivot or don't link.  The number of shared pivots bounds the
-   overlap of the rest from above, and what is left is compared exactly.  No pair
-   within a component is made.
+   under an earlier pivot or don't link.  No pair within a component is made.
+4. *Sketches.*  A set's sketch has a bit for each of its hash classes: whether
+   the number of its shingles there is odd.  A short one travels with the regions, one as
+   long as the set is large (folded to the other's length) judges the pairs that it leaves.  Two sketches differ in at most as many bits
+   as the sets have shingles that only one of them holds, which is a lower bound of their
+   distance: pairs that it shows to be too far apart are never made, so that
+   texts are shipped for hardly more pairs than link.  What is left is compared exactly.
 
 Any choice of frequent shingles, centres and rounds gives the same result.
 
@@ -43,6 +47,8 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -57,8 +63,14 @@ HOT, HOT_MAX = 100, 500_000
 COUNTED = 1.3
 #: Rows of a frequent pivot in one task.
 SALT_ROWS = 2000
-#: Centres a region and round; rounds at most; pairs that are met one by one, as a multiple of the regions' rows.
-CENTRES, ROUNDS, PAIRS = 2, 10, 8
+#: Centres a region and round; rounds at most; pairs whose sketches are compared one by one, as a multiple of the regions' rows.
+CENTRES, ROUNDS, PAIRS = 2, 10, 64
+#: 64-bit words of a sketch.
+SKETCH = 4
+#: Rows of a region that meet the whole region in one task.
+BLOCK = 4096
+#: Sets that a task remembers, and shingles that it counts, at a time.
+SEEN, BUFFER = 100_000, 500_000
 #: Values of the screen through which texts are picked for comparison.
 SCREEN_VALUES = 1 << 20
 
@@ -67,7 +79,8 @@ _RANDOM = np.random.default_rng(20240601)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE, _M = 0xD1342543DE82EF95, np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_PIECE = 1 << 20
+_PIECE = 1 << 17
+_SKETCH = [f"s{i}" for i in range(SKETCH)]
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -144,28 +157,66 @@ def _new_sets(batch: pa.RecordBatch, width: int, seen: set) -> Iterator[tuple[in
         if len(keys):
             node, _ = _node(keys)
             if node not in seen:
-                if len(seen) > 500_000:
+                if len(seen) > SEEN:
                     seen.clear()
                 seen.add(node)
                 yield node, keys
 
 
+def sketch(keys: np.ndarray) -> tuple[list[int], list[int]]:
+    """Which hash classes hold an odd number of the shingles: 64 * SKETCH classes, and
+    a power of two, at least that many and at least as many as shingles."""
+    classes = 64 * SKETCH
+    while classes < len(keys):
+        classes *= 2
+    odd = np.bincount((keys * _M >> np.uint64(32)).astype(np.int64) % classes, minlength=classes) & 1
+    wide = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return np.bitwise_xor.reduce(wide.reshape(-1, SKETCH), axis=0).tolist(), wide.tolist()
+
+
+def _folded(one: str, other: str):
+    """A sketch at the length of the other, where that is half as long."""
+    half = F.size(other)
+    xor = F.zip_with(F.slice(one, F.lit(1), half), F.slice(one, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(one) > half, xor).otherwise(F.col(one))
+
+
+def _near_sketches(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """The rows (a, b) of ``pairs`` whose whole sketches are as near as a link allows.  Sizes
+    within ``least`` >= 1/2 of each other have sketches of the same length or twice that."""
+    for x in "ab":
+        pairs = pairs.join(sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}")), x)
+    apart = F.aggregate(F.zip_with(_folded("wa", "wb"), _folded("wb", "wa"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    near = apart * (least[0] + least[1]) <= (F.col("na") + F.col("nb")) * (least[1] - least[0])
+    return (pairs.where(near) if 2 * least[0] >= least[1] else pairs).select("a", "b")
+
+
+def _close(one: str, other: str, n: str, m: str, least: tuple[int, int]):
+    """Whether two sketches, of sets of n and m shingles, are as near as a link allows."""
+    apart = reduce(add, [F.bit_count(F.col(f"{one}{i}").bitwiseXOR(F.col(f"{other}{i}"))) for i in range(SKETCH)])
+    return apart * (least[0] + least[1]) <= (F.col(n) + F.col(m)) * (least[1] - least[0])
+
+
 def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """id, n_shingles, node (null without shingles), check."""
+    """id, n, node (null without shingles), check, the words s0 and so on of the short sketch, and the whole sketch."""
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            n, node, check = [], [], []
+            n, node, check, words, wide = [], [], [], [], []
             for text in b.column(1).to_pylist():
                 keys = shingles(text, width)
                 a, c = _node(keys) if len(keys) else (None, None)
                 n.append(len(keys))
                 node.append(a)
                 check.append(c)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64())], names=["id", "n", "node", "check"])
+                short, long = sketch(keys)
+                words.append(short)
+                wide.append(long)
+            parts = [pa.array(x, pa.int64()) for x in (n, node, check, *zip(*words))]
+            yield pa.RecordBatch.from_arrays([b.column(0), *parts, pa.array(wide, pa.list_(pa.int64()))], names=["id", "n", "node", "check", *_SKETCH, "wide"])
 
-    return source.mapInArrow(sign, f"id {source.schema['id'].dataType.simpleString()}, n long, node long, check long")
+    return source.mapInArrow(sign, f"id {source.schema['id'].dataType.simpleString()}, n long, node long, check long, {' long, '.join(_SKETCH)} long, wide array<long>")
 
 
 def frequent(texts: DataFrame, width: int, least: tuple[int, int], hot: int) -> list[tuple[int, int]]:
@@ -178,7 +229,7 @@ def frequent(texts: DataFrame, width: int, least: tuple[int, int], hot: int) ->
             for _, keys in _new_sets(b, width, seen):
                 parts.append(keys[: int(COUNTED * _pivots(len(keys), least)) + 1])
                 size += len(parts[-1])
-            if size > 2_000_000:
+            if size > BUFFER:
                 yield _counts(parts)
                 parts, size = [], 0
         if parts:
@@ -194,10 +245,9 @@ def _counts(parts: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def regions(texts: DataFrame, width: int, least: tuple[int, int], hot: list[tuple[int, int]]) -> DataFrame:
-    """pivot, node, pos, shared: the regions of two sets or more (all rows of frequent
+    """pivot, node, pos, n: the regions of two sets or more (all rows of frequent
     pivots); pos is the pivot's place among the set's shingles in the global order,
-    shared says how much of the set is frequent shingles (0 to 255, most for the
-    text that the copies of a large group have in common)."""
+    n the set's size."""
     spark = texts.sparkSession
     hot = sorted(hot)
     sent = spark.sparkContext.broadcast((np.array([k for k, _ in hot], np.uint64), np.array([max(1, -(-n // SALT_ROWS)) for _, n in hot], np.int64)))
@@ -209,7 +259,7 @@ def regions(texts: DataFrame, width: int, least: tuple[int, int], hot: list[tupl
         for b in slices(batches):
             keys_out, nodes, salts, places = [], [], [], []
             for node, keys in _new_sets(b, width, seen):
-                k = _pivots(len(keys), least)
+                n, k = len(keys), _pivots(len(keys), least)
                 at = np.searchsorted(last, keys)
                 late = (last[np.minimum(at, len(last) - 1)] == keys) if len(last) else np.zeros(len(keys), bool)
                 salt = np.zeros(k, np.int64)
@@ -220,7 +270,7 @@ def regions(texts: DataFrame, width: int, least: tuple[int, int], hot: list[tupl
                 keys_out.append(keys[:k].astype(np.int64))
                 salts.append(salt)
                 nodes.append(np.full(k, node, np.int64))
-                places.append(np.arange(k) | int(255 * late.mean()) << 32)
+                places.append(np.arange(k) | n << 32)
             if nodes:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys_out, nodes, salts, places)], names=["pivot", "node", "salt", "pos"])
 
@@ -241,7 +291,7 @@ def regions(texts: DataFrame, width: int, least: tuple[int, int], hot: list[tupl
             yield _pairs_batch(held)
 
     rows = texts.mapInArrow(replicate, "pivot long, node long, salt long, pos long")
-    return rows.repartition(parts, "pivot", "salt").sortWithinPartitions("pivot", "node").mapInArrow(shared, "pivot long, node long, place long").select("pivot", "node", F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("pos"), F.shiftright("place", 32).cast("int").alias("shared"))
+    return rows.repartition(parts, "pivot", "salt").sortWithinPartitions("pivot", "node").mapInArrow(shared, "pivot long, node long, place long").select("pivot", "node", F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("pos"), F.shiftright("place", 32).alias("n"))
 
 
 def _pairs_batch(rows: np.ndarray) -> pa.RecordBatch:
@@ -269,7 +319,7 @@ def linked(docs: DataFrame, ids: DataFrame, pairs: DataFrame, width: int, least:
                 if len(keys):
                     node, _ = _node(keys)
                     if node not in seen:
-                        if len(seen) > 500_000:
+                        if len(seen) > SEEN:
                             seen.clear()
                         seen.add(node)
                         out.append((node, text))
@@ -321,11 +371,11 @@ def link_components(docs: DataFrame, width: int = 5, least: float = 0.8, id_col:
     texts = docs.select(text_or_empty(text_col).alias("text"))
     named = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     signed = written(signatures(docs, width, id_col, text_col))
-    sets = written(signed.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.min("id").alias("id"), F.min("check").alias("lo"), F.max("check").alias("hi")))
+    sets = written(signed.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.min("check").alias("lo"), F.max("check").alias("hi"), F.first("n").alias("n"), *[F.first(s).alias(s) for s in (*_SKETCH, "wide")]))
     if not sets.where("lo <> hi").isEmpty():
         raise ValueError("two sets share a 64-bit name")
-    ids, sets = sets.select("node", "id"), sets.select("node", "n")
-    rows = written(regions(texts, width, ratio, frequent(texts, width, ratio, hot)).join(sets, "node"))
+    ids, sketches, wide = sets.select("node", "id"), sets.select("node", *_SKETCH), sets.select("node", "n", "wide")
+    rows = written(regions(texts, width, ratio, frequent(texts, width, ratio, hot)))
     labels = written(rows.select("node").distinct().withColumn("comp", F.col("node")))
     total = rows.count()
 
@@ -337,9 +387,9 @@ def link_components(docs: DataFrame, width: int = 5, least: float = 0.8, id_col:
         slow = before is not None and cross > 0.8 * before  # what is left hardly links
         before = cross
         if turn and (cross <= pairs_per_row * total or slow or turn == rounds):
-            labels = components(labels, linked(named, ids, written(_each_pair(live, ratio)), width, ratio))
+            labels = components(labels, linked(named, ids, written(_near_sketches(written(_each_pair(live, sketches, ratio)), wide, ratio)), width, ratio))
             break
-        labels = components(labels, linked(named, ids, written(_centres(live, ratio, turn)), width, ratio))
+        labels = components(labels, linked(named, ids, written(_near_sketches(_centres(live, sketches, ratio, turn), wide, ratio)), width, ratio))
 
     marked = signed.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     smallest = marked.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("component_id"))
@@ -348,13 +398,13 @@ def link_components(docs: DataFrame, width: int = 5, least: float = 0.8, id_col:
 
 
 def _live(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
-    """The rows (pivot, node, pos, shared, n, comp, big) of regions with more than one
-    component, big: whether comp is its region's largest; and the number of
-    pairs of different components in them."""
+    """The rows (pivot, node, pos, n, comp, big, blocks) of regions with more than one
+    component, big: whether comp is its region's largest, blocks: how many tasks its
+    rows are dealt to; and the number of pairs of different components in them."""
     named = rows.join(labels, "node")
     sizes = named.groupBy("pivot", "comp").agg(F.count(F.lit(1)).alias("c"))
     per = sizes.groupBy("pivot").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("g"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    live = written(named.join(per.select("pivot", F.col("top.comp").alias("topmost"), "g", "sq"), "pivot").select("pivot", "node", "pos", "shared", "n", "comp", (F.col("comp") == F.col("topmost")).alias("big"), "g", "sq"))
+    live = written(named.join(per.select("pivot", F.col("top.comp").alias("topmost"), "g", "sq"), "pivot").select("pivot", "node", "pos", "n", "comp", (F.col("comp") == F.col("topmost")).alias("big"), F.ceil(F.col("g") / BLOCK).cast("int").alias("blocks"), "g", "sq"))
     # every region gives (g^2 - sq) / 2 pairs, spread over its g rows
     cross = live.agg(F.sum((F.col("g") * F.col("g") - F.col("sq")) / F.col("g") / 2)).first()[0]
     return live.drop("g", "sq"), int(math.ceil(cross or 0))
@@ -365,34 +415,36 @@ def _near(n: str, m: str, least: tuple[int, int]):
     return F.least(n, m) * least[1] >= F.greatest(n, m) * least[0]
 
 
-def _centres(live: DataFrame, least: tuple[int, int], turn: int) -> DataFrame:
+def _centres(live: DataFrame, sketches: DataFrame, least: tuple[int, int], turn: int) -> DataFrame:
     """Pairs (a, b) of a document and a centre of its region, of different components.
-    The first centre is the document with most frequent shingles: what the copies of a
-    large group were made from lies nearest to all of them."""
+    The first centre is the document that has the fewest shingles before the pivot in
+    the order: what the copies of a large group were made from has no rare ones of its own."""
     centres = CENTRES if turn else 1
-    picks = live.groupBy("pivot").agg(*[F.min(F.struct((F.lit(0) if turn else -F.col("shared")).alias("s"), F.xxhash64("node", F.lit(turn * CENTRES + i)).alias("h"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"))).alias(f"c{i}") for i in range(centres)])
+    picks = live.groupBy("pivot").agg(*[F.min(F.struct((F.lit(0) if turn else F.col("pos")).alias("s"), F.xxhash64("node", F.lit(turn * CENTRES + i)).alias("h"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"))).alias(f"c{i}") for i in range(centres)])
     picks = picks.select("pivot", F.explode(F.array_distinct(F.array(*[F.struct(f"c{i}.b", f"c{i}.m", f"c{i}.cb") for i in range(centres)]))).alias("c")).select("pivot", "c.*")
     met = live.join(picks, "pivot").where(F.col("comp") != F.col("cb")).where(_near("n", "m", least))
-    return met.select(F.col("node").alias("a"), "b").distinct()
+    pairs = met.select(F.col("node").alias("a"), "b", "n", "m").distinct()
+    pairs = pairs.join(_named(sketches, "a", "p"), "a").join(_named(sketches, "b", "q"), "b")
+    return pairs.where(_close("p", "q", "n", "m", least)).select("a", "b")
+
+
+def _named(sketches: DataFrame, node: str, prefix: str) -> DataFrame:
+    return sketches.select(F.col("node").alias(node), *[F.col(s).alias(f"{prefix}{i}") for i, s in enumerate(_SKETCH)])
 
 
-def _each_pair(live: DataFrame, least: tuple[int, int]) -> DataFrame:
+def _each_pair(live: DataFrame, sketches: DataFrame, least: tuple[int, int]) -> DataFrame:
     """Pairs (a, b) of different components that share a region and may link.
 
     A pair in a region has a member outside the region's largest component, so
     joining those with all rows of the region meets each pair.  Under the first
     pivot that two sets share, all that they have in common is that pivot and what
-    follows it in the order; elsewhere the pair need not be met.  Sets x and y have
-    at most the shared pivots, and what lies beyond the pivots of one of
-    them, in common."""
-    right = live.select("pivot", F.col("node").alias("b"), F.col("pos").alias("at"), F.col("n").alias("m"), F.col("comp").alias("cb"), F.col("big").alias("bb"))
+    follows it in the order; elsewhere the pair need not be met.  The condition of the
+    join holds the sketches too, so that only near pairs leave it.  The rows of a large
+    region are dealt in blocks, each of which meets all of the region."""
+    left = live.where("NOT big").join(_named(sketches, "node", "p"), "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    right = live.select("pivot", F.col("node").alias("b"), F.col("pos").alias("at"), F.col("n").alias("m"), F.col("comp").alias("cb"), F.col("big").alias("bb"), "blocks")
+    right = right.join(_named(sketches, "b", "q"), "b").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     first = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at")) * (least[0] + least[1]) >= (F.col("n") + F.col("m")) * least[0]
-    met = live.where("NOT big").join(right, "pivot").where(F.col("comp") != F.col("cb")).where(F.col("bb") | (F.col("node") < F.col("b"))).where(_near("n", "m", least)).where(first)
-    low, high = F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")
-    pairs = met.select(low, high, "n", "m").groupBy("a", "b").agg(F.first("n").alias("n"), F.first("m").alias("m"))
-    # as many as a document's own pivots
-    held = live.groupBy("node").agg(F.collect_list("pivot").alias("held"))
-    pairs = pairs.join(held.withColumnsRenamed({"node": "a", "held": "ha"}), "a").join(held.withColumnsRenamed({"node": "b", "held": "hb"}), "b")
-    both = F.size(F.array_intersect("ha", "hb"))
-    beyond = F.greatest(*[F.floor(F.col(x) * least[0] * 1.0 / least[1] + 1) for x in ("n", "m")])
-    return pairs.where((both + beyond) * (least[0] + least[1]) >= (F.col("n") + F.col("m")) * least[0]).select("a", "b")
+    met = left.drop("blocks").join(right, ["pivot", "block"]).where(F.col("comp") != F.col("cb")).where(F.col("bb") | (F.col("node") < F.col("b"))).where(_near("n", "m", least)).where(first)
+    met = met.where(_close("p", "q", "n", "m", least))
+    return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
