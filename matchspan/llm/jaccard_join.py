@@ -64,7 +64,7 @@ COUNTED = 1.3
 #: Rows of a frequent pivot in one task.
 SALT_ROWS = 2000
 #: Centres a region and round; rounds at most; pairs whose sketches are compared one by one, as a multiple of the regions' rows.
-CENTRES, ROUNDS, PAIRS = 2, 10, 64
+CENTRES, ROUNDS, PAIRS = 2, 10, 256
 #: 64-bit words of a sketch.
 SKETCH = 4
 #: Rows of a region that meet the whole region in one task.
