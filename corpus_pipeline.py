@@ -19,23 +19,27 @@ from matchspan.llm import bpe, decontaminate, exact_dedup, jaccard_join, toxicit
 from matchspan.llm.common import held_out, known_to_workers, read, text_or_empty, written
 from matchspan.operators.aggregates import quoted
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 2000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.3 or more are rejected; the model learns from the labelled documents of the table."""
+    _small_batches(spark)
     model = toxicity.fit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), "toxic", held_out(4, 2))
     return toxicity.keep_ordinary(docs, model)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id stays."""
-    known_to_workers(spark)
+    _small_batches(spark)
     found = exact_dedup.dedup(docs, F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
     return _those(docs, found.where("kept").select(*_id(), F.col("digest").alias("name")), F.unhex(F.sha2(exact_dedup.normalised(), 256)))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of Jaccard 0.8 or more join, the one with the smallest id stays."""
-    known_to_workers(spark)
+    _small_batches(spark)
     name = F.unhex(F.sha2(text_or_empty(), 256))
     # ordered by all of it, so that one row of a component is the smallest whatever its ids
     rows = docs.select(F.struct(*_id(), name.alias("name")).alias("row"), "text")
@@ -45,17 +49,29 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; documents that are mostly such passages go."""
+    _small_batches(spark)
     return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"), window=10, max_coverage=0.5)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens, and whether decoding gives the text back."""
-    known_to_workers(spark)
+    _small_batches(spark)
     ranks = bpe.public_ranks()
     whole = bpe.decode(bpe.encode(docs, ranks), ranks)
     return whole.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Rows go to the Python workers at most ``BATCH_ROWS`` at a time, as a batch of whole
+    texts is held in the JVM and in the worker at once.  Stages are lazy, so the
+    session keeps the setting; a smaller one of its own stays."""
+    known_to_workers(spark)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(setting))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(setting, BATCH_ROWS)
+
+
 def _id() -> list[Column]:
     """The id as columns without nulls; rows without an id come last."""
     return [F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("id")]
