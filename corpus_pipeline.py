@@ -54,10 +54,12 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids, n_tokens, and whether decoding gives the text back."""
+    """doc_id, n_tokens, the ids, and the digest of the bytes that they decode to.
+    The ids are written before they are decoded: in one stage encoder and decoder
+    would hold two Python workers a core."""
     _small_batches(spark)
     ranks = bpe.public_ranks()
-    whole = bpe.decode(bpe.encode(docs, ranks), ranks)
+    whole = bpe.decode(written(bpe.encode(docs, ranks)), ranks)
     return whole.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
