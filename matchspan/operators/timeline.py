@@ -138,15 +138,21 @@ def _edges_of(x: DataFrame, key: str, order: Sequence[Column], keys: list[tuple]
     table = spark.createDataFrame(keys, T.StructType([T.StructField(key, kind), T.StructField("_n", T.LongType()), T.StructField("_parts", T.LongType())]))
     tuples = order_tuple(order)
     drawn = F.pmod(F.xxhash64(key, *order), F.lit(1 << 40)) < F.lit(DRAWN << 40) / F.col("_n") * F.col("_parts")
-    rows = x.join(F.broadcast(table), key).where(drawn).groupBy(key, "_parts").agg(F.sort_array(F.collect_set(tuples)).alias("_s"))
-    at = F.sequence(F.lit(1).cast("long"), F.greatest(F.lit(1).cast("long"), F.col("_parts") - 1))
-    picked = F.array_distinct(F.filter(F.transform(at, lambda j: F.get(F.col("_s"), F.floor(j * F.size("_s") / F.col("_parts")).cast("int"))), lambda e: e.isNotNull()))
-    rows = rows.select(key, picked.alias("_p"))
+    # edges are rows until the end: windows sort them once, where a function of the whole
+    # array for each of its elements would take the square of their number
+    rows = x.join(F.broadcast(table), key).where(drawn).select(key, "_parts", tuples.alias("_e")).distinct()
+    w = Window.partitionBy(key).orderBy("_e")
+    rows = rows.select(key, "_parts", "_e", (F.row_number().over(w) - 1).cast("long").alias("_r"), F.count(F.lit(1)).over(Window.partitionBy(key)).alias("_n"))
+    # row r is the j-th edge where r = j * n div parts for a j from 1 to parts - 1
+    j = F.greatest(F.expr("(_r * _parts + _n - 1) div _n"), F.lit(1).cast("long"))
+    picked = rows.withColumn("_j", j).where((F.col("_j") < F.col("_parts")) & (F.expr("(_j * _n) div _parts") == F.col("_r")))
     # an edge alone at its time cuts before the time; only larger ties are cut inside
-    alone = lambda e, i: ~(F.coalesce(F.get(F.col("_p"), i - 1)["k0"] == e["k0"], F.lit(False)) | F.coalesce(F.get(F.col("_p"), i + 1)["k0"] == e["k0"], F.lit(False)))
+    time = F.col("_e.k0")
+    alone = ~(F.coalesce(F.lag(time).over(w) == time, F.lit(False)) | F.coalesce(F.lead(time).over(w) == time, F.lit(False)))
     names = [f"k{i}" for i in range(1, len(order))]
-    cut = F.transform(F.col("_p"), lambda e, i: F.struct(e["k0"].alias("k0"), *[F.when(~alone(e, i), e[n]).alias(n) for n in names], (alone(e, i) if names else F.lit(True)).alias("whole")))
-    found = rows.select(key, cut.alias("_edges")).where(F.size("_edges") > 0)
+    picked = picked.select(key, "_r", "_e", alone.alias("_a"))
+    cut = F.struct(time.alias("k0"), *[F.when(~F.col("_a"), F.col(f"_e.{n}")).alias(n) for n in names], (F.col("_a") if names else F.lit(True)).alias("whole"))
+    found = picked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_r", cut.alias("e")))).alias("_s")).select(key, F.col("_s.e").alias("_edges"))
     table = write_once(found, "edges")
     seen = table.agg(F.count(F.lit(1)).alias("keys"), F.max(F.exists("_edges", lambda e: ~e["whole"])).alias("ties")).first()
     return Edges(key, table, seen["ties"]) if seen["keys"] else None

@@ -2,6 +2,8 @@
 
 import datetime
 import random
+import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from helpers import assert_same_rows, make_df
 from matchspan.config import EndReason, MatchConfig, UpdatePolicy
 from matchspan.operators.ranges import _with_buckets, chosen_ranges, match_ranges, prepared_rows, unexpected_statuses
+from matchspan.operators.timeline import hot_edges
 from model import model
 
 SCHEMA = "a int, b int, status string, t int, o1 int, o2 int"
@@ -216,6 +219,24 @@ def test_cut_ties_on_both_sides(spark):
         assert {tuple(r[c] for c in OUT) for r in got.collect()} == expected and got.count() == len(expected)
 
 
+def test_many_edges_are_picked_in_linear_time(spark):
+    """Two hot keys of 20,000 rows with buckets of 5: the edges are those of the sorted
+    rows, some inside ties, and are found without work for each pair of edges."""
+    rows = [(a, (i // 7 if a else i), i) for a in (0, 1) for i in range(20_000)] + [(2, 5, 5)]
+    x = spark.createDataFrame(rows, "a int, t int, b int")
+    began = time.monotonic()
+    [edges] = hot_edges(x, [("a", [F.col("t"), F.col("b")])], 5, 4096)
+    got = {r["a"]: [(e["k0"], e["k1"], e["whole"]) for e in r["_edges"]] for r in edges.table.collect()}
+    assert time.monotonic() - began < 60
+    expected = {}
+    for a in (0, 1):
+        own = sorted(r[1:] for r in rows if r[0] == a)
+        picked = [own[j * len(own) // 4000] for j in range(1, 4000)]
+        times = Counter(t for t, _ in picked)
+        expected[a] = [(t, None, True) if times[t] == 1 else (t, b, False) for t, b in picked]
+    assert edges.ties and got == expected
+
+
 def test_payload_of_the_first_start_row(spark):
     """Starts of one (a, b, t) differ in payload; the one that sorts first is taken."""
     schema = SCHEMA + ", note string, `w.x` double, m map<string,int>"
