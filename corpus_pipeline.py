@@ -20,7 +20,9 @@ from matchspan.llm.common import held_out, known_to_workers, read, text_or_empty
 from matchspan.operators.aggregates import quoted
 
 #: Rows of an Arrow batch.
-BATCH_ROWS = 2000
+BATCH_ROWS = 500
+#: Distinct words and tokens of a block of the encoder: a third of its own, as the executors come from four other stages.
+BLOCK = {"block_words": 100_000, "block_tokens": 1_000_000}
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +61,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     would hold two Python workers a core."""
     _small_batches(spark)
     ranks = bpe.public_ranks()
-    whole = bpe.decode(written(bpe.encode(docs, ranks)), ranks)
+    whole = bpe.decode(written(bpe.encode(docs, ranks, **BLOCK)), ranks)
     return whole.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -82,7 +82,7 @@ def _token_bytes(path: str) -> TokenBytes:
     return kept["token bytes", path]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, list[str], list]]:
+def _blocks(batches: Iterator[pa.RecordBatch], most: int, most_tokens: int) -> Iterator[tuple[int, list[str], list]]:
     """The blocks of this task's rows (id, text): a name, the distinct words
     (frequent ones first), and the rows as (id, word numbers).  The name is a
     digest of the words and numbers; blocks of equal content may share it, as
@@ -112,7 +112,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int,
             numbers = np.array([words.setdefault(w, len(words)) for w in split(text)], np.uint32)
             rows.append((key.as_py(), numbers))
             tokens += len(numbers) + 16
-            if len(words) >= most or tokens >= BLOCK_TOKENS:
+            if len(words) >= most or tokens >= most_tokens:
                 yield block()
                 tokens = 0
     if rows:
@@ -146,14 +146,14 @@ def _unpack(data: bytes) -> np.ndarray:
     return v
 
 
-def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """``id_col``, ids (binary: little-endian unsigned 32-bit) of every row."""
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     kind, id_type = source.schema["id"].dataType.simpleString(), to_arrow_type(source.schema["id"].dataType)
     parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def words_of(batches):
-        for name, words, rows in _blocks(batches, block_words):
+        for name, words, rows in _blocks(batches, block_words, block_tokens):
             del rows
             raw = [w.encode("utf-8") for w in words]
             part = np.array([zlib.crc32(w) % parts for w in raw], np.int64)
@@ -186,7 +186,7 @@ def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(out, pa.binary())], names=["block", "numbers", "ids"])
 
     def documents_of(batches):
-        for name, words, rows in _blocks(batches, block_words):
+        for name, words, rows in _blocks(batches, block_words, block_tokens):
             del words
             for at in range(0, len(rows), 1000):
                 some = rows[at: at + 1000]

@@ -248,14 +248,14 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            texts, hits = b.column(at).to_pylist(), b.column(names_hits).to_pylist()
+            texts, hits = b.column(at).to_pylist(), b.column(len(names)).to_pylist()
             changed = [t if h is None else _without(t, h) for t, h in zip(texts, hits)]
             out = [b.column(i) for i in range(len(names))]
             out[at] = pa.array(changed, pa.string())
             yield pa.RecordBatch.from_arrays(out, names=names)
 
-    names_hits = len(names) + 2
-    kept = found.where(F.col("n_hit") <= F.col("n_words") * max_coverage)
+    # written, so that rows are scanned once and no core holds a worker that scans beside one that cuts
+    kept = written(found.where(F.col("n_hit") <= F.col("n_words") * max_coverage).select(*names, "hits"))
     whole = kept.where("hits IS NULL").select(*names)
     if "n_chars" in columns:
         n = names[columns.index("n_chars")]

@@ -9,13 +9,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from matchspan.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, quality, token_count, toxicity, warc
+from matchspan.llm import bpe, chat_format, common, decontaminate, exact_dedup, jaccard_join, license_scan, quality, token_count, toxicity, warc
 from matchspan.llm.common import held_out, known_to_workers
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -117,6 +118,14 @@ def test_decontamination(spark):
     assert none.count() == 0 and decontaminate.find(table(spark, []), bench).count() == 0
 
 
+def test_decontamination_scans_once_and_holds_one_worker_a_core(spark):
+    passage = " ".join(f"p{i}" for i in range(12))
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    out = decontaminate.clean(table(spark, ["own words " * 12 + passage, None, "plain"]), bench)
+    assert [t.strip() for _, (t, *_) in sorted(by_id(out).items()) if t] == [("own words " * 12).strip(), "plain"]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def test_decontamination_cuts_passages(spark):
     passage = "one two three four five six seven eight nine ten eleven"
     docs = spark.createDataFrame([(1, f"Clean start here now. {passage.title()}, and a clean end after all of these extra words", 0), (2, passage, 0), (3, "clean", 7), (4, None, 5)], "doc_id long, text string, n_chars long")
@@ -389,3 +398,12 @@ def test_pipeline_stages_with_odd_columns(spark, stage, tmp_path):
     else:
         assert got == [(False, 2, "word0"), (False, 9, "other"), (True, 0, "alone")]
     assert run(spark, docs.where("false"), str(tmp_path)).count() == 0
+
+
+def test_workers_give_back_what_is_not_used(monkeypatch):
+    """Kept objects stay for the next tasks of their operator and go with the first later task of another."""
+    common.worker_cache()["big"] = 1
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600))], names=["x"])
+    assert [b.num_rows for b in common.slices([batch])] == [256, 256, 88] and common.worker_cache()["big"] == 1
+    monkeypatch.setattr(common, "_asked", common._asked - common.IDLE_S - 1)
+    assert sum(b.num_rows for b in common.slices([batch])) == 600 and not common._CACHE
