@@ -69,6 +69,8 @@ CENTRES, ROUNDS, PAIRS = 2, 10, 256
 SKETCH = 4
 #: Rows of a region that meet the whole region in one task.
 BLOCK = 4096
+#: First shared pivots of a set by which a pair's later ones are known as such.
+LEAD = 8
 #: Sets that a task remembers, and shingles that it counts, at a time.
 SEEN, BUFFER = 100_000, 500_000
 #: Values of the screen through which texts are picked for comparison.
@@ -387,7 +389,7 @@ def link_components(docs: DataFrame, width: int = 5, least: float = 0.8, id_col:
         slow = before is not None and cross > 0.8 * before  # what is left hardly links
         before = cross
         if turn and (cross <= pairs_per_row * total or slow or turn == rounds):
-            labels = components(labels, linked(named, ids, written(_near_sketches(written(_each_pair(live, sketches, ratio)), wide, ratio)), width, ratio))
+            labels = components(labels, linked(named, ids, written(_near_sketches(written(_each_pair(live, sketches, ratio).distinct()), wide, ratio)), width, ratio))
             break
         labels = components(labels, linked(named, ids, written(_near_sketches(_centres(live, sketches, ratio, turn), wide, ratio)), width, ratio))
 
@@ -428,23 +430,38 @@ def _centres(live: DataFrame, sketches: DataFrame, least: tuple[int, int], turn:
     return pairs.where(_close("p", "q", "n", "m", least)).select("a", "b")
 
 
-def _named(sketches: DataFrame, node: str, prefix: str) -> DataFrame:
-    return sketches.select(F.col("node").alias(node), *[F.col(s).alias(f"{prefix}{i}") for i, s in enumerate(_SKETCH)])
+def _named(sketches: DataFrame, node: str, prefix: str, *more: str) -> DataFrame:
+    return sketches.select(F.col("node").alias(node), *[F.col(s).alias(f"{prefix}{i}") for i, s in enumerate(_SKETCH)], *more)
 
 
-def _each_pair(live: DataFrame, sketches: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) of different components that share a region and may link.
+def _leads(live: DataFrame, lead: int = LEAD) -> DataFrame:
+    """node, lead: its first ``lead`` pivots among the rows, as (pos, pivot) in the order."""
+    return live.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("pos", "pivot"))), 1, lead).alias("lead"))
+
+
+def _earlier(at: str):
+    """The pivots of ``lead`` before the row's own."""
+    return F.transform(F.filter("lead", lambda x: x["pos"] < F.col(at)), lambda x: x["pivot"])
+
+
+def _each_pair(live: DataFrame, sketches: DataFrame, least: tuple[int, int], lead: int = LEAD) -> DataFrame:
+    """Pairs (a, b) of different components that share a region and may link, some of them more than once.
 
     A pair in a region has a member outside the region's largest component, so
     joining those with all rows of the region meets each pair.  Under the first
     pivot that two sets share, all that they have in common is that pivot and what
-    follows it in the order; elsewhere the pair need not be met.  The condition of the
-    join holds the sketches too, so that only near pairs leave it.  The rows of a large
-    region are dealt in blocks, each of which meets all of the region."""
-    left = live.where("NOT big").join(_named(sketches, "node", "p"), "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    follows it in the order; elsewhere the pair need not be met.  Near sets share
+    most of their pivots, but hardly ever none of their first ``lead``: where these show
+    an earlier one of both, the pair is met there.  The condition of the
+    join holds that and the sketches too, so that few but near pairs leave it, most of them once.
+    The rows of a large region are dealt in blocks, each of which meets all of the region."""
+    known = sketches.join(_leads(live, lead), "node")
+    left = live.where("NOT big").join(_named(known, "node", "p", "lead"), "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    left = left.withColumn("before", _earlier("pos")).drop("lead", "blocks")
     right = live.select("pivot", F.col("node").alias("b"), F.col("pos").alias("at"), F.col("n").alias("m"), F.col("comp").alias("cb"), F.col("big").alias("bb"), "blocks")
-    right = right.join(_named(sketches, "b", "q"), "b").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    right = right.join(_named(known, "b", "q", "lead"), "b").withColumn("ahead", _earlier("at"))
+    right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("lead", "blocks")
     first = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at")) * (least[0] + least[1]) >= (F.col("n") + F.col("m")) * least[0]
-    met = left.drop("blocks").join(right, ["pivot", "block"]).where(F.col("comp") != F.col("cb")).where(F.col("bb") | (F.col("node") < F.col("b"))).where(_near("n", "m", least)).where(first)
-    met = met.where(_close("p", "q", "n", "m", least))
-    return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    met = left.join(right, ["pivot", "block"]).where(F.col("comp") != F.col("cb")).where(F.col("bb") | (F.col("node") < F.col("b"))).where(_near("n", "m", least)).where(first)
+    met = met.where(_close("p", "q", "n", "m", least)).where(~F.arrays_overlap("before", "ahead"))
+    return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))

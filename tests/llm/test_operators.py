@@ -215,6 +215,21 @@ def test_jaccard_join_around_a_frequent_text(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_near_pairs_are_met_once(spark):
+    """Near texts share most of their pivots: the join met each pair under many of them."""
+    base = [f"b{i}" for i in range(300)]
+    texts = [" ".join(base[:k] + [f"x{k}"] + base[k + 1:]) for k in range(10, 290, 20)]
+    docs, least = table(spark, texts), (4, 5)
+    sets = common.written(jaccard_join.signatures(docs, 5, "doc_id", "text"))
+    rows = common.written(jaccard_join.regions(docs.select("text"), 5, least, []))
+    live, _ = jaccard_join._live(rows, rows.select("node").distinct().withColumn("comp", F.col("node")))
+    sketches = sets.select("node", *jaccard_join._SKETCH)
+    met = [tuple(r) for r in jaccard_join._each_pair(live, sketches, least).collect()]
+    nodes = sorted(r.node for r in sets.collect())
+    assert set(met) == {(a, b) for a in nodes for b in nodes if a < b} and len(met) <= 1.2 * len(set(met))
+    assert jaccard_join._each_pair(live, sketches, least, lead=0).count() > 10 * len(met)
+
+
 PAGES = [(1, "http://a/", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "u v\r\n", None), (4, "http://c", ""), (5, "d", "\x1f\x8b\x08 é\r\n\r\n" * 9000), (6, "e", "WARC/1.1\r\n"), (None, "f", "alone")]
 
 
