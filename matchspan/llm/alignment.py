@@ -26,8 +26,7 @@ import gc
 import json
 import os
 from collections.abc import Iterator
-from itertools import accumulate
-from operator import add
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -44,6 +43,8 @@ from matchspan.llm.token_count import byte_letters
 BLOCK_LINKS = 1_000_000
 #: Texts and characters that go to a library in one call.
 CALL_TEXTS, CALL_CHARS = 64, 400_000
+#: Tokens compared first at a new shift.
+FIRST_STEP = 8
 
 
 class Tokenizers:
@@ -65,8 +66,12 @@ class Tokenizers:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode("utf-8") for i, p in enumerate(pieces)]
         self.a_size, self.b_size = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
-        self.a_told, self.b_told = list(map(str, range(len(self.a_bytes)))), list(map(str, range(len(self.b_bytes))))
-        self.a_head = [f"{i}|" for i in range(len(self.a_bytes))]
+        small = np.uint8 if max(*self.a_size, *self.b_size) < 256 else np.uint32
+        self.a_sizes, self.b_sizes = np.array(self.a_size, small), np.array(self.b_size, small)
+        # every id with each sign that may follow it
+        most = max(len(self.a_size), len(self.b_size))
+        self.comma, self.bar, self.semicolon, self.nothing = range(0, 4 * most, most)
+        self.told = pa.array([f"{i}{sign}" for sign in (",", "|", ";", "") for i in range(most)], pa.string())
 
         self.fast = self._by_rank(_file(a_file))
 
@@ -115,59 +120,88 @@ def _tokenizers(a_file: str, b_file: str) -> Tokenizers:
     return kept["aligned", a_file, b_file]
 
 
+def irregular(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int], list[int], list[int]]:
+    """i, i_end, j, j_end of the irregular groups, told by a first end that differs;
+    between them lie stretches of tokens that end together one by one.  ``a`` and ``b`` are
+    the tokens' sizes, none 0, of equal sums: where ends meet, equal sizes go on meeting."""
+    width, n = a.itemsize, len(a)
+    a_raw, b_raw = a.tobytes(), b.tobytes()
+    a_size, b_size = memoryview(a_raw).cast(a.dtype.char), memoryview(b_raw).cast(a.dtype.char)
+    number, found = int.from_bytes, ([], [], [], [])
+    add_i, add_x, add_j, add_y = (f.append for f in found)
+    i = j = 0
+    while i < n:
+        step = FIRST_STEP
+        while True:  # the stretch: steps double while they agree
+            p, q = a_raw[i * width:(i + step) * width], b_raw[j * width:(j + step) * width]
+            if p != q:
+                break
+            i, j, step = i + len(p) // width, j + len(p) // width, 2 * step
+            if i >= n:
+                return found
+        apart = number(p, "little") ^ number(q, "little")
+        same = ((apart & -apart).bit_length() - 1) // (8 * width)  # tokens before the first that differs
+        i, j = i + same, j + same
+        add_i(i)
+        add_j(j)
+        x, y = a_size[i], b_size[j]
+        i, j = i + 1, j + 1
+        while x != y:
+            if x < y:
+                x += a_size[i]
+                i += 1
+            else:
+                y += b_size[j]
+                j += 1
+        add_x(i)
+        add_y(j)
+    return found
+
+
 def runs(a_ends: list[int], b_ends: list[int]) -> Iterator[tuple[int, int, int, int]]:
     """(i, i_end, j, j_end): one-to-one stretches (i_end - i == j_end - j tokens that end
     together one by one) and irregular groups (one group of tokens i..i_end, j..j_end,
     told by a first end that differs).  Both lists rise and end alike."""
-    a, b = [*a_ends, -1], [*b_ends, -2]  # no comparison passes the ends
-    i, j, n = 0, 0, len(a_ends)
-    while i < n:
-        x, y = i + 1, j + 1
-        if a[i] == b[j]:
-            step = 1
-            while a[x:x + step] == b[y:y + step]:
-                x, y, step = x + step, y + step, 2 * step
-            while step > 1:
-                step //= 2
-                if a[x:x + step] == b[y:y + step]:
-                    x, y = x + step, y + step
-        else:
-            p, q = a[i], b[j]
-            while p != q:
-                if p < q:
-                    p = a[x]
-                    x += 1
-                else:
-                    q = b[y]
-                    y += 1
-        yield i, x, j, y
-        i, j = x, y
-
-
-def align_tokens(a: list[int], b: list[int], t: Tokenizers) -> tuple[str, list[int], list[int]]:
-    """Groups as ``a1,a2|b1;a3|b2,b3``, and the A and B ids of the links in order."""
-    a_ends, b_ends = list(accumulate(map(t.a_size.__getitem__, a))), list(accumulate(map(t.b_size.__getitem__, b)))
-    groups, left, right, a_told, a_head, b_told = [], [], [], t.a_told, t.a_head.__getitem__, t.b_told
-    one_b = b_told.__getitem__
-    for i, x, j, y in runs(a_ends, b_ends):
-        if a_ends[i] == b_ends[j]:
-            if x == i + 1:
-                p, q = a[i], b[j]
-                groups.append(a_head(p) + one_b(q))
-                left.append(p)
-                right.append(q)
-            else:
-                some, other = a[i:x], b[j:y]
-                groups += map(add, map(a_head, some), map(one_b, other))
-                left += some
-                right += other
-        else:
-            p, q = a[x - 1], b[y - 1]
-            told = a_head(p) if x == i + 1 else ",".join([a_told[k] for k in a[i:x]]) + "|"
-            groups.append(told + (b_told[q] if y == j + 1 else ",".join([b_told[k] for k in b[j:y]])))
-            left.append(p)
-            right.append(q)
-    return ";".join(groups), left, right
+    i = j = 0
+    for g, g_end, h, h_end in zip(*irregular(*(np.diff(np.array(e, np.int64), prepend=0).astype(np.uint32) for e in (a_ends, b_ends)))):
+        if g > i:
+            yield i, g, j, h
+        yield g, g_end, h, h_end
+        i, j = g_end, h_end
+    if i < len(a_ends):
+        yield i, len(a_ends), j, len(b_ends)
+
+
+def _ends_group(starts: list[int], ends: list[int], n: int) -> np.ndarray:
+    """Whether each of n tokens ends a group, by the irregular groups; all others are groups of one."""
+    edge = np.zeros(n + 1, np.int8)
+    edge[starts] += 1
+    edge[np.array(ends, np.int64) - 1] -= 1
+    return np.cumsum(edge[:n], dtype=np.int8) == 0
+
+
+def align_tokens(a: list[list[int]], b: list[list[int]], t: Tokenizers) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Of texts' ids: the groups of each as ``a1,a2|b1;a3|b2,b3``, the links (a << 32 | b)
+    of all in order, and how many each text has.  The texts are aligned in one pass, as
+    both sides of each end alike."""
+    a_at, b_at = (np.cumsum([0, *map(len, x)]) for x in (a, b))
+    a, b = (np.fromiter(chain.from_iterable(x), np.int64, at[-1]) for x, at in ((a, a_at), (b, b_at)))
+    i, x, j, y = irregular(t.a_sizes[a], t.b_sizes[b])
+    a_last, b_last = _ends_group(i, x, len(a)), _ends_group(j, y, len(b))
+    a_links, b_links = np.flatnonzero(a_last), np.flatnonzero(b_last)
+    keys = a[a_links] << 32 | b[b_links]
+
+    # a token of A stands behind the groups before its own, a token of B behind its group's part of A, too
+    a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+    said = np.empty(len(a) + len(b), np.int64)
+    said[np.arange(len(a)) + np.append(0, b_links + 1)[a_group]] = a + np.where(a_last, t.bar, t.comma)
+    end = np.where(b_last, t.semicolon, t.comma)
+    end[b_at[1:][b_at[1:] > b_at[:-1]] - 1] = t.nothing
+    said[np.arange(len(b)) + (a_links + 1)[b_group]] = b + end
+    told = t.told.take(pa.array(said))
+    places = np.frombuffer(told.buffers()[1], np.int32, len(said) + 1)[a_at + b_at] if len(said) else np.zeros(len(a_at), np.int32)
+    groups = pa.StringArray.from_buffers(len(a_at) - 1, pa.py_buffer(places.tobytes()), told.buffers()[2] or pa.py_buffer(b""))
+    return groups, keys, np.diff(np.searchsorted(a_links, a_at))
 
 
 def _calls(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
@@ -205,13 +239,13 @@ def align(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", tex
             rank[order] = np.arange(len(order))
             place, pairs = rank[place], pairs[order]
             times, at, links = np.bincount(place, minlength=len(pairs)), 0, []
-            for k in keys:
-                links.append(place[at:at + len(k)].tobytes())
-                at += len(k)
+            for _, _, k in figures:
+                links.append(place[at:at + k].tobytes())
+                at += k
             whole = pa.concat_arrays(ids)
             n = len(whole)
             none = pa.nulls(n, pa.list_(pa.int64()))
-            columns = [whole, *(pa.array(c, pa.int64()) for c in zip(*figures)), pa.array(groups, pa.string()), pa.array([block] * n, pa.int64()), pa.array(links, pa.binary()), none, none]
+            columns = [whole, *(pa.array(c, pa.int64()) for c in zip(*figures)), pa.concat_arrays(groups), pa.array([block] * n, pa.int64()), pa.array(links, pa.binary()), none, none]
             out = pa.RecordBatch.from_arrays(columns, names=names)
             yield out
             empty = [pa.nulls(1, f.type) for f in out.schema]
@@ -224,12 +258,12 @@ def align(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", tex
         gc.disable()  # many small lists, no cycles
         try:
             for some, texts in _calls(batches):
-                for a, b in t.encode(texts):
-                    told, left, right = align_tokens(a, b, t)
-                    keys.append(np.array(left, np.int64) << 32 | np.array(right, np.int64))
-                    figures.append((len(a), len(b), len(left)))
-                    groups.append(told)
-                    held += len(left)
+                a, b = zip(*t.encode(texts))
+                told, links, n = align_tokens(a, b, t)
+                figures += zip(map(len, a), map(len, b), n.tolist())
+                keys.append(links)
+                groups.append(told)
+                held += len(links)
                 ids.append(some)
                 if held >= block_links or len(figures) >= block_links:
                     yield from close()
