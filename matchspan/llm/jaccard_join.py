@@ -26,9 +26,11 @@ shingles (those of many documents last, else by hash).
    link allows and only where the region's pivot could be the first that both
    hold: what follows it in the order must suffice for a link, else they are met
    under an earlier pivot or don't link.  No pair within a component is made.
+   Large regions, which hold groups of near copies, have more centres.
 4. *Sketches.*  A set's sketch has a bit for each of its hash classes: whether
-   the number of its shingles there is odd.  A short one travels with the regions, one as
-   long as the set is large (folded to the other's length) judges the pairs that it leaves.  Two sketches differ in at most as many bits
+   the number of its shingles there is odd.  A short one travels with the regions and tells
+   which of their rows have a partner at all; only these take along one of WIDE bits a shingle
+   or more (folded to the other's length), by which their pairs are made.  Two sketches differ in at most as many bits
    as the sets have shingles that only one of them holds, which is a lower bound of their
    distance: pairs that it shows to be too far apart are never made, so that
    texts are shipped for hardly more pairs than link.  What is left is compared exactly.
@@ -48,7 +50,7 @@ import hashlib
 import math
 from collections.abc import Iterator
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 import numpy as np
 import pyarrow as pa
@@ -65,8 +67,10 @@ COUNTED = 1.3
 SALT_ROWS = 2000
 #: Centres a region and round; rounds at most; pairs whose sketches are compared one by one, as a multiple of the regions' rows.
 CENTRES, ROUNDS, PAIRS = 2, 10, 256
-#: 64-bit words of a sketch.
-SKETCH = 4
+#: Rows from which a region is large, and its centres a round.
+LARGE, MANY = 64, 8
+#: 64-bit words of a sketch; bits a shingle, at least, of the whole one.
+SKETCH, WIDE = 4, 2
 #: Rows of a region that meet the whole region in one task.
 BLOCK = 4096
 #: First shared pivots of a set by which a pair's later ones are known as such.
@@ -167,9 +171,9 @@ def _new_sets(batch: pa.RecordBatch, width: int, seen: set) -> Iterator[tuple[in
 
 def sketch(keys: np.ndarray) -> tuple[list[int], list[int]]:
     """Which hash classes hold an odd number of the shingles: 64 * SKETCH classes, and
-    a power of two, at least that many and at least as many as shingles."""
+    a power of two, at least that many and at least WIDE times the shingles."""
     classes = 64 * SKETCH
-    while classes < len(keys):
+    while classes < WIDE * len(keys):
         classes *= 2
     odd = np.bincount((keys * _M >> np.uint64(32)).astype(np.int64) % classes, minlength=classes) & 1
     wide = np.packbits(odd.astype(np.uint8)).view(np.int64)
@@ -188,14 +192,20 @@ def _near_sketches(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) ->
     within ``least`` >= 1/2 of each other have sketches of the same length or twice that."""
     for x in "ab":
         pairs = pairs.join(sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}")), x)
-    apart = F.aggregate(F.zip_with(_folded("wa", "wb"), _folded("wb", "wa"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    near = apart * (least[0] + least[1]) <= (F.col("na") + F.col("nb")) * (least[1] - least[0])
-    return (pairs.where(near) if 2 * least[0] >= least[1] else pairs).select("a", "b")
+    return pairs.where(_close_wide("wa", "wb", "na", "nb", least)).select("a", "b")
+
+
+def _close_wide(one: str, other: str, n: str, m: str, least: tuple[int, int]):
+    """Whether two whole sketches are as near as a link allows, if they can be folded to one length."""
+    if 2 * least[0] < least[1]:
+        return F.lit(True)
+    apart = F.aggregate(F.zip_with(_folded(one, other), _folded(other, one), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    return apart * (least[0] + least[1]) <= (F.col(n) + F.col(m)) * (least[1] - least[0])
 
 
 def _close(one: str, other: str, n: str, m: str, least: tuple[int, int]):
     """Whether two sketches, of sets of n and m shingles, are as near as a link allows."""
-    apart = reduce(add, [F.bit_count(F.col(f"{one}{i}").bitwiseXOR(F.col(f"{other}{i}"))) for i in range(SKETCH)])
+    apart = reduce(add, [F.bit_count(F.col(one.format(i)).bitwiseXOR(F.col(other.format(i)))) for i in range(SKETCH)])
     return apart * (least[0] + least[1]) <= (F.col(n) + F.col(m)) * (least[1] - least[0])
 
 
@@ -389,7 +399,7 @@ def link_components(docs: DataFrame, width: int = 5, least: float = 0.8, id_col:
         slow = before is not None and cross > 0.8 * before  # what is left hardly links
         before = cross
         if turn and (cross <= pairs_per_row * total or slow or turn == rounds):
-            labels = components(labels, linked(named, ids, written(_near_sketches(written(_each_pair(live, sketches, ratio).distinct()), wide, ratio)), width, ratio))
+            labels = components(labels, linked(named, ids, written(_each_pair(live, sketches, ratio, wide=wide).distinct()), width, ratio))
             break
         labels = components(labels, linked(named, ids, written(_near_sketches(_centres(live, sketches, ratio, turn), wide, ratio)), width, ratio))
 
@@ -400,16 +410,16 @@ def link_components(docs: DataFrame, width: int = 5, least: float = 0.8, id_col:
 
 
 def _live(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
-    """The rows (pivot, node, pos, n, comp, big, blocks) of regions with more than one
+    """The rows (pivot, node, pos, n, comp, big, blocks, g) of regions with more than one
     component, big: whether comp is its region's largest, blocks: how many tasks its
-    rows are dealt to; and the number of pairs of different components in them."""
+    rows are dealt to, g: how many these are; and the number of pairs of different components in them."""
     named = rows.join(labels, "node")
     sizes = named.groupBy("pivot", "comp").agg(F.count(F.lit(1)).alias("c"))
     per = sizes.groupBy("pivot").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("g"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.count(F.lit(1)).alias("k")).where("k > 1")
     live = written(named.join(per.select("pivot", F.col("top.comp").alias("topmost"), "g", "sq"), "pivot").select("pivot", "node", "pos", "n", "comp", (F.col("comp") == F.col("topmost")).alias("big"), F.ceil(F.col("g") / BLOCK).cast("int").alias("blocks"), "g", "sq"))
     # every region gives (g^2 - sq) / 2 pairs, spread over its g rows
     cross = live.agg(F.sum((F.col("g") * F.col("g") - F.col("sq")) / F.col("g") / 2)).first()[0]
-    return live.drop("g", "sq"), int(math.ceil(cross or 0))
+    return live.drop("sq"), int(math.ceil(cross or 0))
 
 
 def _near(n: str, m: str, least: tuple[int, int]):
@@ -420,14 +430,21 @@ def _near(n: str, m: str, least: tuple[int, int]):
 def _centres(live: DataFrame, sketches: DataFrame, least: tuple[int, int], turn: int) -> DataFrame:
     """Pairs (a, b) of a document and a centre of its region, of different components.
     The first centre is the document that has the fewest shingles before the pivot in
-    the order: what the copies of a large group were made from has no rare ones of its own."""
-    centres = CENTRES if turn else 1
-    picks = live.groupBy("pivot").agg(*[F.min(F.struct((F.lit(0) if turn else F.col("pos")).alias("s"), F.xxhash64("node", F.lit(turn * CENTRES + i)).alias("h"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"))).alias(f"c{i}") for i in range(centres)])
-    picks = picks.select("pivot", F.explode(F.array_distinct(F.array(*[F.struct(f"c{i}.b", f"c{i}.m", f"c{i}.cb") for i in range(centres)]))).alias("c")).select("pivot", "c.*")
+    the order: what the copies of a large group were made from has no rare ones of its own.
+    In the first round half of a large region's centres are of that kind."""
+    few, large = CENTRES if turn else 1, F.col("g") >= LARGE
+    picks = _picks(live.where(~large), turn, few, 0 if turn else few).unionByName(_picks(live.where(large), turn, MANY, 0 if turn else MANY // 2))
     met = live.join(picks, "pivot").where(F.col("comp") != F.col("cb")).where(_near("n", "m", least))
     pairs = met.select(F.col("node").alias("a"), "b", "n", "m").distinct()
     pairs = pairs.join(_named(sketches, "a", "p"), "a").join(_named(sketches, "b", "q"), "b")
-    return pairs.where(_close("p", "q", "n", "m", least)).select("a", "b")
+    return pairs.where(_close("p{}", "q{}", "n", "m", least)).select("a", "b")
+
+
+def _picks(live: DataFrame, turn: int, centres: int, early: int) -> DataFrame:
+    """pivot, b, m, cb: centres of each region, the first ``early`` of them with the least pos, the others any."""
+    rank = [F.struct((F.col("pos") if i < early else F.lit(0)).cast("long").alias("s"), F.xxhash64("node", F.lit(turn * MANY + i)).alias("h"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb")) for i in range(centres)]
+    picks = live.groupBy("pivot").agg(*[F.min(r).alias(f"c{i}") for i, r in enumerate(rank)])
+    return picks.select("pivot", F.explode(F.array_distinct(F.array(*[F.struct(f"c{i}.b", f"c{i}.m", f"c{i}.cb") for i in range(centres)]))).alias("c")).select("pivot", "c.*")
 
 
 def _named(sketches: DataFrame, node: str, prefix: str, *more: str) -> DataFrame:
@@ -444,7 +461,7 @@ def _earlier(at: str):
     return F.transform(F.filter("lead", lambda x: x["pos"] < F.col(at)), lambda x: x["pivot"])
 
 
-def _each_pair(live: DataFrame, sketches: DataFrame, least: tuple[int, int], lead: int = LEAD) -> DataFrame:
+def _each_pair(live: DataFrame, sketches: DataFrame, least: tuple[int, int], lead: int = LEAD, wide: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) of different components that share a region and may link, some of them more than once.
 
     A pair in a region has a member outside the region's largest component, so
@@ -454,14 +471,27 @@ def _each_pair(live: DataFrame, sketches: DataFrame, least: tuple[int, int], lea
     most of their pivots, but hardly ever none of their first ``lead``: where these show
     an earlier one of both, the pair is met there.  The condition of the
     join holds that and the sketches too, so that few but near pairs leave it, most of them once.
-    The rows of a large region are dealt in blocks, each of which meets all of the region."""
-    known = sketches.join(_leads(live, lead), "node")
-    left = live.where("NOT big").join(_named(known, "node", "p", "lead"), "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    left = left.withColumn("before", _earlier("pos")).drop("lead", "blocks")
-    right = live.select("pivot", F.col("node").alias("b"), F.col("pos").alias("at"), F.col("n").alias("m"), F.col("comp").alias("cb"), F.col("big").alias("bb"), "blocks")
-    right = right.join(_named(known, "b", "q", "lead"), "b").withColumn("ahead", _earlier("at"))
-    right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("lead", "blocks")
-    first = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at")) * (least[0] + least[1]) >= (F.col("n") + F.col("m")) * least[0]
-    met = left.join(right, ["pivot", "block"]).where(F.col("comp") != F.col("cb")).where(F.col("bb") | (F.col("node") < F.col("b"))).where(_near("n", "m", least)).where(first)
-    met = met.where(_close("p", "q", "n", "m", least)).where(~F.arrays_overlap("before", "ahead"))
-    return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+
+    Short sketches tell little of long sets and of copies that are almost near enough:
+    such pairs grow as the square of a group.  With ``wide`` (node, wide) a semi join
+    first keeps the rows that have any partner by the short ones, and these bring
+    their whole sketches to the join that makes the pairs."""
+    rows = live.drop("g").join(_named(sketches.join(_leads(live, lead), "node"), "node", "p", "lead"), "node").withColumn("before", _earlier("pos")).drop("lead")
+    if wide is None:
+        met = _met(rows.where("NOT big"), rows, least, "inner", F.col("big_") | (F.col("node") < F.col("node_")))
+    else:
+        rows = written(_met(rows, rows, least, "left_semi").drop("block")).join(wide.select("node", "wide"), "node")
+        met = _met(rows.where("NOT big"), rows, least, "inner", F.col("big_") | (F.col("node") < F.col("node_")), _close_wide("wide", "wide_", "n", "n_", least))
+    return met.select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b"))
+
+
+def _met(left: DataFrame, right: DataFrame, least: tuple[int, int], how: str, *more) -> DataFrame:
+    """The rows of ``left`` joined with those of ``right`` (its columns get a "_") of other components
+    in their region that they may link with.  The rows of a large region are dealt in
+    blocks, each of which meets all of the region."""
+    left = left.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    right = right.select(*[F.col(c).alias(f"{c}_") for c in right.columns]).withColumn("block_", F.explode(F.sequence(F.lit(0), F.col("blocks_") - 1)))
+    first = F.least(F.col("n") - F.col("pos"), F.col("n_") - F.col("pos_")) * (least[0] + least[1]) >= (F.col("n") + F.col("n_")) * least[0]
+    close = _close("p{}", "p{}_", "n", "n_", least)
+    meets = [F.col("pivot") == F.col("pivot_"), F.col("block") == F.col("block_"), F.col("comp") != F.col("comp_"), _near("n", "n_", least), first, close, ~F.arrays_overlap("before", "before_"), *more]
+    return left.join(right, reduce(and_, meets), how)

@@ -230,6 +230,31 @@ def test_near_pairs_are_met_once(spark):
     assert jaccard_join._each_pair(live, sketches, least, lead=0).count() > 10 * len(met)
 
 
+def test_pairs_that_are_almost_near_are_not_made(spark, monkeypatch):
+    """Copies of one text a little too far apart to link, and long texts that share a
+    passage: the pairs that the join made grew as the square of their number."""
+    rng = random.Random(5)
+    voc = [f"w{i}" for i in range(3000)]
+    base, texts = [rng.choice(voc) for _ in range(400)], []
+    for _ in range(160):
+        t = list(base)
+        for _ in range(rng.randint(6, 30)):
+            t[rng.randrange(400)] = rng.choice(voc)
+        texts.append(" ".join(t))
+    for _ in range(40):
+        texts.append(" ".join([rng.choice(voc) for _ in range(700)] + base[:30] + [rng.choice(voc) for _ in range(700)]))
+    made, each = [], jaccard_join._each_pair
+
+    def counted(*args, **more):
+        made.append(common.written(each(*args, **more)))
+        return made[-1]
+
+    monkeypatch.setattr(jaccard_join, "_each_pair", counted)
+    got = by_id(jaccard_join.link_components(table(spark, texts), hot=20))
+    assert [got[i] for i in range(len(texts))] == brute_components(texts)
+    assert len(made) == 1 and made[0].count() < len(texts)
+
+
 PAGES = [(1, "http://a/", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "u v\r\n", None), (4, "http://c", ""), (5, "d", "\x1f\x8b\x08 é\r\n\r\n" * 9000), (6, "e", "WARC/1.1\r\n"), (None, "f", "alone")]
 
 
